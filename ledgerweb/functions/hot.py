@@ -1,0 +1,18 @@
+"""Joins whose key may hold a large share of the rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def join_with_hot_keys(left: DataFrame, right: DataFrame, hot: DataFrame, key: str) -> DataFrame:
+    """Inner join of `left` with `right` (unique on `key`), rows of hot keys without a shuffle.
+
+    `hot` is the subset of `right` that is broadcast. The caller proves its size bound; a key
+    with at least 1/1000 of the rows, for example, leaves at most 1000 rows.
+    """
+    hot_keys = hot.select(key)
+    on_hot = left.join(F.broadcast(hot), key)
+    rest = left.join(F.broadcast(hot_keys), key, "left_anti")
+    return on_hot.unionByName(rest.join(right.join(F.broadcast(hot_keys), key, "left_anti"), key))
