@@ -7,7 +7,7 @@ count, hubs become parents and the first rounds already collapse most of the gra
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerweb.functions.hot import join_with_hot_keys
@@ -26,39 +26,32 @@ def _highest_parent(links: DataFrame) -> DataFrame:
     return links.groupBy("lo").agg(F.max("hi").alias("top"))
 
 
-def _large_star(links: DataFrame, moved: Observation) -> DataFrame:
+def _large_star(links: DataFrame) -> DataFrame:
     """Hang every child below its parent's own highest parent."""
     grand = _highest_parent(links).select(F.col("lo").alias("hi"), "top")
-    return (
-        links.join(grand, "hi", "left")
-        .observe(moved, F.count("top").alias("n"))
-        .select("lo", F.coalesce("top", "hi").alias("hi"))
-        .distinct()
+    return links.join(grand, "hi", "left").groupBy("lo", F.coalesce("top", "hi").alias("hi")).agg(
+        F.bool_or(F.col("top").isNotNull()).alias("moved")
     )
 
 
-def _small_star(links: DataFrame, moved: Observation) -> DataFrame:
+def _small_star(links: DataFrame) -> DataFrame:
     """Hang a child and its other parents below the child's highest parent."""
-    own = links.join(_highest_parent(links), "lo").observe(
-        moved, F.count_if(F.col("hi") != F.col("top")).alias("n")
-    )
-    return own.select(
-        F.when(F.col("hi") == F.col("top"), F.col("lo")).otherwise(F.col("hi")).alias("lo"),
-        F.col("top").alias("hi"),
-    ).distinct()
+    moves = F.col("hi") != F.col("top")
+    return links.join(_highest_parent(links), "lo").groupBy(
+        F.when(moves, F.col("hi")).otherwise(F.col("lo")).alias("lo"), F.col("top").alias("hi")
+    ).agg(F.bool_or(F.col("moved") | moves).alias("moved"))
 
 
 def contract(links: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
     """`lo, hi`: one row per account that is not its component's root, with that root.
 
-    The steps count what they move while their result is written. A retried task can only raise
-    such a count, and the loop ends on zero, so no second pass is needed to see convergence.
+    A round stores with its links which of them either step moved, so that the end is read from
+    stored rows, usually from the first partition.
     """
     for _ in range(max_rounds):
-        large, small = Observation(), Observation()
-        links = cut(_large_star(links, large))
-        links = cut(_small_star(links, small))
-        if large.get["n"] == 0 and small.get["n"] == 0:
+        stored = cut(_small_star(_large_star(links)))
+        links = stored.select("lo", "hi")
+        if stored.filter("moved").isEmpty():
             return links
     raise NotConverged(f"components did not settle within {max_rounds} rounds")
 
@@ -71,13 +64,10 @@ def component_labels(e: DataFrame, index: LinkIndex | None = None) -> DataFrame:
         index.accounts.join(roots.withColumnRenamed("lo", "vid"), "vid", "left")
         .select("id", F.coalesce("hi", "vid").alias("root"))
     )
-    sizes = cut(
-        labelled.groupBy("root").agg(F.min("id").alias("component"), F.count(F.lit(1)).alias("cluster_size"))
-    )
+    sizes = labelled.groupBy("root").agg(F.min("id").alias("component"), F.count(F.lit(1)).alias("cluster_size"))
     # At most HOT_SHARE components can each hold 1/HOT_SHARE of the accounts.
-    large = sizes.filter(
-        F.col("cluster_size") * HOT_SHARE >= sizes.agg(F.sum("cluster_size")).scalar()
-    )
+    accounts = labelled.agg(F.count(F.lit(1))).scalar()
+    large = sizes.filter(F.col("cluster_size") * HOT_SHARE >= accounts)
     linked = join_with_hot_keys(labelled, sizes, large, "root").select("id", "component", "cluster_size")
     # Accounts that only pay themselves have no link and are components of their own.
     alone = (

@@ -183,7 +183,7 @@ class LinkIndex:
 
 
 def index_links(e: DataFrame) -> LinkIndex:
-    und = cut(undirected(e))
+    und = undirected(e)
     counts = und.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
     accounts = cut(
         counts.orderBy("n", "id").select("id", "n").withColumn("vid", F.monotonically_increasing_id())

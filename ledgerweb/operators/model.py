@@ -86,10 +86,14 @@ def forest(columns: list[str], trees: int = NUM_TREES, depth: int = MAX_DEPTH, s
 
 
 def train(df: DataFrame, columns: list[str] = MODEL_FEATURES, **options) -> PipelineModel:
-    """Weighted random forest over `columns`; adds the class weight where it is missing."""
+    """Weighted random forest over `columns`; adds the class weight where it is missing.
+
+    A fitted forest keeps its training summary, which holds on to the session and cannot be sent
+    to executors once that session has observed a metric. The copy has no summary.
+    """
     if "weight" not in df.columns:
         df = with_class_weight(df)
-    return forest(columns, **options).fit(df)
+    return forest(columns, **options).fit(df).copy()
 
 
 def predict(model: PipelineModel, df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -57,9 +57,8 @@ def amount_deviation(tx: DataFrame, order: str = "seq") -> DataFrame:
     alike = F.col("_var") <= F.lit(1e-12) * F.col("_mean") * F.col("_mean")
     z = F.when(~alike, F.try_divide(F.col("amount") - F.col("_mean"), F.sqrt("_var")))
     return measured.select(
-        *tx.columns, F.col("_n").alias("prior_count"), F.round("_mean", 4).alias("prior_mean"),
-        F.round(F.when(alike, F.lit(0.0)).otherwise(F.sqrt("_var")), 4).alias("prior_std"),
-        F.round(z, 4).alias("amount_z"),
+        *tx.columns, F.col("_n").alias("prior_count"), F.col("_mean").alias("prior_mean"),
+        F.when(alike, F.lit(0.0)).otherwise(F.sqrt("_var")).alias("prior_std"), z.alias("amount_z"),
     )
 
 

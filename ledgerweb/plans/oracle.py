@@ -8,7 +8,7 @@ from __future__ import annotations
 from ledgerweb.operators import augment
 from ledgerweb.plans.queries import RECALL_RINGS, SLICES, TABLES, THRESHOLDS
 from ledgerweb.plans.views import LEDGER_SCORE
-from ledgerweb.schema import DEFAULT_SCORE, MIN_AMOUNT, PAYMENT_TYPES, ScoreConfig
+from ledgerweb.schema import ADDITIVE_FEATURES, DEFAULT_SCORE, MIN_AMOUNT, PAYMENT_TYPES, ScoreConfig
 
 STAMP = "strftime({0}, '%Y-%m-%d %H:%M:%S.%f')"
 
@@ -83,31 +83,46 @@ additive AS (
   FROM ends GROUP BY {group} id)"""
 
 
-def graph_of(g: str = "") -> str:
-    """Undirected pairs, triangles and components; `g` is an optional extra grouping column."""
-    comma = f"{g}, " if g else ""
+def equal(column: str, left: str, right: str) -> str:
+    return f" AND {left}.{column} = {right}.{column}" if column else ""
 
-    def eq(a: str, b: str) -> str:
-        return f" AND {a}.{g} = {b}.{g}" if g else ""
 
-    lead = {a: f"{a}.{g}, " if g else "" for a in ("r", "x", "n")}
+def triangles_of(g: str = "") -> str:
+    """Undirected pairs and triangles; `g` is an optional extra grouping column."""
+    comma = f"{g}, " if g else ""
     return f"""und AS (
   SELECT DISTINCT {comma} least(src, dst) AS a, greatest(src, dst) AS b FROM edges WHERE src <> dst),
 tri AS (
-  SELECT {lead['x']} x.a AS a, x.b AS b, y.b AS c FROM und x
-  JOIN und y ON x.b = y.a {eq('x', 'y')} JOIN und z ON z.a = x.a AND z.b = y.b {eq('x', 'z')}),
+  SELECT {f"x.{g}, " if g else ""} x.a AS a, x.b AS b, y.b AS c FROM und x
+  JOIN und y ON x.b = y.a {equal(g, 'x', 'y')} JOIN und z ON z.a = x.a AND z.b = y.b {equal(g, 'x', 'z')}),
 tri_count AS (
   SELECT {comma} id, count(*) AS triangle_count
   FROM (SELECT {comma} a AS id FROM tri UNION ALL SELECT {comma} b FROM tri UNION ALL SELECT {comma} c FROM tri)
-  GROUP BY {comma} id),
+  GROUP BY {comma} id)"""
+
+
+def graph_of(g: str = "") -> str:
+    """Pairs, triangles and components by listing every reachable pair."""
+    comma = f"{g}, " if g else ""
+    return f"""{triangles_of(g)},
 sym AS (SELECT {comma} a, b FROM und UNION ALL SELECT {comma} b, a FROM und),
 all_nodes AS (SELECT {comma} src AS id FROM edges UNION SELECT {comma} dst FROM edges),
 reach AS (
   SELECT {comma} id, id AS other FROM all_nodes
-  UNION SELECT {lead['r']} r.id, s.b FROM reach r JOIN sym s ON r.other = s.a {eq('r', 's')}),
+  UNION SELECT {f"r.{g}, " if g else ""} r.id, s.b FROM reach r JOIN sym s ON r.other = s.a {equal(g, 'r', 's')}),
 clusters AS (SELECT {comma} id, min(other) AS component, count(*) AS cluster_size FROM reach GROUP BY {comma} id)"""
 
 
+# Components again, by passing on the smallest id instead of listing all reachable pairs: for the
+# view whose one component is too large for that.
+MIN_LABEL = """label_nodes AS (SELECT src AS id FROM edges UNION SELECT dst FROM edges),
+label_sym AS (SELECT src AS a, dst AS b FROM edges UNION SELECT dst, src FROM edges),
+cc(id, component) USING KEY (id) AS (
+  SELECT id, id FROM label_nodes
+  UNION SELECT s.b, min(f.component) FROM cc f JOIN label_sym s ON s.a = f.id
+  JOIN recurring.cc r ON r.id = s.b WHERE f.component < r.component GROUP BY s.b),
+clusters AS (SELECT id, component, count(*) OVER (PARTITION BY component) AS cluster_size FROM cc)"""
+
 FULL = """feats AS (
   SELECT additive.id, degree, tx_count_in, tx_count_out, amount_in, amount_out, cluster_size,
          coalesce(triangle_count, 0) AS triangle_count
@@ -131,8 +146,6 @@ PAYMENT_ADDITIVE = f"{PAYMENT_EDGES}, {additive_of()}"
 
 FEATURE_LIST = "id, degree, tx_count_in, tx_count_out, amount_in, amount_out, cluster_size, triangle_count"
 
-# A bipartite graph's accounts have no triangle; on `payments` every account shares one component
-# only if the data says so, hence the same reachability as above.
 DIRTY = """dirty AS (
   SELECT CASE WHEN receiver = 'A7' THEN '  ' ELSE sender END AS sender,
          CASE WHEN receiver <> 'A8' THEN receiver END AS receiver,
@@ -222,10 +235,6 @@ def windows_sql(width: int, slide: int) -> str:
 totals AS (SELECT sender, s, count(*) AS tx_count, round({money('amount')}, 4) AS tx_amount FROM placed GROUP BY sender, s)"""
 
 
-WINDOW_OUT = f"""SELECT sender, {STAMP.format("make_timestamp(s * 1000000)")} AS window_start,
-  {STAMP.format("make_timestamp((s + {0}) * 1000000)")} AS window_end, tx_count, tx_amount FROM totals"""
-
-
 def window_out(width: int) -> str:
     return (
         f"SELECT sender, {STAMP.format('make_timestamp(s * 1000000)')} AS window_start, "
@@ -233,6 +242,21 @@ def window_out(width: int) -> str:
     )
 
 
+def smote_sql(columns: list[str], draws: int, buckets: int = 64, salt: str = "smote") -> str:
+    rows = ", ".join(f"{c} := {c}" for c in columns)
+    partner = " UNION ALL ".join(
+        f"SELECT *, {j} AS draw, coalesce(lead(struct_pack({rows}), {j + 1}) OVER w, first(struct_pack({rows})) OVER whole) AS partner "
+        "FROM placed WINDOW w AS (PARTITION BY bucket ORDER BY place, id), whole AS (PARTITION BY bucket ORDER BY place, id "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)" for j in range(draws)
+    )
+    s = f"'{salt}'"
+    return f"""placed AS (
+  SELECT a.*, floor({u(s, "'bucket'", 'a.id')} * {buckets}) AS bucket, md5({s} || ':' || a.id) AS place
+  FROM additive a JOIN labels_of l ON a.id = l.id WHERE label = 1),
+paired AS ({partner}),
+stepped AS (SELECT *, {u(s, "'step'", 'id', txt('draw'))} AS u FROM paired)"""
+
+
 def sweep_sql() -> str:
     values = ", ".join(f"({t})" for t in THRESHOLDS)
     return f"""counts AS (
@@ -356,6 +380,10 @@ ORACLE: dict[str, str] = {
     "class_ratio": select(
         "SELECT negatives, positives, round(negatives / nullif(positives, 0), 9) AS ratio FROM (SELECT count(*) FILTER (label = 0) "
         "AS negatives, count(*) FILTER (label = 1) AS positives FROM labels_of)", LEDGER, LABELS),
+    "smote_rows": select(
+        "SELECT id || '#' || draw AS id, "
+        + ", ".join(f"round({c} + u * (partner.{c} - {c}), 4) AS {c}" for c in ADDITIVE_FEATURES)
+        + ", 1 AS label FROM stepped", LEDGER_ADDITIVE, LABELS, smote_sql(ADDITIVE_FEATURES, 2)),
     "feature_summary": select(
         "SELECT count(*) AS nodes, max(degree) AS max_degree, max(amount_out) AS max_amount_out, "
         "count(*) FILTER (triangle_count = 0) AS zero_triangle_nodes, count(*) FILTER (cluster_size = 1) AS isolated_nodes FROM feats",
@@ -418,14 +446,24 @@ ORACLE: dict[str, str] = {
     "threshold_sweep": select(
         "SELECT *, round(tp / nullif(tp + fp, 0), 9) AS precision, round(tp / nullif(tp + fn, 0), 9) AS recall, "
         "round(2 * tp / nullif(2 * tp + fp + fn, 0), 9) AS f1 FROM counts", JUDGED, sweep_sql()),
+    "medallion_features": select(
+        "SELECT id, degree, tx_count_in, tx_count_out, cluster_size, triangle_count FROM feats", TRANSFERS,
+        "silver AS (SELECT DISTINCT sender, receiver, amount, date_trunc('second', ts) AS ts, is_fraud FROM transfers)",
+        rings_sql("silver"),
+        "final_rows AS (SELECT sender, receiver, amount FROM silver, range(3) UNION ALL SELECT sender, receiver, amount FROM ring_rows)",
+        edges_of("final_rows"), additive_of(), graph_of(), FULL),
+    "risk_scores_payments": select(
+        f"SELECT *, {band_sql(DEFAULT_SCORE)} AS label FROM (SELECT *, {score_sql(DEFAULT_SCORE)} AS fraud_score FROM feats)",
+        PAYMENT_ADDITIVE, triangles_of(), MIN_LABEL, FULL),
     "velocity_1h": select(
         "SELECT seq, sender, count(*) OVER w AS velocity_count, round(CAST(sum(CAST(amount AS DECIMAL(24,8))) OVER w AS DOUBLE), 4) "
         "AS velocity_amount FROM (SELECT *, CAST(floor(epoch(ts)) AS BIGINT) AS sec FROM transfers) "
         "WINDOW w AS (PARTITION BY sender ORDER BY sec RANGE BETWEEN 3600 PRECEDING AND CURRENT ROW)", TRANSFERS),
     "amount_zscore": select(
-        "SELECT seq, sender, n AS prior_count, round(m, 4) AS prior_mean, round(sd, 4) AS prior_std, "
-        "round(CASE WHEN sd > 1e-6 * abs(m) THEN (amount - m) / sd END, 4) AS amount_z FROM (SELECT seq, sender, amount, "
-        "count(*) OVER w AS n, avg(amount) OVER w AS m, stddev_samp(amount) OVER w AS sd FROM transfers "
+        "SELECT seq, sender, n AS prior_count, round(m, 8) AS prior_mean, round(sd, 6) AS prior_std, "
+        "round(CASE WHEN sd > 1e-6 * abs(m) THEN (amount - m) / sd END, 6) AS amount_z FROM (SELECT seq, sender, amount, "
+        "count(*) OVER w AS n, CAST(sum(CAST(amount AS DECIMAL(15,4))) OVER w AS DOUBLE) / nullif(count(*) OVER w, 0) AS m, "
+        "stddev_samp(amount) OVER w AS sd FROM transfers "
         "WINDOW w AS (PARTITION BY sender ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))", TRANSFERS),
     "hourly_windows": select(window_out(3600), TRANSFERS, windows_sql(3600, 3600)),
     "sliding_windows": select(window_out(3600), TRANSFERS, windows_sql(3600, 1800)),

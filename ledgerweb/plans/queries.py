@@ -465,7 +465,8 @@ def velocity_1h(spark, d):
 @query
 def amount_zscore(spark, d):
     return temporal.amount_deviation(views.transfers(spark, d)).select(
-        "seq", "sender", "prior_count", "prior_mean", "prior_std", "amount_z")
+        "seq", "sender", "prior_count", F.round("prior_mean", 8).alias("prior_mean"),
+        F.round("prior_std", 6).alias("prior_std"), F.round("amount_z", 6).alias("amount_z"))
 
 
 @query

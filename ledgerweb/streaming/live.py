@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerweb.functions.amounts import money_sum
-from ledgerweb.functions.lineage import cut
 from ledgerweb.operators import features as feature_ops
 from ledgerweb.operators import graph, scoring
 from ledgerweb.schema import DEFAULT_SCORE, ScoreConfig
@@ -18,6 +17,7 @@ TOP_K = 8
 
 
 def score_state(
+    spark: SparkSession,
     edges: DataFrame,
     batch_id: int,
     out_dir: str,
@@ -28,12 +28,16 @@ def score_state(
     """Features, scores and progress of the graph so far, under this batch's own folders.
 
     Every table is written to `<table>/batch_id=<n>` in overwrite mode, so a batch that is repeated
-    after a failure replaces its own output.
+    after a failure replaces its own output. The stored edges are read back through the caller's
+    session: the one a micro-batch runs in has adaptive execution, and with it the splitting of
+    skewed joins, turned off.
     """
-    state = cut(edges)
-    state.write.mode("overwrite").parquet(f"{out_dir}/edges/batch_id={batch_id}")
-    scored = cut(scoring.band(scorer(feature_ops.from_edges(state)), config=config))
-    scored.write.mode("overwrite").parquet(f"{out_dir}/scores/batch_id={batch_id}")
+    stored = f"{out_dir}/edges/batch_id={batch_id}"
+    edges.write.mode("overwrite").parquet(stored)
+    state = spark.read.parquet(stored)
+    judged = f"{out_dir}/scores/batch_id={batch_id}"
+    scoring.band(scorer(feature_ops.from_edges(state)), config=config).write.mode("overwrite").parquet(judged)
+    scored = spark.read.parquet(judged)
     scoring.top_scored(scored, TOP_K).write.mode("overwrite").parquet(f"{out_dir}/top/batch_id={batch_id}")
     alerts = scored.agg(F.count_if(F.col(scoring.SCORE) >= config.fraud).alias("n")).scalar()
     total = F.lit(total_rows).cast("bigint")
@@ -57,11 +61,12 @@ def run(
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Keep the collapsed edges as streaming state and rescore all accounts on every batch."""
+    spark = stream.sparkSession
     return (
         graph.edges(stream).writeStream.outputMode("complete")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
-        .foreachBatch(lambda df, n: score_state(df, n, out_dir, scorer, total_rows, config))
+        .foreachBatch(lambda df, n: score_state(spark, df, n, out_dir, scorer, total_rows, config))
         .start()
     )
 
