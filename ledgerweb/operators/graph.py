@@ -90,7 +90,7 @@ def induced(e: DataFrame, kept: DataFrame) -> DataFrame:
 
 def top_hub_subgraph(e: DataFrame, k_edges: int = 2000, k_nodes: int = 40) -> DataFrame:
     """The best-connected accounts within the heaviest edges, and the edges among them."""
-    sample = top_edges(e, k_edges)
+    sample = cut(top_edges(e, k_edges))
     return induced(sample, top_hubs(sample, k_nodes)).select("src", "dst", "transaction_count", "total_amount")
 
 

@@ -163,15 +163,15 @@ def pr_auc(df: DataFrame, score: str = SCORE, label: str = "label") -> DataFrame
     curve = running(
         points, [], [F.col("s").desc()],
         sums={"seen_before": F.col("n"), "tp_before": F.col("tp")},
-        maxes={"highest": F.col("s")},
     )
-    positives = points.agg(F.sum("tp")).scalar()
     tp, seen = F.col("tp_before") + F.col("tp"), F.col("seen_before") + F.col("n")
     precision = tp / seen
     # Before the first point the curve is level: (0, first precision).
     earlier = F.when(F.col("seen_before") > 0, F.try_divide("tp_before", "seen_before")).otherwise(precision)
-    area = F.try_divide(F.col("tp").cast("double"), positives) * (precision + earlier) / 2
-    return curve.agg(F.round(F.sum(area.cast("decimal(38,18)")).cast("double"), 9).alias("pr_auc"))
+    # Recall rises by this score's positives over all positives; the division comes last.
+    strip = F.col("tp") * (precision + earlier) / 2
+    area = F.try_divide(F.sum(strip.cast("decimal(38,18)")).cast("double"), F.sum("tp"))
+    return curve.agg(F.round(area, 9).alias("pr_auc"))
 
 
 def threshold_sweep(

@@ -73,7 +73,7 @@ def window_totals(tx: DataFrame, width: str = "1 hour", slide: str | None = None
 
 
 def sessions(tx: DataFrame, gap_seconds: int = 1800) -> DataFrame:
-    """Per sender: bursts of transactions less than `gap_seconds` apart.
+    """Per sender: bursts of transactions at most `gap_seconds` apart.
 
     Sessions are first formed within a day and then joined across days, so that no task has to
     sort the whole history of one sender; the second step sees sessions, not transactions.
@@ -84,7 +84,7 @@ def sessions(tx: DataFrame, gap_seconds: int = 1800) -> DataFrame:
         .select("sender", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n", "amt")
     )
     in_order = W.partitionBy("sender").orderBy("start")
-    opens = F.coalesce(F.col("start") >= F.lag("end").over(in_order), F.lit(True)).cast("int")
+    opens = F.coalesce(F.col("start") > F.lag("end").over(in_order), F.lit(True)).cast("int")
     numbered = daily.withColumn("opens", opens).withColumn(
         "nth", F.sum("opens").over(in_order.rowsBetween(W.unboundedPreceding, 0))
     )

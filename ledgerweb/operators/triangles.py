@@ -15,14 +15,17 @@ from ledgerweb.operators.graph import LinkIndex, index_links
 
 
 def closing_corners(links: DataFrame) -> DataFrame:
-    """`lo, hi, corners`: every triangle once, on the link of its two lowest accounts."""
+    """`lo, hi, corners`: every triangle once, on the link of its two lowest accounts.
+
+    Links without a triangle stay, with an empty list: a filter on it would be evaluated inside the
+    join, and the intersection would then be computed twice.
+    """
     outgoing = links.groupBy("lo").agg(F.collect_list("hi").alias("heads"))
     of_hi = outgoing.select(F.col("lo").alias("hi"), F.col("heads").alias("hi_heads"))
     of_lo = outgoing.filter(F.size("heads") >= 2).withColumnRenamed("heads", "lo_heads")
     return (
         links.join(of_hi, "hi").join(of_lo, "lo")
         .select("lo", "hi", F.array_intersect("hi_heads", "lo_heads").alias("corners"))
-        .filter(F.size("corners") > 0)
     )
 
 
@@ -34,7 +37,8 @@ def triangles_by_vid(links: DataFrame) -> DataFrame:
                 F.struct(F.col("hi").alias("vid"), size.alias("n"))),
         F.transform("corners", lambda c: F.struct(c.alias("vid"), F.lit(1).cast("bigint").alias("n"))),
     )
-    return found.select(F.inline(shares)).groupBy("vid").agg(F.sum("n").alias("triangle_count"))
+    counted = found.select(F.inline(shares)).groupBy("vid").agg(F.sum("n").alias("triangle_count"))
+    return counted.filter("triangle_count > 0")
 
 
 def triangle_counts(e: DataFrame, index: LinkIndex | None = None) -> DataFrame:

@@ -476,6 +476,10 @@ ORACLE: dict[str, str] = {
     "cycles_len3": select(
         "SELECT 3 AS length, x.src || '>' || y.src || '>' || z.src AS ring FROM edges x JOIN edges y ON x.dst = y.src "
         "JOIN edges z ON y.dst = z.src AND z.dst = x.src WHERE x.src < y.src AND x.src < z.src AND y.src <> z.src", LEDGER_EDGES),
+    "cycles_len4_by_account": select(
+        "SELECT w.src AS id, count(*) AS rings FROM edges w JOIN edges x ON w.dst = x.src JOIN edges y ON x.dst = y.src "
+        "JOIN edges z ON y.dst = z.src AND z.dst = w.src WHERE w.src < w.dst AND w.src < x.dst AND w.src < y.dst "
+        "AND w.dst <> x.dst AND w.dst <> y.dst AND x.dst <> y.dst GROUP BY w.src", TRANSFER_EDGES),
     "ring_recall": select(
         "SELECT ring_size, count(*) AS rings, count(*) FILTER (whole) AS whole, count(*) FILTER (found) AS found FROM verdict GROUP BY ring_size",
         PAYMENTS, rings_sql("payments", **RECALL_RINGS),

@@ -251,7 +251,7 @@ def labelled_features(spark, d):
 
 @query
 def class_weights(spark, d):
-    return model.with_class_weight(features.labels(views.ledger(spark, d))).withColumn(
+    return model.with_class_weight(cut(features.labels(views.ledger(spark, d)))).withColumn(
         "weight", F.round("weight", 9))
 
 
@@ -494,6 +494,12 @@ def cycles_len3(spark, d):
     return rings.cycles(graph.edges(views.ledger(spark, d)), (3,)).select("length", "ring")
 
 
+@query
+def cycles_len4_by_account(spark, d):
+    found = rings.cycles(graph.edges(views.transfers(spark, d)), (4,))
+    return found.groupBy(F.col("members")[0].alias("id")).agg(F.count(F.lit(1)).alias("rings"))
+
+
 RECALL_RINGS = {"n_rings": 200, "size": (3, 5), "rewire": 0.15, "noise": (1, 2)}
 
 

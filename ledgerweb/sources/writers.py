@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
 def write_table(df: DataFrame, target: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
     """Replace a table, schema included. A target with a slash is a path, else a catalog name.
 
-    `fmt="delta"` works where the cluster has that package on its classpath.
+    `fmt="delta"` works where the cluster has that package on its classpath. Rows of a partitioned
+    table are first brought together by partition value; the hint lets Spark split a value that
+    holds many rows over several files and put small ones together.
     """
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     writer = df.write.format(fmt).mode("overwrite")
     if fmt == "delta":
         writer = writer.option("overwriteSchema", True)
