@@ -1,18 +1,41 @@
-"""Joins whose key may hold a large share of the rows."""
+"""Joins whose key may hold a large share of the rows.
+
+AQE splits a skewed partition only where both join inputs come straight from a shuffle. The joins
+here look up a per-key aggregate, which sits between its shuffle and the join, so the rows of the
+heaviest keys are taken out and joined by broadcast.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerweb.functions.lineage import cut
+
+# A key is hot with at least 1/HOT_SHARE of the rows, so at most HOT_SHARE keys are. Fewer rows
+# than HOT_ROWS are no burden for a task, whatever their share.
+HOT_SHARE = 1000
+HOT_ROWS = 1_000_000
+
+
+def hot_keys(df: DataFrame, key: str) -> DataFrame | None:
+    """The hot values of `key`, at most HOT_SHARE rows; None where there are none."""
+    rows = df.count()
+    if rows < HOT_ROWS:
+        return None
+    at_least = max(HOT_ROWS, -(-rows // HOT_SHARE))
+    found = cut(
+        df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= at_least).select(key)
+    )
+    return None if found.isEmpty() else found
 
-def join_with_hot_keys(left: DataFrame, right: DataFrame, hot: DataFrame, key: str) -> DataFrame:
-    """Inner join of `left` with `right` (unique on `key`), rows of hot keys without a shuffle.
 
-    `hot` is the subset of `right` that is broadcast. The caller proves its size bound; a key
-    with at least 1/1000 of the rows, for example, leaves at most 1000 rows.
-    """
-    hot_keys = hot.select(key)
-    on_hot = left.join(F.broadcast(hot), key)
-    rest = left.join(F.broadcast(hot_keys), key, "left_anti")
-    return on_hot.unionByName(rest.join(right.join(F.broadcast(hot_keys), key, "left_anti"), key))
+def join_hot(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Inner or left join of stored rows `left` with `right`, which is unique on `key`."""
+    hot = hot_keys(left, key)
+    if hot is None:
+        return left.join(right, key, how)
+    looked_up = hot.join(right.join(F.broadcast(hot), key, "left_semi"), key, how)
+    on_hot = left.join(F.broadcast(looked_up), key)
+    rest = left.join(F.broadcast(hot), key, "left_anti")
+    return on_hot.unionByName(rest.join(right, key, how))

@@ -10,12 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerweb.functions.hot import join_with_hot_keys
+from ledgerweb.functions.hot import join_hot
 from ledgerweb.functions.lineage import cut
 from ledgerweb.operators.graph import LinkIndex, index_links, nodes
 
 MAX_ROUNDS = 60
-HOT_SHARE = 1000
 
 
 class NotConverged(RuntimeError):
@@ -29,7 +28,7 @@ def _highest_parent(links: DataFrame) -> DataFrame:
 def _large_star(links: DataFrame) -> DataFrame:
     """Hang every child below its parent's own highest parent."""
     grand = _highest_parent(links).select(F.col("lo").alias("hi"), "top")
-    return links.join(grand, "hi", "left").groupBy("lo", F.coalesce("top", "hi").alias("hi")).agg(
+    return join_hot(links, grand, "hi", "left").groupBy("lo", F.coalesce("top", "hi").alias("hi")).agg(
         F.bool_or(F.col("top").isNotNull()).alias("moved")
     )
 
@@ -66,9 +65,7 @@ def component_labels(e: DataFrame, index: LinkIndex | None = None) -> DataFrame:
     )
     sizes = labelled.groupBy("root").agg(F.min("id").alias("component"), F.count(F.lit(1)).alias("cluster_size"))
     # At most HOT_SHARE components can each hold 1/HOT_SHARE of the accounts.
-    accounts = labelled.agg(F.count(F.lit(1))).scalar()
-    large = sizes.filter(F.col("cluster_size") * HOT_SHARE >= accounts)
-    linked = join_with_hot_keys(labelled, sizes, large, "root").select("id", "component", "cluster_size")
+    linked = join_hot(labelled, sizes, "root").select("id", "component", "cluster_size")
     # Accounts that only pay themselves have no link and are components of their own.
     alone = (
         nodes(e.filter(F.col("src") == F.col("dst")))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerweb.functions.hot import join_hot
 from ledgerweb.operators.graph import LinkIndex, index_links
 
 
@@ -23,8 +24,10 @@ def closing_corners(links: DataFrame) -> DataFrame:
     outgoing = links.groupBy("lo").agg(F.collect_list("hi").alias("heads"))
     of_hi = outgoing.select(F.col("lo").alias("hi"), F.col("heads").alias("hi_heads"))
     of_lo = outgoing.filter(F.size("heads") >= 2).withColumnRenamed("heads", "lo_heads")
+    # An account many links point to has few outgoing ones itself (at most 2 * links / neighbours),
+    # so the lists that are broadcast for hot accounts are short. No `lo` is hot.
     return (
-        links.join(of_hi, "hi").join(of_lo, "lo")
+        join_hot(links, of_hi, "hi").join(of_lo, "lo")
         .select("lo", "hi", F.array_intersect("hi_heads", "lo_heads").alias("corners"))
     )
 

@@ -1,5 +1,6 @@
 import pytest
 
+from ledgerweb.functions import hot
 from ledgerweb.operators import components, features, graph, triangles
 from ledgerweb.schema import FEATURES
 from ledgerweb.sources.readers import sample_rows
@@ -77,6 +78,12 @@ def test_against_brute_force(spark, seed, hub):
     assert full(shuffled) == expected
 
 
+def test_against_brute_force_with_hot_accounts(spark, monkeypatch):
+    monkeypatch.setattr(hot, "HOT_ROWS", 5)
+    pairs = random_pairs(40, 160, 8, 0.4)
+    assert full(tx(spark, pairs)) == brute_features(pairs)
+
+
 def test_invariants(spark):
     pairs = random_pairs(60, 200, 5)
     df = tx(spark, pairs)

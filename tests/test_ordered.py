@@ -1,6 +1,8 @@
 import random
 
-from ledgerweb.functions.hot import join_with_hot_keys
+import pytest
+
+from ledgerweb.functions import hot
 from ledgerweb.functions.ordered import global_rank, running
 from pyspark.sql import functions as F
 
@@ -32,8 +34,15 @@ def test_rank(spark):
     assert sorted(r["rank"] for r in ranked) == list(range(1, 501))
 
 
-def test_join_with_hot_keys(spark):
-    left = spark.range(1000).select(F.when(F.col("id") < 400, 0).otherwise(F.col("id") % 50).alias("k"), "id")
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("hot_rows", [100, 1_000_000])
+def test_join_hot(spark, monkeypatch, how, hot_rows):
+    monkeypatch.setattr(hot, "HOT_ROWS", hot_rows)
+    left = spark.range(1000).select(
+        F.when(F.col("id") < 400, 0).when(F.col("id") < 600, 99).otherwise(F.col("id") % 50).alias("k"), "id")
     right = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    got = join_with_hot_keys(left, right, right.filter("k = 0"), "k")
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, left.join(right, "k").collect()))
+    found = hot.hot_keys(left, "k")
+    assert (None if found is None else sorted(r["k"] for r in found.collect())) == ([0, 99] if hot_rows == 100 else None)
+    got = hot.join_hot(left, right, "k", how).select("k", "id", "v")
+    expected = left.join(right, "k", how).select("k", "id", "v")
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
