@@ -14,8 +14,6 @@ from ledgerweb.llm import block_names, lang_profiles, packing, simhash_bk, suffi
 from ledgerweb.llm.common import ROW, keyed, remainder
 from ledgerweb.llm.queries import END_ID, WORD_BPE
 
-LEAST_LANGUAGE_SCORE = 0.1
-
 
 
 def _whole_rows(docs: DataFrame, *columns: str) -> tuple[DataFrame, list[str]]:
@@ -25,11 +23,11 @@ def _whole_rows(docs: DataFrame, *columns: str) -> tuple[DataFrame, list[str]]:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known: rejected are null texts, texts without letters, and texts unlike every profile."""
+    """Documents whose language is determined: null texts and texts without letters are rejected."""
     profiles = lang_profiles.learn(docs.filter(remainder("doc_id", 5) != 0))
     names = ["text" if c.lower() == "text" else f"column_{i}" for i, c in enumerate(docs.columns)]
     found = lang_profiles.identify(docs.toDF(*names), profiles)
-    kept = found.filter((F.col("lang_pred") != lang_profiles.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
+    kept = found.filter(F.col("lang_pred") != lang_profiles.UNDETERMINED)
     return kept.select(*names).toDF(*docs.columns)
 
 

@@ -84,12 +84,13 @@ def resolved(base: Column, target: Column) -> Column:
 def page_links(pages: DataFrame) -> DataFrame:
     """`url, target`: canonical links and redirects (`http-equiv="refresh"`) that the pages of `pages(url, html)` declare."""
     def value(name: str) -> Column:
-        return F.regexp_extract("tag", rf"""(?is)\b{name}\s*=\s*["']?\s*([^"'>]*)""", 1)
+        pattern = rf"""(?is)\b{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+        return F.concat(*[F.regexp_extract("tag", pattern, i) for i in (1, 2, 3)])
 
     tag = F.explode(F.regexp_extract_all("html", F.lit(r"(?i)(<link\s[^>]*canonical[^>]*>|<meta\s[^>]*refresh[^>]*>)"), 1)).alias("tag")
     # Stored between the steps: few rows, and expressions that would be repeated many times in one.
     tags = stored(pages.filter(F.col("url").contains("://")).select("url", tag), "tags")
-    refresh = F.regexp_extract("tag", r"""(?is)\bcontent\s*=\s*["']?[\s0-9.]*[;,]?\s*url\s*=\s*["']?\s*([^"'>]*)""", 1)
+    refresh = F.regexp_extract(value("content"), r"""(?is)^[\s0-9.]*[;,]?\s*url\s*=\s*["']?([^"']*)""", 1)
     target = (
         F.when(F.lower(value("rel")).rlike(r"(^|\s)canonical(\s|$)"), value("href"))
         .when(F.lower(F.trim(value("http-equiv"))) == "refresh", refresh))
