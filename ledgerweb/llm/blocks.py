@@ -9,6 +9,7 @@ retries the lists like any other rows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -17,7 +18,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerweb.llm.common import stored, text_batches
+from ledgerweb.functions.lineage import scratch_path
+from ledgerweb.llm.common import text_batches
 
 BLOCK_BYTES = 8 << 20
 BLOCK_SCHEMA = "block long, n long, keys binary, body binary, parts array<struct<bucket int, data binary>>"
@@ -54,7 +56,23 @@ def build(docs: DataFrame, make: Callable, name: str, block_bytes: int = BLOCK_B
                 [{"block": number, "n": int(n), "keys": keys, "body": body, "parts": parts_of(parts)}], BLOCK_ARROW)
             number += 1
 
-    return stored(docs.mapInArrow(run, BLOCK_SCHEMA), name, "uncompressed")
+    return bucketed(docs.mapInArrow(run, BLOCK_SCHEMA), name)
+
+
+def bucketed(blocks: DataFrame, name: str) -> DataFrame:
+    """Blocks stored by bucket of their number, so that joins on it don't shuffle their bodies.
+
+    The catalog's entry is only needed to read the bucketing and goes at once; the files stay in the shared folder.
+    """
+    spark, table = blocks.sparkSession, f"blocks_{uuid.uuid4().hex}"
+    (
+        blocks.write.bucketBy(bucket_count(blocks), "block").option("compression", "uncompressed")
+        .option("path", scratch_path(spark, name)).saveAsTable(table)
+    )
+    held = spark.table(table)
+    held.schema  # noqa: B018  resolves the table
+    spark.sql(f"DROP TABLE {table}")
+    return held
 
 
 PART_ARROW = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("data", pa.binary())])
