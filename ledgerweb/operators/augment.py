@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from ledgerweb.functions.clock import jitter, shift_days
 from ledgerweb.functions.draws import integer_between, uniform, uniform_between
@@ -44,20 +43,16 @@ def ring_rows(
     size: tuple[int, int] = (5, 10),
     rewire: float = 0.6,
     noise: tuple[int, int] = (5, 8),
-    pool_size: int = 5000,
     salt: str = "ring",
 ) -> DataFrame:
     """Labelled ring payments and unlabelled noise around them.
 
-    `ring, kind, step, sender, receiver, amount, ts, is_fraud, rewired`. The pool is a hash
-    sample of the accounts, so a run of neighbouring pool positions is a random draw without
-    replacement; a ring takes one such run. Step i pays step i + 1, the last one the first, unless
-    the step is rewired to a random pool account.
+    `ring, kind, step, sender, receiver, amount, ts, is_fraud, rewired`. The pool is all accounts in
+    the order of a hash, so a run of neighbouring places is a random draw without replacement; a
+    ring takes one such run. Step i pays step i + 1, the last one the first, unless the step is
+    rewired to a random account.
     """
-    pool = cut(
-        account_pool(tx, pool_size, salt)
-        .withColumn("place", F.row_number().over(W.orderBy(F.md5(F.concat_ws(":", F.lit(salt), "id")), "id")) - 1)
-    )
+    pool = cut(account_pool(tx, salt))
     members = pool.agg(F.count(F.lit(1)).alias("n")).scalar()
     spark = tx.sparkSession
 
@@ -96,9 +91,8 @@ def ring_rows(
     drawn = ring_part.unionByName(noise_part).withColumn(
         "ts", jitter(F.lit(BASE_TIME).cast("timestamp"), JITTER_SECONDS, salt, F.lit("ts"), "kind", "ring", "step")
     )
-    # The pool never has more than `pool_size` rows.
-    senders = F.broadcast(pool.select(F.col("place").cast("bigint").alias("from_place"), F.col("id").alias("sender")))
-    receivers = F.broadcast(pool.select(F.col("place").cast("bigint").alias("to_place"), F.col("id").alias("receiver")))
+    senders = pool.select(F.col("place").alias("from_place"), F.col("id").alias("sender"))
+    receivers = pool.select(F.col("place").alias("to_place"), F.col("id").alias("receiver"))
     return drawn.join(senders, "from_place").join(receivers, "to_place").select(
         "ring", "kind", "step", "sender", "receiver", "amount", "ts", "is_fraud", "rewired"
     )

@@ -3,6 +3,10 @@
 Alternating large-star and small-star steps (Kiveris et al., SoCC 2014) on links that point from
 child to parent, parents having the higher number. Since accounts are numbered by neighbour
 count, hubs become parents and the first rounds already collapse most of the graph.
+
+Every half round is one join and one aggregation, and is stored, as is the table of highest
+parents that it joins. Both sides of the join then come straight from a shuffle, so that adaptive
+execution splits a hub's partition whichever step the hub is hot in.
 """
 
 from __future__ import annotations
@@ -10,8 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerweb.functions.hot import join_hot
-from ledgerweb.functions.lineage import cut
+from ledgerweb.functions.lineage import stored
 from ledgerweb.operators.graph import LinkIndex, index_links, nodes
 
 MAX_ROUNDS = 60
@@ -22,59 +25,67 @@ class NotConverged(RuntimeError):
 
 
 def _highest_parent(links: DataFrame) -> DataFrame:
-    return links.groupBy("lo").agg(F.max("hi").alias("top"))
+    return stored(links.groupBy("lo").agg(F.max("hi").alias("top")), "parents")
 
 
 def _large_star(links: DataFrame) -> DataFrame:
     """Hang every child below its parent's own highest parent."""
-    grand = _highest_parent(links).select(F.col("lo").alias("hi"), "top")
-    return join_hot(links, grand, "hi", "left").groupBy("lo", F.coalesce("top", "hi").alias("hi")).agg(
-        F.bool_or(F.col("top").isNotNull()).alias("moved")
-    )
+    grand = _highest_parent(links).withColumnRenamed("lo", "hi")
+    hung = links.join(grand, "hi", "left").groupBy("lo", F.coalesce("top", "hi").alias("hi"))
+    return stored(hung.agg(F.bool_or(F.col("top").isNotNull()).alias("moved")), "large")
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """Hang a child and its other parents below the child's highest parent."""
     moves = F.col("hi") != F.col("top")
-    return links.join(_highest_parent(links), "lo").groupBy(
-        F.when(moves, F.col("hi")).otherwise(F.col("lo")).alias("lo"), F.col("top").alias("hi")
-    ).agg(F.bool_or(F.col("moved") | moves).alias("moved"))
+    hung = links.join(_highest_parent(links), "lo").groupBy(
+        F.when(moves, F.col("hi")).otherwise(F.col("lo")).alias("lo"), F.col("top").alias("hi"))
+    return stored(hung.agg(F.bool_or(F.col("moved") | moves).alias("moved")), "small")
 
 
 def contract(links: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
     """`lo, hi`: one row per account that is not its component's root, with that root.
 
     A round stores with its links which of them either step moved, so that the end is read from
-    stored rows, usually from the first partition.
+    stored rows.
     """
     for _ in range(max_rounds):
-        stored = cut(_small_star(_large_star(links)))
-        links = stored.select("lo", "hi")
-        if stored.filter("moved").isEmpty():
+        small = _small_star(_large_star(links))
+        links = small.select("lo", "hi")
+        if small.filter("moved").isEmpty():
             return links
     raise NotConverged(f"components did not settle within {max_rounds} rounds")
 
 
+def _labelled(index: LinkIndex) -> tuple[DataFrame, DataFrame]:
+    """Linked accounts with their component's root, and the components."""
+    roots = contract(index.links)
+    labelled = stored(
+        index.accounts.join(roots.withColumnRenamed("lo", "vid"), "vid", "left")
+        .select("id", F.coalesce("hi", "vid").alias("root")), "labelled")
+    sizes = stored(
+        labelled.groupBy("root").agg(F.min("id").alias("component"), F.count(F.lit(1)).alias("cluster_size")), "sizes")
+    return labelled, sizes
+
+
+def _alone(e: DataFrame, index: LinkIndex) -> DataFrame:
+    """Accounts that only pay themselves: they have no link and are components of their own."""
+    loops = nodes(e.filter(F.col("src") == F.col("dst")))
+    return loops.join(index.accounts.select("id"), "id", "left_anti")
+
+
 def component_labels(e: DataFrame, index: LinkIndex | None = None) -> DataFrame:
     """`id, component, cluster_size`; the component is named after its smallest account id."""
     index = index or index_links(e)
-    roots = contract(index.links)
-    labelled = cut(
-        index.accounts.join(roots.withColumnRenamed("lo", "vid"), "vid", "left")
-        .select("id", F.coalesce("hi", "vid").alias("root"))
-    )
-    sizes = labelled.groupBy("root").agg(F.min("id").alias("component"), F.count(F.lit(1)).alias("cluster_size"))
-    # At most HOT_SHARE components can each hold 1/HOT_SHARE of the accounts.
-    linked = join_hot(labelled, sizes, "root").select("id", "component", "cluster_size")
-    # Accounts that only pay themselves have no link and are components of their own.
-    alone = (
-        nodes(e.filter(F.col("src") == F.col("dst")))
-        .join(index.accounts.select("id"), "id", "left_anti")
-        .select("id", F.col("id").alias("component"), F.lit(1).cast("bigint").alias("cluster_size"))
-    )
-    return linked.unionByName(alone)
+    labelled, sizes = _labelled(index)
+    linked = labelled.join(sizes, "root").select("id", "component", "cluster_size")
+    return linked.unionByName(
+        _alone(e, index).select("id", F.col("id").alias("component"), F.lit(1).cast("bigint").alias("cluster_size")))
 
 
 def component_sizes(e: DataFrame, index: LinkIndex | None = None) -> DataFrame:
     """One row per component."""
-    return component_labels(e, index).groupBy("component").agg(F.count(F.lit(1)).alias("cluster_size"))
+    index = index or index_links(e)
+    _, sizes = _labelled(index)
+    return sizes.select("component", "cluster_size").unionByName(
+        _alone(e, index).select(F.col("id").alias("component"), F.lit(1).cast("bigint").alias("cluster_size")))

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerweb.functions.amounts import money_sum, money_sum_if
-from ledgerweb.functions.draws import uniform
-from ledgerweb.functions.lineage import cut
+from ledgerweb.functions.lineage import cut, stored
+from ledgerweb.functions.ordered import global_rank
 
 
 def edges(tx: DataFrame) -> DataFrame:
@@ -38,9 +38,13 @@ def nodes(tx: DataFrame) -> DataFrame:
     )
 
 
-def account_pool(tx: DataFrame, limit: int = 5000, salt: str = "pool") -> DataFrame:
-    """At most `limit` accounts, chosen by a hash of the id."""
-    return nodes(tx).orderBy(F.md5(F.concat_ws(":", F.lit(salt), "id")), "id").limit(limit)
+def account_pool(tx: DataFrame, salt: str = "pool") -> DataFrame:
+    """All accounts with their `place`, from 0, in the order of a hash of the id.
+
+    Neighbouring places are a random draw without replacement.
+    """
+    hashed = nodes(tx).withColumn("hash", F.md5(F.concat_ws(":", F.lit(salt), "id")))
+    return global_rank(hashed, [F.col("hash"), F.col("id")]).select("id", (F.col("rank") - 1).alias("place"))
 
 
 def additive_features(e: DataFrame) -> DataFrame:
@@ -88,10 +92,10 @@ def induced(e: DataFrame, kept: DataFrame) -> DataFrame:
     )
 
 
-def top_hub_subgraph(e: DataFrame, k_edges: int = 2000, k_nodes: int = 40) -> DataFrame:
-    """The best-connected accounts within the heaviest edges, and the edges among them."""
-    sample = cut(top_edges(e, k_edges))
-    return induced(sample, top_hubs(sample, k_nodes)).select("src", "dst", "transaction_count", "total_amount")
+def top_hub_subgraph(e: DataFrame, k_nodes: int = 40, k_edges: int | None = None) -> DataFrame:
+    """The best-connected accounts and the edges among them; with `k_edges` within that many heaviest edges."""
+    kept = cut(e if k_edges is None else top_edges(e, k_edges))
+    return induced(kept, top_hubs(kept, k_nodes)).select("src", "dst", "transaction_count", "total_amount")
 
 
 def viz_nodes(e: DataFrame, threshold: int = 10) -> DataFrame:
@@ -103,7 +107,7 @@ def viz_nodes(e: DataFrame, threshold: int = 10) -> DataFrame:
 
 
 def viz_edges(e: DataFrame) -> DataFrame:
-    """Edge table of a drawing: width and tooltip."""
+    """Edge table of a drawing: width and tooltip, whose wording is fixed."""
     return e.select(
         "src", "dst", F.col("transaction_count").alias("value"),
         F.concat(
@@ -183,20 +187,13 @@ class LinkIndex:
 
 
 def index_links(e: DataFrame) -> LinkIndex:
-    und = undirected(e)
+    und = stored(undirected(e), "pairs")
     counts = und.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-    accounts = cut(
-        counts.orderBy("n", "id").select("id", "n").withColumn("vid", F.monotonically_increasing_id())
-    ).select("vid", "id")
+    accounts = stored(
+        counts.orderBy("n", "id").select("id").withColumn("vid", F.monotonically_increasing_id()), "accounts")
     of_a = accounts.select(F.col("id").alias("a"), F.col("vid").alias("va"))
     of_b = accounts.select(F.col("id").alias("b"), F.col("vid").alias("vb"))
-    links = cut(
-        und.join(of_a, "a").join(of_b, "b")
-        .select(F.least("va", "vb").alias("lo"), F.greatest("va", "vb").alias("hi"))
-    )
+    links = stored(
+        und.join(of_a, "a").join(of_b, "b").select(F.least("va", "vb").alias("lo"), F.greatest("va", "vb").alias("hi")), "links")
     return LinkIndex(accounts, links)
 
-
-def salted_sample(df: DataFrame, fraction: float, key: str = "id", salt: str = "sample") -> DataFrame:
-    """Rows whose key falls into the given share of the hash range."""
-    return df.filter(uniform(salt, key) < fraction)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerweb.functions import clock
-from ledgerweb.schema import CONTRACT, DEFAULT_TYPE, MIN_AMOUNT, PAYMENT_TYPES
+from ledgerweb.schema import DEFAULT_TYPE, MIN_AMOUNT, PAYMENT_TYPES
 from ledgerweb.sources import readers
 
 KEYS = ["sender", "receiver", "amount", "ts"]
@@ -68,11 +68,6 @@ def clean(df: DataFrame) -> DataFrame:
     return df.dropna(subset=KEYS).dropDuplicates().withColumn("transaction_date", F.to_date("ts"))
 
 
-def align(df: DataFrame) -> DataFrame:
-    """Contract columns in contract order."""
-    return df.select(*CONTRACT)
-
-
 def rejection_reason(check_type: bool = True):
     """Why a row is not a payment; NULL for a valid one."""
     def blank(name):

@@ -11,11 +11,11 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerweb.functions.draws import uniform
-from ledgerweb.functions.ordered import running
+from ledgerweb.functions.lineage import stored
+from ledgerweb.functions.ordered import global_rank, running
 from ledgerweb.operators.scoring import SCORE
 from ledgerweb.schema import MODEL_FEATURES
 
@@ -49,28 +49,22 @@ def split(df: DataFrame, fraction: float = 0.8, salt: str = "42", key: str = "id
     return marked.filter("split = 'train'").drop("split"), marked.filter("split = 'test'").drop("split")
 
 
-def smote(
-    df: DataFrame, columns: list[str], label: str = "label", per_row: int = 1, buckets: int = 64, salt: str = "smote"
-) -> DataFrame:
+def smote(df: DataFrame, columns: list[str], label: str = "label", per_row: int = 1, salt: str = "smote") -> DataFrame:
     """Synthetic positives `id, <columns>, label` between pairs of positive rows.
 
-    Rows are paired with their successor in a hash order within a hash bucket; draw j takes the
-    successor j + 1 places on. A row without a successor wraps to the first of its bucket.
+    Positives stand in one hash order, as in a circle; draw j pairs a row with the one j + 1 places on. A row is never paired
+    with itself: one positive in all gives no rows, and fewer than `per_row` + 1 give fewer draws.
     """
     positives = df.filter(F.col(label) == 1).select("id", *[F.col(c).cast("double").alias(c) for c in columns])
-    ordered = positives.withColumn("bucket", F.floor(uniform(salt, F.lit("bucket"), "id") * buckets)).withColumn(
-        "place", F.md5(F.concat_ws(":", F.lit(salt), "id"))
-    )
-    w = W.partitionBy("bucket").orderBy("place", "id")
-    whole = w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    rows = F.struct(*columns)
-    partners = ordered.select(
-        "id", *columns,
-        F.array(*[F.coalesce(F.lead(rows, j + 1).over(w), F.first(rows).over(whole)) for j in range(per_row)])
-        .alias("partners"),
-    ).select("id", *columns, F.posexplode("partners").alias("draw", "partner"))
+    hashed = positives.withColumn("hash", F.md5(F.concat_ws(":", F.lit(salt), "id")))
+    placed = stored(global_rank(hashed, [F.col("hash"), F.col("id")], "place").drop("hash"), "positives")
+    count = placed.agg(F.count(F.lit(1))).scalar()
+    draws = placed.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(per_row - 1)))).withColumn(
+        "other", (F.col("place") + F.col("draw")) % count + 1)
+    partners = placed.select(F.col("place").alias("other"), F.struct(*columns).alias("partner"))
+    paired = draws.filter(F.col("draw") + 1 < count).join(partners, "other")
     u = uniform(salt, F.lit("step"), "id", "draw")
-    return partners.select(
+    return paired.select(
         F.concat_ws("#", "id", F.col("draw").cast("string")).alias("id"),
         *[(F.col(c) + u * (F.col("partner")[c] - F.col(c))).alias(c) for c in columns],
         F.lit(1).alias(label),

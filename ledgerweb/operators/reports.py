@@ -118,22 +118,18 @@ def display_table(scored: DataFrame) -> DataFrame:
     return scored.select(
         "id", F.format_string("%.4f", SCORE).alias("score_text"),
         rupees("amount_in").alias("amount_in_text"), rupees("amount_out").alias("amount_out_text"),
-        F.concat(
-            F.lit("Degree: "), F.col("degree").cast("string"),
-            F.lit(" | TXs in: "), F.col("tx_count_in").cast("string"),
-            F.lit(" | TXs out: "), F.col("tx_count_out").cast("string"),
-            F.lit(" | Cluster: "), F.col("cluster_size").cast("string"),
-            F.lit(" | Triangles: "), F.col("triangle_count").cast("string"),
-        ).alias("details"),
+        "degree", "tx_count_in", "tx_count_out", "cluster_size", "triangle_count",
     )
 
 
 def request_payload(f: DataFrame, chunk: int = 1000) -> DataFrame:
     """Scoring requests as JSON text, `chunk` accounts each: `request_id, records, payload`.
 
-    Chunks are cut from the global order by id, so each has a bounded number of records.
+    Chunks are cut from the global order by id, so each has a bounded number of records. Amounts are written with four
+    decimals and never with an exponent, so the text doesn't depend on how an engine prints doubles.
     """
-    numbered = global_rank(f.select("id", *FEATURES), [F.col("id")], "position")
+    columns = [F.col(c).cast("decimal(38,4)").alias(c) if c.startswith("amount") else F.col(c) for c in FEATURES]
+    numbered = global_rank(f.select("id", *columns), [F.col("id")], "position")
     record = F.struct("position", F.struct("id", *FEATURES).alias("record"))
     return (
         numbered.groupBy(F.floor((F.col("position") - 1) / chunk).cast("bigint").alias("request_id"))

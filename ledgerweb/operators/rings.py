@@ -5,9 +5,10 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerweb.functions.lineage import cut
+from ledgerweb.functions.lineage import cut, stored
 from ledgerweb.operators.graph import index_links
 
 TRIM_ROUNDS = 6
@@ -30,36 +31,49 @@ def trim(arcs: DataFrame, rounds: int = TRIM_ROUNDS) -> DataFrame:
     return arcs
 
 
-def cycles(e: DataFrame, lengths: tuple[int, ...] = (3, 4, 5)) -> DataFrame:
-    """`length, members, ring`: every simple directed cycle once, its smallest id first.
-
-    A path starts at the account with the most neighbours on its cycle and visits only lower
-    ones, so hubs are never stepped through from smaller accounts.
-    """
-    if min(lengths) < 3:
-        raise ValueError("a ring has at least three accounts")
+def _numbered(e: DataFrame) -> DataFrame:
+    """Arcs `s, t, src, dst` with both ends numbered by neighbour count, trimmed to those that can lie on a cycle."""
     arcs = trim(cut(e.filter(F.col("src") != F.col("dst")).select("src", "dst")))
     numbers = index_links(arcs).accounts
-    arcs = cut(
+    return stored(
         arcs.join(numbers.select(F.col("id").alias("src"), F.col("vid").alias("s")), "src")
         .join(numbers.select(F.col("id").alias("dst"), F.col("vid").alias("t")), "dst")
-        .select("s", "t", "src", "dst")
-    )
-    step = arcs.select(F.col("s").alias("last"), F.col("t").alias("next"), F.col("dst").alias("next_id"))
-    home = arcs.select(F.col("s").alias("last"), F.col("t").alias("start"))
-    paths = arcs.filter("t < s").select(
-        F.col("s").alias("start"), F.col("t").alias("last"), F.array("src", "dst").alias("members")
-    )
+        .select("s", "t", "src", "dst"), "arcs")
+
+
+def cycles(e: DataFrame, lengths: tuple[int, ...] = (3, 4, 5)) -> DataFrame:
+    """`length, members, ring`: every simple directed cycle of 3 to 5 accounts once, its smallest id first.
+
+    A cycle is named after its account with the most neighbours, called the top. It is put together from half paths of
+    two steps that leave the top or come back to it over lower accounts; there are at most links^1.5 of them.
+    Halves that end in one account close a cycle of four. For five, the pairs of ends are first reduced to
+    the different ones that an arc joins, so no path of three steps is listed that doesn't close.
+    """
+    if not set(lengths) <= {3, 4, 5}:
+        raise ValueError("rings of 3 to 5 accounts are found")
+    arcs = _numbered(e)
+    down = arcs.filter("t < s").select(F.col("s").alias("top"), F.col("t").alias("a"), F.col("src").alias("top_id"), F.col("dst").alias("a_id"))
+    up = arcs.filter("s < t").select(F.col("t").alias("top"), F.col("s").alias("d"), F.col("src").alias("d_id"))
+    leaving = stored(
+        down.join(arcs.select(F.col("s").alias("a"), F.col("t").alias("b"), F.col("dst").alias("b_id")), "a").filter("b < top"), "leaving")
     found = []
-    for length in range(3, max(lengths) + 1):
-        paths = (
-            paths.join(step, "last")
-            .filter((F.col("next") < F.col("start")) & ~F.array_contains("members", F.col("next_id")))
-            .select("start", F.col("next").alias("last"),
-                    F.concat("members", F.array("next_id")).alias("members"))
-        )
-        if length in lengths:
-            found.append(paths.join(home, ["last", "start"], "left_semi").select("members"))
+    if 3 in lengths:
+        back = up.select("top", F.col("d").alias("b"))
+        found.append(leaving.join(back, ["top", "b"], "left_semi").select(F.array("top_id", "a_id", "b_id").alias("members")))
+    if {4, 5} & set(lengths):
+        coming = stored(
+            up.join(arcs.select(F.col("t").alias("d"), F.col("s").alias("c"), F.col("src").alias("c_id")), "d").filter("c < top"), "coming")
+        if 4 in lengths:
+            closed = leaving.join(coming.withColumnRenamed("c", "b"), ["top", "b"]).filter("a != d")
+            found.append(closed.select(F.array("top_id", "a_id", "b_id", "d_id").alias("members")))
+        if 5 in lengths:
+            joins = (
+                leaving.select("top", "b").distinct().join(arcs.select(F.col("s").alias("b"), F.col("t").alias("c")), "b")
+                .filter("c < top").join(coming.select("top", "c").distinct(), ["top", "c"], "left_semi")
+            )
+            open_ = stored(leaving.join(stored(joins, "joins"), ["top", "b"]).filter("a != c"), "open")
+            closed = open_.join(coming, ["top", "c"]).filter("a != d AND b != d")
+            found.append(closed.select(F.array("top_id", "a_id", "b_id", "c_id", "d_id").alias("members")))
     first = F.array_position("members", F.array_min("members")).cast("int")
     size = F.size("members")
     turned = F.concat(F.slice("members", first, size), F.slice("members", F.lit(1), first - 1))
@@ -68,27 +82,20 @@ def cycles(e: DataFrame, lengths: tuple[int, ...] = (3, 4, 5)) -> DataFrame:
     )
 
 
-def ring_recall(drawn: DataFrame, found: DataFrame) -> DataFrame:
-    """Of the drawn rings, how many are still whole cycles and how many of those were found.
+def ring_recall(drawn: DataFrame, e: DataFrame) -> DataFrame:
+    """Of the drawn rings, how many are still whole and how many are cycles of the graph, looked up edge by edge.
 
-    `ring_size, rings, whole, found`. Ring rows come from `augment.ring_rows`.
+    `ring_size, rings, whole, found`. Ring rows come from `augment.ring_rows`; a rewired ring is found if other
+    payments close it.
     """
-    ring_edges = drawn.filter("kind = 'ring'")
-    # A drawn ring has a bounded number of steps, so its member list does too.
-    members = F.transform(
-        F.sort_array(F.collect_list(F.struct("step", "sender"))), lambda r: r["sender"]
-    )
-    per_ring = ring_edges.groupBy("ring").agg(
-        members.alias("members"), F.max(F.col("rewired").cast("int")).alias("broken")
-    )
-    first = F.array_position("members", F.array_min("members")).cast("int")
-    size = F.size("members")
-    keyed = per_ring.withColumn(
-        "key", F.concat_ws(">", F.concat(F.slice("members", first, size), F.slice("members", F.lit(1), first - 1)))
-    ).withColumn("ring_size", size)
-    hits = found.select(F.col("ring").alias("key"), F.lit(1).alias("hit"))
-    return keyed.join(hits, "key", "left").groupBy("ring_size").agg(
-        F.count(F.lit(1)).alias("rings"),
-        F.count_if(F.col("broken") == 0).alias("whole"),
-        F.count("hit").alias("found"),
-    )
+    steps = drawn.filter("kind = 'ring'").select("ring", "step", "sender", "rewired")
+    # A ring has a bounded number of steps.
+    in_ring = W.partitionBy("ring").orderBy("step")
+    whole = in_ring.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    asked = steps.withColumn("next", F.coalesce(F.lead("sender").over(in_ring), F.first("sender").over(whole)))
+    known = e.select(F.col("src").alias("sender"), F.col("dst").alias("next"), F.lit(True).alias("there")).distinct()
+    per_ring = asked.join(known, ["sender", "next"], "left").groupBy("ring").agg(
+        F.count(F.lit(1)).cast("int").alias("ring_size"), F.bool_or("rewired").alias("broken"),
+        F.bool_and(F.coalesce("there", F.lit(False))).alias("found"))
+    return per_ring.groupBy("ring_size").agg(
+        F.count(F.lit(1)).alias("rings"), F.count_if(~F.col("broken")).alias("whole"), F.count_if("found").alias("found"))

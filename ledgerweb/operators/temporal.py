@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerweb.functions.amounts import money, money_sum
-from ledgerweb.functions.ordered import running
+from ledgerweb.functions.ordered import prior_moments, running
 
 
 def velocity(tx: DataFrame, seconds: int = 3600) -> DataFrame:
@@ -44,21 +44,14 @@ def amount_deviation(tx: DataFrame, order: str = "seq") -> DataFrame:
     `prior_count, prior_mean, prior_std, amount_z`; `amount_z` is NULL before two earlier
     transactions or where those were all alike. `order` breaks ties in time.
     """
-    a = F.col("amount").cast("decimal(15,4)")
-    history = running(
-        tx, ["sender"], [F.col("ts"), F.col(order)],
-        sums={"_n": F.lit(1).cast("bigint"), "_s": a, "_q": a * a},
-    )
-    n, s, q = F.col("_n"), F.col("_s").cast("double"), F.col("_q").cast("double")
-    mean = F.when(n >= 1, F.try_divide(s, n))
-    variance = F.when(n >= 2, F.greatest(F.try_divide(q - F.try_divide(s * s, n), n - 1), F.lit(0.0)))
-    measured = history.withColumns({"_mean": mean, "_var": variance})
-    # The difference of two large sums leaves rounding noise where all amounts are alike.
-    alike = F.col("_var") <= F.lit(1e-12) * F.col("_mean") * F.col("_mean")
-    z = F.when(~alike, F.try_divide(F.col("amount") - F.col("_mean"), F.sqrt("_var")))
-    return measured.select(
-        *tx.columns, F.col("_n").alias("prior_count"), F.col("_mean").alias("prior_mean"),
-        F.when(alike, F.lit(0.0)).otherwise(F.sqrt("_var")).alias("prior_std"), z.alias("amount_z"),
+    history = prior_moments(tx, ["sender"], [F.col("ts"), F.col(order)], "amount")
+    # Alike is told from the smallest and largest amount, not from a deviation near 0.
+    alike = F.col("low") == F.col("high")
+    std = F.when(F.col("n") >= 2, F.when(alike, F.lit(0.0)).otherwise(F.sqrt(F.try_divide(F.col("m2"), F.col("n") - 1))))
+    mean = F.when(F.col("n") >= 1, F.when(alike, F.col("low")).otherwise(F.col("mean")))
+    return history.withColumns({"_mean": mean, "_std": std}).select(
+        *tx.columns, F.col("n").alias("prior_count"), F.col("_mean").alias("prior_mean"), F.col("_std").alias("prior_std"),
+        F.when(F.col("_std") > 0, (F.col("amount") - F.col("_mean")) / F.col("_std")).alias("amount_z"),
     )
 
 
@@ -75,20 +68,21 @@ def window_totals(tx: DataFrame, width: str = "1 hour", slide: str | None = None
 def sessions(tx: DataFrame, gap_seconds: int = 1800) -> DataFrame:
     """Per sender: bursts of transactions at most `gap_seconds` apart.
 
-    Sessions are first formed within a day and then joined across days, so that no task has to
-    sort the whole history of one sender; the second step sees sessions, not transactions.
+    Transactions are first reduced to one row per sender and gap-long slot, in which all lie at most a gap apart.
+    What opens a session is then a running maximum over the slots of earlier ends, which is cut by range partitioning:
+    no task holds the whole history of one sender.
     """
-    daily = (
-        tx.groupBy("sender", F.to_date("ts").alias("day"), F.session_window("ts", f"{gap_seconds} seconds").alias("w"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(money("amount")).alias("amt"))
-        .select("sender", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n", "amt")
-    )
-    in_order = W.partitionBy("sender").orderBy("start")
-    opens = F.coalesce(F.col("start") > F.lag("end").over(in_order), F.lit(True)).cast("int")
-    numbered = daily.withColumn("opens", opens).withColumn(
-        "nth", F.sum("opens").over(in_order.rowsBetween(W.unboundedPreceding, 0))
+    seconds = F.unix_micros("ts")
+    slots = (
+        tx.groupBy("sender", F.floor(seconds / (gap_seconds * 1_000_000)).cast("bigint").alias("slot"))
+        .agg(F.min("ts").alias("first"), F.max("ts").alias("last"), F.count(F.lit(1)).alias("n"),
+             F.sum(money("amount")).alias("amt"))
     )
+    gap = F.make_dt_interval(secs=F.lit(gap_seconds))
+    seen = running(slots, ["sender"], [F.col("slot")], maxes={"before": F.col("last")})
+    opens = F.coalesce(F.col("first") > F.col("before") + gap, F.lit(True)).cast("bigint")
+    numbered = running(seen.withColumn("opens", opens), ["sender"], [F.col("slot")], sums={"nth": F.col("opens")}, inclusive=True)
     return numbered.groupBy("sender", "nth").agg(
-        F.min("start").alias("session_start"), F.max("end").alias("session_end"),
+        F.min("first").alias("session_start"), (F.max("last") + gap).alias("session_end"),
         F.sum("n").alias("tx_count"), F.round(F.sum("amt").cast("double"), 4).alias("tx_amount"),
     ).drop("nth")

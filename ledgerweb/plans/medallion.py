@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerweb.functions.lineage import cut
 from ledgerweb.operators import augment, features, graph, ingest, model
 from ledgerweb.schema import MODEL_FEATURES
 from ledgerweb.sources.writers import write_table
 
 TABLES = ("transactions_bronze", "transactions_silver", "transactions_scaled", "transactions_final",
-          "nodes_table", "edges_table", "ml_features", "fraud_predictions")
+          "nodes_table", "edges_table", "ml_features", "labelled_features", "fraud_predictions")
 
 
 def run(
@@ -33,10 +34,11 @@ def run(
     edges = store(graph.edges(final), "edges_table")
     store(graph.nodes(edges), "nodes_table")
     table = store(features.from_edges(edges, mode), "ml_features")
-    labelled = model.with_class_weight(features.with_labels(table, features.labels(final)))
-    training, test = model.split(labelled)
+    labelled = store(features.with_labels(table, features.labels(final)), "labelled_features")
+    # The class ratio is that of all labelled accounts, not of the training ones.
+    training, test = model.split(model.with_class_weight(labelled))
     fitted = model.train(training, columns)
-    predictions = model.predict(fitted, test)
+    predictions = cut(model.predict(fitted, test))
     store(model.prediction_table(predictions), "fraud_predictions")
     metrics = {"pr_auc": model.evaluator_pr_auc(predictions)}
     model.save_run(fitted, metrics, f"{root}/run", training)

@@ -1,6 +1,6 @@
 """DuckDB SQL for the registered queries: name -> text, over the driver's tables as views.
 
-Model-dependent queries and the watermark-dependent session stream have none.
+The scores and metrics of trained forests have none; `rf_prediction_facts`, `rf_run_facts` and `rf_grid` hold what SQL can decide of them.
 """
 
 from __future__ import annotations
@@ -8,7 +8,9 @@ from __future__ import annotations
 from ledgerweb.operators import augment
 from ledgerweb.plans.queries import RECALL_RINGS, SLICES, TABLES, THRESHOLDS
 from ledgerweb.plans.views import LEDGER_SCORE
-from ledgerweb.schema import ADDITIVE_FEATURES, DEFAULT_SCORE, MIN_AMOUNT, PAYMENT_TYPES, ScoreConfig
+from ledgerweb.schema import (
+    ADDITIVE_FEATURES, DEFAULT_SCORE, FEATURES, MIN_AMOUNT, MODEL_FEATURES, PAYMENT_TYPES, ScoreConfig,
+)
 
 STAMP = "strftime({0}, '%Y-%m-%d %H:%M:%S.%f')"
 
@@ -171,14 +173,13 @@ def select(body: str, *ctes: str) -> str:
     return f"WITH RECURSIVE {', '.join(ctes)} {body}" if ctes else body
 
 
-def pool_sql(tx: str, limit: int, salt: str, name: str = "pool") -> str:
-    order = f"md5('{salt}:' || id), id"
+def pool_sql(tx: str, salt: str, name: str = "pool") -> str:
     return f"""{name} AS (
-  SELECT id, row_number() OVER (ORDER BY {order}) - 1 AS place
-  FROM (SELECT sender AS id FROM {tx} UNION SELECT receiver FROM {tx}) ORDER BY {order} LIMIT {limit})"""
+  SELECT id, row_number() OVER (ORDER BY md5('{salt}:' || id), id) - 1 AS place
+  FROM (SELECT sender AS id FROM {tx} UNION SELECT receiver FROM {tx}))"""
 
 
-def rings_sql(tx: str, n_rings=30, size=(5, 10), rewire=0.6, noise=(5, 8), pool_size=5000, salt="ring") -> str:
+def rings_sql(tx: str, n_rings=30, size=(5, 10), rewire=0.6, noise=(5, 8), salt="ring") -> str:
     s = f"'{salt}'"
 
     def draw(*parts: str) -> str:
@@ -192,7 +193,7 @@ def rings_sql(tx: str, n_rings=30, size=(5, 10), rewire=0.6, noise=(5, 8), pool_
 
     base = f"TIMESTAMP '{augment.BASE_TIME}'"
     stamp = f"{base} + to_seconds(CAST(floor({draw(chr(39) + 'ts' + chr(39), 'kind', 'ring', 'step')} * {augment.JITTER_SECONDS}) AS BIGINT))"
-    return f"""{pool_sql(tx, pool_size, salt)},
+    return f"""{pool_sql(tx, salt)},
 members AS (SELECT count(*) AS members FROM pool),
 ring_list AS (
   SELECT ring, members, least({whole(*size, "'size'", 'ring')}, members) AS ring_size,
@@ -242,19 +243,14 @@ def window_out(width: int) -> str:
     )
 
 
-def smote_sql(columns: list[str], draws: int, buckets: int = 64, salt: str = "smote") -> str:
-    rows = ", ".join(f"{c} := {c}" for c in columns)
-    partner = " UNION ALL ".join(
-        f"SELECT *, {j} AS draw, coalesce(lead(struct_pack({rows}), {j + 1}) OVER w, first(struct_pack({rows})) OVER whole) AS partner "
-        "FROM placed WINDOW w AS (PARTITION BY bucket ORDER BY place, id), whole AS (PARTITION BY bucket ORDER BY place, id "
-        "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)" for j in range(draws)
-    )
+def smote_sql(draws: int, salt: str = "smote") -> str:
     s = f"'{salt}'"
     return f"""placed AS (
-  SELECT a.*, floor({u(s, "'bucket'", 'a.id')} * {buckets}) AS bucket, md5({s} || ':' || a.id) AS place
+  SELECT a.*, row_number() OVER (ORDER BY md5({s} || ':' || a.id), a.id) - 1 AS place, count(*) OVER () AS positives
   FROM additive a JOIN labels_of l ON a.id = l.id WHERE label = 1),
-paired AS ({partner}),
-stepped AS (SELECT *, {u(s, "'step'", 'id', txt('draw'))} AS u FROM paired)"""
+stepped AS (
+  SELECT x.*, draw, p AS partner, {u(s, "'step'", 'x.id', txt('draw'))} AS u
+  FROM placed x, range({draws}) d(draw), placed p WHERE draw + 1 < x.positives AND p.place = (x.place + draw + 1) % x.positives)"""
 
 
 def sweep_sql() -> str:
@@ -267,7 +263,7 @@ def sweep_sql() -> str:
 
 
 SLICED = f"""sliced AS (
-  SELECT t.*, b.batch_id FROM (SELECT *, floor(seq * {SLICES} / (SELECT count(*) FROM transfers)) AS slice FROM transfers) t
+  SELECT t.*, b.batch_id FROM (SELECT *, floor((row_number() OVER (ORDER BY seq) - 1) * {SLICES} / count(*) OVER ()) AS slice FROM transfers) t
   JOIN range({SLICES}) b(batch_id) ON t.slice <= b.batch_id)"""
 
 SLICED_SCORES = f"""{TRANSFERS}, {SLICED}, {edges_of('sliced', 'batch_id,')}, {additive_of('batch_id,')}, {graph_of('batch_id')},
@@ -285,6 +281,12 @@ def profile_sql() -> str:
     )
 
 
+def record_sql() -> str:
+    """One account as JSON text, amounts with four decimals."""
+    fields = [f"'\"{c}\":' || " + (txt(f"CAST({c} AS DECIMAL(38,4))") if c.startswith("amount") else c) for c in FEATURES]
+    return "'{\"id\":\"' || id || '\",' || " + " || ',' || ".join(fields) + " || '}'"
+
+
 def log_hist_sql() -> str:
     return f"""bounds AS (
   SELECT log10(greatest(min(amount_out), 1)) AS lo, log10(greatest(max(amount_out), 2)) AS hi FROM additive),
@@ -313,6 +315,11 @@ ORACLE: dict[str, str] = {
     "validated_transactions": select(
         f"SELECT sender, receiver, round(amount, 4) AS amount, {STAMP.format('ts')} AS ts, type FROM checked WHERE reason IS NULL",
         TRANSFERS, DIRTY, JUDGED_ROWS),
+    "upload_import": select(  # a CSV file has no blank texts: they are read as missing
+        "SELECT nullif(trim(sender), '') AS sender, receiver, round(amount, 4) AS amount, 'P2P' AS type, 0 AS is_fraud, CASE "
+        "WHEN trim(coalesce(sender, '')) = '' THEN 'sender missing' WHEN trim(coalesce(receiver, '')) = '' THEN 'receiver missing' "
+        f"WHEN amount IS NULL THEN 'amount missing' WHEN amount < {MIN_AMOUNT} THEN 'amount below minimum' END AS reason FROM dirty",
+        TRANSFERS, DIRTY),
     "table_profile": profile_sql(),
     "label_counts": select("SELECT count(*) AS row_count, count(*) FILTER (is_fraud = 1) AS fraud_rows FROM ledger", LEDGER),
     "time_parts": select(
@@ -321,7 +328,7 @@ ORACLE: dict[str, str] = {
         "strftime(ts + INTERVAL 3 DAY, '%Y-%m-%dT%H:%M:%S') AS in_three_days, "
         "'₹' || format('{:,.2f}', amount) AS amount_text FROM transfers", TRANSFERS),
     "nodes": select("SELECT sender AS id FROM ledger UNION SELECT receiver FROM ledger", LEDGER),
-    "account_universe": select("SELECT id FROM pool", LEDGER, pool_sql("ledger", 5000, "pool")),
+    "account_universe": select("SELECT id, place FROM pool", LEDGER, pool_sql("ledger", "pool")),
     "degree": select(
         "SELECT id, count(*) FILTER (NOT is_out) AS in_degree, count(*) FILTER (is_out) AS out_degree, count(*) AS degree "
         "FROM ends GROUP BY id", LEDGER_ADDITIVE),
@@ -334,10 +341,9 @@ ORACLE: dict[str, str] = {
         "SELECT src, dst, transaction_count, round(total_amount, 4) AS total_amount FROM edges "
         "ORDER BY transaction_count DESC, src, dst LIMIT 2000", TRANSFER_EDGES),
     "top_hub_subgraph": select(
-        "SELECT src, dst, transaction_count, round(total_amount, 4) AS total_amount FROM heavy "
+        "SELECT src, dst, transaction_count, round(total_amount, 4) AS total_amount FROM edges "
         "WHERE src IN (SELECT id FROM best) AND dst IN (SELECT id FROM best)", TRANSFER_EDGES,
-        "heavy AS (SELECT * FROM edges ORDER BY transaction_count DESC, src, dst LIMIT 2000)",
-        "best AS (SELECT id FROM (SELECT src AS id FROM heavy UNION ALL SELECT dst FROM heavy) GROUP BY id "
+        "best AS (SELECT id FROM (SELECT src AS id FROM edges UNION ALL SELECT dst FROM edges) GROUP BY id "
         "ORDER BY count(*) DESC, id LIMIT 40)"),
     "viz_nodes": select(
         "SELECT id, id AS label, CASE WHEN degree > 10 THEN 'red' END AS color FROM additive", LEDGER_ADDITIVE),
@@ -383,7 +389,7 @@ ORACLE: dict[str, str] = {
     "smote_rows": select(
         "SELECT id || '#' || draw AS id, "
         + ", ".join(f"round({c} + u * (partner.{c} - {c}), 4) AS {c}" for c in ADDITIVE_FEATURES)
-        + ", 1 AS label FROM stepped", LEDGER_ADDITIVE, LABELS, smote_sql(ADDITIVE_FEATURES, 2)),
+        + ", 1 AS label FROM stepped", LEDGER_ADDITIVE, LABELS, smote_sql(2)),
     "feature_summary": select(
         "SELECT count(*) AS nodes, max(degree) AS max_degree, max(amount_out) AS max_amount_out, "
         "count(*) FILTER (triangle_count = 0) AS zero_triangle_nodes, count(*) FILTER (cluster_size = 1) AS isolated_nodes FROM feats",
@@ -412,10 +418,13 @@ ORACLE: dict[str, str] = {
         f"count(*) FILTER (fraud_score >= {LEDGER_SCORE.fraud}) AS alerts FROM scores", LEDGER_SCORES),
     "display_table": select(
         "SELECT id, format('{:.4f}', fraud_score) AS score_text, '₹' || format('{:,.2f}', amount_in) AS amount_in_text, "
-        "'₹' || format('{:,.2f}', amount_out) AS amount_out_text, 'Degree: ' || degree || ' | TXs in: ' || tx_count_in || "
-        "' | TXs out: ' || tx_count_out || ' | Cluster: ' || cluster_size || ' | Triangles: ' || triangle_count AS details FROM scores",
+        "'₹' || format('{:,.2f}', amount_out) AS amount_out_text, degree, tx_count_in, tx_count_out, cluster_size, triangle_count FROM scores",
         LEDGER_SCORES),
     "request_payload": select(
+        "SELECT (n - 1) // 1000 AS request_id, CAST(count(*) AS INTEGER) AS records, "
+        "'{\"dataframe_records\":[' || string_agg(record, ',' ORDER BY n) || ']}' AS payload "
+        f"FROM (SELECT row_number() OVER (ORDER BY id) AS n, {record_sql()} AS record FROM feats) GROUP BY 1", LEDGER_FEATURES),
+    "request_rows": select(
         f"SELECT (n - 1) // 1000 AS request_id, CAST((n - 1) % 1000 AS INTEGER) AS pos, {FEATURE_LIST} "
         "FROM (SELECT *, row_number() OVER (ORDER BY id) AS n FROM feats)", LEDGER_FEATURES),
     "response_scores": select("SELECT id, fraud_score FROM scores", LEDGER_SCORES),
@@ -431,6 +440,16 @@ ORACLE: dict[str, str] = {
     "ring_injection": select(
         f"SELECT sender, receiver, round(amount, 6) AS amount, {STAMP.format('ts')} AS ts, is_fraud FROM ledger UNION ALL "
         f"SELECT sender, receiver, round(amount, 6), {STAMP.format('ts')}, is_fraud FROM ring_rows", LEDGER, rings_sql("ledger")),
+    "rf_prediction_facts": select(
+        "SELECT a.id, label, round(CASE WHEN label = 1 THEN ratio ELSE 1 END, 9) AS weight, "
+        + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in MODEL_FEATURES)
+        + ", true AS is_probability, true AS threshold_holds, true AS majority_holds FROM additive a JOIN labels_of l ON a.id = l.id, "
+        "(SELECT count(*) FILTER (label = 0) / nullif(count(*) FILTER (label = 1), 0) AS ratio FROM labels_of) "
+        f"WHERE {u(repr('42'), 'a.id')} >= 0.8", LEDGER_ADDITIVE, LABELS),
+    "rf_run_facts": (
+        f"SELECT '30' AS num_trees, '3' AS max_depth, '{','.join(MODEL_FEATURES)}' AS input_columns, true AS f1_kept, true AS scores_kept, "
+        "true AS pr_auc_agrees"),
+    "rf_grid": "SELECT trees, depth, true AS is_share FROM (VALUES (10), (30)) t(trees), (VALUES (3), (4)) d(depth)",
     "rule_score_pr_auc": select(
         "SELECT round(sum((r - r0) * (p + p0) / 2), 9) AS pr_auc FROM (SELECT r, p, lag(r, 1, 0) OVER w AS r0, "
         "lag(p, 1, p) OVER w AS p0 FROM curve WINDOW w AS (ORDER BY fraud_score DESC))", JUDGED,
@@ -461,8 +480,8 @@ ORACLE: dict[str, str] = {
         "WINDOW w AS (PARTITION BY sender ORDER BY sec RANGE BETWEEN 3600 PRECEDING AND CURRENT ROW)", TRANSFERS),
     "amount_zscore": select(
         "SELECT seq, sender, n AS prior_count, round(m, 8) AS prior_mean, round(sd, 6) AS prior_std, "
-        "round(CASE WHEN sd > 1e-6 * abs(m) THEN (amount - m) / sd END, 6) AS amount_z FROM (SELECT seq, sender, amount, "
-        "count(*) OVER w AS n, CAST(sum(CAST(amount AS DECIMAL(15,4))) OVER w AS DOUBLE) / nullif(count(*) OVER w, 0) AS m, "
+        "round(CASE WHEN sd > 0 THEN (amount - m) / sd END, 6) AS amount_z FROM (SELECT seq, sender, amount, "
+        "count(*) OVER w AS n, avg(amount) OVER w AS m, "
         "stddev_samp(amount) OVER w AS sd FROM transfers "
         "WINDOW w AS (PARTITION BY sender ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))", TRANSFERS),
     "hourly_windows": select(window_out(3600), TRANSFERS, windows_sql(3600, 3600)),
@@ -480,6 +499,14 @@ ORACLE: dict[str, str] = {
         "SELECT w.src AS id, count(*) AS rings FROM edges w JOIN edges x ON w.dst = x.src JOIN edges y ON x.dst = y.src "
         "JOIN edges z ON y.dst = z.src AND z.dst = w.src WHERE w.src < w.dst AND w.src < x.dst AND w.src < y.dst "
         "AND w.dst <> x.dst AND w.dst <> y.dst AND x.dst <> y.dst GROUP BY w.src", TRANSFER_EDGES),
+    "cycles_len5": select(
+        "SELECT 5 AS length, v.src || '>' || w.src || '>' || x.src || '>' || y.src || '>' || z.src AS ring FROM edges v "
+        "JOIN edges w ON v.dst = w.src JOIN edges x ON w.dst = x.src "
+        "JOIN edges y ON x.dst = y.src JOIN edges z ON y.dst = z.src AND z.dst = v.src WHERE v.src < v.dst AND v.src < w.dst "
+        "AND v.src < x.dst AND v.src < y.dst AND v.dst NOT IN (w.dst, x.dst, y.dst) AND w.dst NOT IN (x.dst, y.dst) "
+        "AND x.dst <> y.dst", PAYMENTS, rings_sql("payments", **RECALL_RINGS),
+        "joined AS (SELECT sender, receiver, amount FROM payments UNION ALL SELECT sender, receiver, amount FROM ring_rows)",
+        edges_of("joined")),
     "ring_recall": select(
         "SELECT ring_size, count(*) AS rings, count(*) FILTER (whole) AS whole, count(*) FILTER (found) AS found FROM verdict GROUP BY ring_size",
         PAYMENTS, rings_sql("payments", **RECALL_RINGS),
@@ -500,6 +527,9 @@ ORACLE: dict[str, str] = {
     "stream_scores_final": select(
         "SELECT * FROM scores", TRANSFER_EDGES, additive_of(), graph_of(), FULL, SCORES),
     "stream_velocity": select(window_out(3600), TRANSFERS, windows_sql(3600, 3600)),
+    "stream_model_scores": select(
+        f"SELECT {FEATURE_LIST}, true AS as_in_batch, true AS band_as_in_batch FROM feats", TRANSFER_EDGES, additive_of(), graph_of(), FULL),
     "stream_dedup": select(
         f"SELECT seq, sender, receiver, amount, {STAMP.format('ts')} AS ts FROM transfers", TRANSFERS),
 }
+ORACLE["stream_sessions"] = ORACLE["session_windows"]

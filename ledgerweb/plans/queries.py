@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,13 +16,14 @@ from ledgerweb.operators import (
 )
 from ledgerweb.plans import medallion, views
 from ledgerweb.plans.views import LEDGER_SCORE
-from ledgerweb.schema import ADDITIVE_FEATURES, CONTRACT, FEATURES, RAW_EXPORT, TRANSACTIONS
+from ledgerweb.schema import ADDITIVE_FEATURES, FEATURES, MODEL_FEATURES, RAW_EXPORT, TRANSACTIONS
 from ledgerweb.sources import readers, writers
 from ledgerweb.streaming import live, replay
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
 THRESHOLDS = [i / 10 for i in range(1, 10)]
+PR_AUC_TOLERANCE = 1e-3  # MLlib puts the curve into 1000 bins where there are more scores
 SLICES = 4
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,6 +102,16 @@ def csv_import(spark, d):
     return read.select("sender", "receiver", "amount", *text("ts"), "is_fraud")
 
 
+@query
+def upload_import(spark, d):
+    """An uploaded file that lacks both optional columns: checked, typed, and split into valid and rejected rows."""
+    path = scratch_path(spark, "upload")
+    writers.export_csv(views.dirty_upload(spark, d).select("amount", "receiver", "sender"), path)
+    valid, rejected = ingest.validate(ingest.coerce_upload(readers.read_upload(spark, path)))
+    both = valid.withColumn("reason", F.lit(None).cast("string")).unionByName(rejected)
+    return both.select("sender", "receiver", F.round("amount", 4).alias("amount"), "type", "is_fraud", "reason")
+
+
 @query
 def table_profile(spark, d):
     return reports.table_profile({name: views.table(spark, d, name) for name in TABLES})
@@ -131,7 +143,7 @@ def nodes(spark, d):
 
 @query
 def account_universe(spark, d):
-    return graph.account_pool(views.ledger(spark, d), 5000)
+    return graph.account_pool(views.ledger(spark, d))
 
 
 @query
@@ -332,8 +344,14 @@ def display_table(spark, d):
 
 @query
 def request_payload(spark, d):
-    payloads = reports.request_payload(features.extract(views.ledger(spark, d)))
-    return reports.parse_request(payloads)
+    """The text that a scoring server gets."""
+    return reports.request_payload(features.extract(views.ledger(spark, d)))
+
+
+@query
+def request_rows(spark, d):
+    """The rows that a scoring server reads from that text."""
+    return reports.parse_request(reports.request_payload(features.extract(views.ledger(spark, d))))
 
 
 @query
@@ -399,30 +417,78 @@ def scored_with_labels(spark, d) -> DataFrame:
         ledger_scores(spark, d).select("id", scoring.SCORE), features.labels(views.ledger(spark, d)))
 
 
+def weighted_split(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Training and test accounts; the class weight is that of all labelled accounts."""
+    return model.split(cut(model.with_class_weight(cut(labelled_ledger(spark, d)))))
+
+
 @query
 def rf_predictions(spark, d):
-    training, test = model.split(cut(labelled_ledger(spark, d)))
+    training, test = weighted_split(spark, d)
     return model.prediction_table(model.predict(model.train(training), test))
 
 
 @query
-def rf_metrics(spark, d):
-    training, test = model.split(cut(labelled_ledger(spark, d)))
+def rf_prediction_facts(spark, d):
+    """What holds of every prediction whatever the trees: its inputs, weight and the threshold's use."""
+    training, test = weighted_split(spark, d)
+    found = model.predict(model.train(training), test)
+    score = F.col(scoring.SCORE)
+    array = vector_to_array("features")
+    return found.select(
+        "id", "label", F.round("weight", 9).alias("weight"), *[array[i].alias(c) for i, c in enumerate(MODEL_FEATURES)],
+        ((score >= 0) & (score <= 1)).alias("is_probability"),
+        (F.col("prediction_custom") == (score > model.THRESHOLD).cast("int")).alias("threshold_holds"),
+        (F.col("prediction") == (score > 0.5).cast("double")).alias("majority_holds"))
+
+
+def forest_run(spark, d) -> tuple[DataFrame, DataFrame, dict, str]:
+    training, test = weighted_split(spark, d)
     fitted = model.train(training)
     predictions = cut(model.predict(fitted, test))
     metrics = {"pr_auc": model.evaluator_pr_auc(predictions), "f1": model.multiclass_metric(predictions)}
     path = scratch_path(spark, "run")
     model.save_run(fitted, metrics, path, training)
+    return predictions, test, metrics, path
+
+
+@query
+def rf_metrics(spark, d):
+    path = forest_run(spark, d)[-1]
     return model.load_run(spark, path)[1].select(F.explode("metrics").alias("metric", "value"))
 
 
+@query
+def rf_run_facts(spark, d):
+    """The stored run against the one that was trained: parameters, metrics, reloaded scores, both forms of PR-AUC."""
+    predictions, test, metrics, path = forest_run(spark, d)
+    loaded, run = model.load_run(spark, path)
+    again = model.predict(loaded, test).select("id", F.col(scoring.SCORE).alias("again"))
+    apart = predictions.join(again, "id").agg(F.max(F.abs(F.col(scoring.SCORE) - F.col("again")))).scalar()
+    exact = model.pr_auc(predictions).scalar()
+    return run.select(
+        F.col("params")["num_trees"].alias("num_trees"), F.col("params")["max_depth"].alias("max_depth"),
+        F.array_join("input_columns", ",").alias("input_columns"),
+        (F.col("metrics")["f1"] == F.lit(metrics["f1"])).alias("f1_kept"),
+        (F.coalesce(apart, F.lit(0.0)) == 0).alias("scores_kept"),
+        (F.abs(F.col("metrics")["pr_auc"] - exact) < PR_AUC_TOLERANCE).alias("pr_auc_agrees"))
+
+
 @query
 def rf_cross_validation(spark, d):
-    training, _ = model.split(cut(labelled_ledger(spark, d)))
-    fitted = model.cross_validate(cut(model.with_class_weight(training)), trees=(10, 30), depths=(3,), folds=2)
+    training, _ = weighted_split(spark, d)
+    fitted = model.cross_validate(training, trees=(10, 30), depths=(3,), folds=2)
     return model.cross_validation_table(fitted, spark)
 
 
+@query
+def rf_grid(spark, d):
+    """The grid that was searched, and that each point got a metric."""
+    training, _ = weighted_split(spark, d)
+    fitted = model.cross_validate(training, trees=(10, 30), depths=(3, 4), folds=2)
+    return model.cross_validation_table(fitted, spark).select("trees", "depth", F.col("pr_auc").between(0, 1).alias("is_share"))
+
+
 @query
 def rule_score_pr_auc(spark, d):
     return model.pr_auc(cut(scored_with_labels(spark, d)))
@@ -503,12 +569,22 @@ def cycles_len4_by_account(spark, d):
 RECALL_RINGS = {"n_rings": 200, "size": (3, 5), "rewire": 0.15, "noise": (1, 2)}
 
 
-@query
-def ring_recall(spark, d):
+def with_drawn_rings(spark, d) -> tuple[DataFrame, DataFrame]:
     base = views.payments(spark, d)
     drawn = cut(augment.ring_rows(base, **RECALL_RINGS))
-    joined = base.select("sender", "receiver", "amount").unionByName(drawn.select("sender", "receiver", "amount"))
-    return rings.ring_recall(drawn, rings.cycles(graph.edges(joined), (3, 4, 5)))
+    return drawn, base.select("sender", "receiver", "amount").unionByName(drawn.select("sender", "receiver", "amount"))
+
+
+@query
+def ring_recall(spark, d):
+    drawn, joined = with_drawn_rings(spark, d)
+    return rings.ring_recall(drawn, graph.edges(joined))
+
+
+@query
+def cycles_len5(spark, d):
+    """Payments alone have no cycle: those found run over drawn rings, and over payments that join them."""
+    return rings.cycles(graph.edges(with_drawn_rings(spark, d)[1]), (5,)).select("length", "ring")
 
 
 # --- streaming ---------------------------------------------------------------------------------
@@ -516,15 +592,27 @@ def ring_recall(spark, d):
 STREAM = T.StructType([T.StructField("seq", T.LongType()), *TRANSACTIONS.fields])
 
 
-def replay_transfers(spark, d, name, start):
-    """Run a streaming query over the transfers, arriving in four slices by sequence number."""
+CLOSING = "closing"
+
+
+def closing_slices(parts, last):
+    """The slices, then one row far later than all of them, then another that lets the moved watermark act."""
+    yield from parts
+    later = F.make_dt_interval(days=F.lit(30))
+    for shift in (1, 2):
+        yield last.select(
+            F.lit(-shift).cast("bigint").alias("seq"), F.lit(CLOSING).alias("sender"), F.lit(CLOSING).alias("receiver"),
+            F.lit(0.0).alias("amount"), (F.col("ts") + later * shift).alias("ts"), F.lit(None).cast("string").alias("type"), F.lit(0).alias("is_fraud"))
+
+
+def replay_transfers(spark, d, name, start, closing=False):
+    """Run a streaming query over the transfers, arriving in four equal slices in order of their sequence number."""
     root = scratch_path(spark, name)
     landing, out, state = f"{root}/landing", f"{root}/out", f"{root}/state"
     tx = views.transfers(spark, d).select(*STREAM.fieldNames())
-    rows = tx.agg(F.count(F.lit(1))).scalar()
-    slice_of = F.floor(F.col("seq") * SLICES / rows).cast("int")
+    parts = replay.ranked_slices(tx, [F.col("seq")], SLICES)
     replay.drive(
-        replay.slices(tx, slice_of, range(SLICES)), landing,
+        closing_slices(parts, tx.agg(F.max("ts").alias("ts"))) if closing else parts, landing,
         lambda: start(replay.open_stream(spark, landing, STREAM), out, state),
     )
     return out
@@ -569,12 +657,33 @@ def stream_velocity(spark, d):
 
 @query
 def stream_sessions(spark, d):
-    out = replay_transfers(spark, d, "sessions", lambda stream, out, state: live.to_table(
-        live.live_sessions(stream, "2 hours"), out, state))
-    return spark.read.parquet(out).select(
+    """Event-time sessions; one closing row after the last slice moves the watermark past all of them."""
+    def start(stream, out, state):
+        return live.to_table(live.live_sessions(stream, "2 hours"), out, state)
+
+    out = replay_transfers(spark, d, "sessions", start, closing=True)
+    return spark.read.parquet(out).filter(F.col("sender") != CLOSING).select(
         "sender", *text("session_start", "session_end"), "tx_count", "tx_amount")
 
 
+@query
+def stream_model_scores(spark, d):
+    """The last state of a stream scored by a trained forest, with the batch features the model was trained on."""
+    training = cut(model.with_class_weight(cut(labelled_ledger(spark, d))))
+    fitted = model.train(training, trees=5)
+
+    def scorer(f):
+        return model.predict(fitted, f).select(*f.columns, scoring.SCORE)
+
+    total = views.transfers(spark, d).count()
+    out = replay_transfers(spark, d, "model", lambda stream, out, state: live.run(stream, out, state, scorer, total))
+    scored = live.latest(spark, out, "scores")
+    batch = scorer(features.extract(views.transfers(spark, d))).select("id", F.col(scoring.SCORE).alias("batch_score"))
+    return scored.join(batch, "id", "left").select(
+        "id", *FEATURES, (F.abs(F.col(scoring.SCORE) - F.col("batch_score")) < 1e-12).alias("as_in_batch"),
+        (F.col("label") == scoring.band_of(F.col("batch_score"))).alias("band_as_in_batch"))
+
+
 @query
 def stream_dedup(spark, d):
     def start(stream, out, state):

@@ -3,6 +3,7 @@ import tempfile
 
 import pytest
 
+from ledgerweb.functions.lineage import clear_scratch
 from ledgerweb.session import build_session
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -13,10 +14,12 @@ def spark():
     session = build_session(
         "tests", "local[8]",
         **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "8g",
-           "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="warehouse-")},
+           "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="warehouse-"),
+           "spark.checkpoint.dir": tempfile.mkdtemp(prefix="checkpoint-")},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_scratch(session)
     session.stop()
 
 

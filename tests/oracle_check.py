@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
 
 import duckdb
 import pandas as pd
 
 import __spark_entry__ as entry
+from ledgerweb.functions.lineage import clear_scratch
 from ledgerweb.plans.queries import TABLES
 from ledgerweb.session import build_session
 
@@ -48,7 +50,8 @@ def difference(left: pd.DataFrame, right: pd.DataFrame) -> str | None:
 def main(argv: list[str]) -> int:
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:] or list(entry.queries())
-    spark = build_session("oracle", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
+    spark = build_session("oracle", "local[8]", **{
+        "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="oracle-")})
     spark.sparkContext.setLogLevel("ERROR")
     con, failed = duck(sf_dir), 0
     for name in names:
@@ -72,6 +75,7 @@ def main(argv: list[str]) -> int:
         failed += problem is not None
         print(f"{'ok   ' if problem is None else 'FAIL '} {name}: {len(got)} rows, {took:.1f}s, sql {time.time() - start:.1f}s"
               + (f" | {problem}" if problem else ""), flush=True)
+    clear_scratch(spark)
     spark.stop()
     return failed
 

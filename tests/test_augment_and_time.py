@@ -73,12 +73,37 @@ def test_no_cycles(spark):
         rings.cycles(graph.edges(tx(spark, [("a", "b")])), (2,))
 
 
+def test_cycles_of_other_lengths_are_refused(spark):
+    with pytest.raises(ValueError):
+        rings.cycles(graph.edges(tx(spark, [("a", "b")])), (6,))
+
+
 def test_ring_recall(spark):
     base = tx(spark, [(f"c{i}", f"s{i % 7}") for i in range(60)])
-    drawn = augment.ring_rows(base, n_rings=12, size=(3, 5), rewire=0.1, noise=(1, 1))
+    drawn = augment.ring_rows(base, n_rings=12, size=(3, 5), rewire=0.1, noise=(1, 1)).cache()
     e = graph.edges(augment.append_rings(base, drawn))
-    for r in rings.ring_recall(drawn, rings.cycles(e)).collect():
-        assert r["whole"] <= r["found"] <= r["rings"]
+    edges = {(r["src"], r["dst"]) for r in e.collect()}
+    steps = defaultdict(list)
+    for r in drawn.filter("kind = 'ring'").orderBy("ring", "step").collect():
+        steps[r["ring"]].append(r)
+    expected = defaultdict(lambda: [0, 0, 0])
+    for own in steps.values():
+        members = [r["sender"] for r in own]
+        count = expected[len(members)]
+        count[0] += 1
+        count[1] += not any(r["rewired"] for r in own)
+        count[2] += all(pair in edges for pair in zip(members, members[1:] + members[:1]))
+    got = {r["ring_size"]: [r["rings"], r["whole"], r["found"]] for r in rings.ring_recall(drawn, e).collect()}
+    assert got == expected
+    assert sum(n[1] for n in got.values()) > 0
+
+
+def test_rings_are_drawn_from_all_accounts(spark):
+    base = tx(spark, [(f"c{i}", f"s{i}") for i in range(4000)])
+    pool = graph.account_pool(base).collect()
+    assert sorted(r["place"] for r in pool) == list(range(8000))
+    drawn = augment.ring_rows(base, n_rings=400).select("sender").distinct().count()
+    assert drawn > 2000
 
 
 def test_velocity(spark):
@@ -98,6 +123,12 @@ def test_deviation(spark):
     assert got[6]["prior_std"] == 0 and got[6]["amount_z"] is None
 
 
+def test_deviation_of_large_close_amounts(spark):
+    rows = [("a", i, 10_000_000 + i % 2) for i in range(201)]
+    last = {r["seq"]: r for r in temporal.amount_deviation(timed(spark, rows)).collect()}[200]
+    assert round(last["prior_std"], 5) == 0.50125 and abs(last["amount_z"]) == pytest.approx(0.5 / 0.501255, rel=1e-4)
+
+
 def test_sessions(spark):
     day = 86400
     rows = [("a", 0, 1), ("a", 1000, 1), ("a", 5000, 1), ("a", day - 60, 1), ("a", day + 60, 1), ("a", day + 1859, 1),

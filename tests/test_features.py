@@ -1,6 +1,5 @@
 import pytest
 
-from ledgerweb.functions import hot
 from ledgerweb.operators import components, features, graph, triangles
 from ledgerweb.schema import FEATURES
 from ledgerweb.sources.readers import sample_rows
@@ -78,12 +77,21 @@ def test_against_brute_force(spark, seed, hub):
     assert full(shuffled) == expected
 
 
-def test_against_brute_force_with_hot_accounts(spark, monkeypatch):
-    monkeypatch.setattr(hot, "HOT_ROWS", 5)
+def test_against_brute_force_with_a_hub(spark):
     pairs = random_pairs(40, 160, 8, 0.4)
     assert full(tx(spark, pairs)) == brute_features(pairs)
 
 
+@pytest.mark.parametrize("chunk", [1, 3])
+def test_triangles_in_chunks(spark, chunk):
+    pairs = random_pairs(30, 200, 12, 0.2)
+    links = graph.index_links(graph.edges(tx(spark, pairs))).links
+    found = {}
+    for r in triangles.closing_corners(links, chunk).collect():
+        found[r["lo"], r["hi"]] = found.get((r["lo"], r["hi"]), 0) + len(r["corners"])
+    assert sum(found.values()) == sum(v[6] for v in brute_features(pairs).values()) // 3
+
+
 def test_invariants(spark):
     pairs = random_pairs(60, 200, 5)
     df = tx(spark, pairs)

@@ -1,9 +1,9 @@
 import random
+import statistics
 
 import pytest
 
-from ledgerweb.functions import hot
-from ledgerweb.functions.ordered import global_rank, running
+from ledgerweb.functions.ordered import global_rank, prior_moments, running
 from pyspark.sql import functions as F
 
 
@@ -34,15 +34,18 @@ def test_rank(spark):
     assert sorted(r["rank"] for r in ranked) == list(range(1, 501))
 
 
-@pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("hot_rows", [100, 1_000_000])
-def test_join_hot(spark, monkeypatch, how, hot_rows):
-    monkeypatch.setattr(hot, "HOT_ROWS", hot_rows)
-    left = spark.range(1000).select(
-        F.when(F.col("id") < 400, 0).when(F.col("id") < 600, 99).otherwise(F.col("id") % 50).alias("k"), "id")
-    right = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    found = hot.hot_keys(left, "k")
-    assert (None if found is None else sorted(r["k"] for r in found.collect())) == ([0, 99] if hot_rows == 100 else None)
-    got = hot.join_hot(left, right, "k", how).select("k", "id", "v")
-    expected = left.join(right, "k", how).select("k", "id", "v")
-    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+def test_prior_moments_of_large_close_values(spark):
+    rnd = random.Random(3)
+    rows = [("even", i, 1e7 + i % 2) for i in range(200)] + [("alike", i, 0.1) for i in range(90)]
+    rows += [(f"k{rnd.randrange(5)}", 1000 + i, rnd.uniform(-5, 5)) for i in range(200)]
+    df = spark.createDataFrame(rows, "k string, t int, v double").repartition(6)
+    got = {(r["k"], r["t"]): r for r in prior_moments(df, ["k"], [F.col("t")], "v").collect()}
+    seen = {}
+    for k, t, v in rows:
+        past, r = seen.setdefault(k, []), got[k, t]
+        assert r["n"] == len(past) and (r["low"], r["high"]) == ((min(past), max(past)) if past else (None, None))
+        if past:
+            assert r["mean"] == pytest.approx(statistics.fmean(past), rel=1e-12)
+            assert r["m2"] == pytest.approx(statistics.pvariance(past) * len(past), rel=1e-9, abs=1e-12)
+        past.append(v)
+    assert len(got) == len(rows)

@@ -81,8 +81,7 @@ def test_log_histogram(spark):
 def test_display_and_text(spark):
     scored = scoring.rule_score(table(spark, [("a", 3, 1, 2, 1234567.5, 0.0, 2, 4)]))
     row = reports.display_table(scored).first()
-    assert (row["score_text"], row["amount_in_text"], row["details"]) == (
-        "0.0000", "₹1,234,567.50", "Degree: 3 | TXs in: 1 | TXs out: 2 | Cluster: 2 | Triangles: 4")
+    assert (row["score_text"], row["amount_in_text"], row["degree"], row["triangle_count"]) == ("0.0000", "₹1,234,567.50", 3, 4)
     assert scored.select(amounts.percent(F.lit(0.1234))).first()[0] == "12.3%"
 
 
@@ -102,6 +101,8 @@ def test_request_and_response(spark):
     assert all(n <= 10 for n in sizes) and sum(sizes) == f.count()
     record = json.loads(payloads.filter("request_id = 0").first()["payload"])["dataframe_records"][0]
     assert list(record) == ["id", *FEATURES]
+    texts = {f'"amount_out":{r["amount_out"]:.4f}' for r in f.collect()}
+    assert all(any(t in r["payload"] for r in payloads.collect()) for t in texts)
     back = reports.parse_request(payloads).select("id", *FEATURES)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, f.collect()))
     answers = spark.createDataFrame(
@@ -156,8 +157,16 @@ def test_threshold_sweep_and_confusion(spark):
 def test_smote(spark):
     rows = [(f"p{i}", float(i), float(10 * i), 1) for i in range(20)] + [("n", 500.0, 500.0, 0)]
     df = spark.createDataFrame(rows, "id string, x double, y double, label int")
-    made = model.smote(df, ["x", "y"], per_row=2, buckets=2).collect()
+    made = model.smote(df, ["x", "y"], per_row=2).collect()
     assert len(made) == 40 and all(r["label"] == 1 and 0 <= r["x"] <= 19 and 0 <= r["y"] <= 190 for r in made)
+    assert not {(r["x"], r["y"]) for r in made} & {(x, y) for _, x, y, _ in rows}
+
+
+@pytest.mark.parametrize("positives,expected", [(0, 0), (1, 0), (2, 2), (3, 6)])
+def test_smote_never_pairs_a_row_with_itself(spark, positives, expected):
+    df = spark.createDataFrame([(f"p{i}", float(i), 1) for i in range(positives)], "id string, x double, label int")
+    made = model.smote(df, ["x"], per_row=2).collect()
+    assert len(made) == expected and all(r["x"] not in (0.0, 1.0, 2.0) for r in made)
 
 
 def test_forest_run(spark, tmp_path):

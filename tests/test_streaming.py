@@ -19,10 +19,10 @@ def rows(spark):
     return spark.createDataFrame(data, STREAM)
 
 
-def play(spark, rows, start, parts=3, n=90):
+def play(spark, rows, start, parts=3):
     root = scratch_path(spark, "test")
     landing, out, state = f"{root}/landing", f"{root}/out", f"{root}/state"
-    replay.drive(replay.slices(rows, F.floor(F.col("seq") * parts / n).cast("int"), range(parts)), landing,
+    replay.drive(replay.ranked_slices(rows, [F.col("seq")], parts), landing,
                  lambda: start(replay.open_stream(spark, landing, STREAM), out, state))
     return out
 
@@ -75,3 +75,17 @@ def test_files_per_trigger(spark, rows):
     assert written.select("batch_id").distinct().count() == 4
     current = live.current_versions(spark, f"{root}/out", ["src", "dst"])
     assert current.agg(F.sum("transaction_count")).first()[0] == 90
+
+
+@pytest.mark.parametrize("first,gap", [(0, 1), (1, 1), (-5, 10)])
+def test_slices_keep_every_row(spark, first, gap):
+    df = spark.range(90).select((F.col("id") * gap + first).alias("seq"))
+    parts = [p.count() for p in replay.ranked_slices(df, [F.col("seq")], 4)]
+    assert sum(parts) == 90 and max(parts) - min(parts) <= 1
+
+
+def test_a_row_without_slice_is_an_error(spark):
+    with pytest.raises(ValueError):
+        list(replay.slices(spark.range(10), F.col("id").cast("int"), range(9)))
+    with pytest.raises(ValueError):
+        list(replay.slices(spark.range(10), F.lit(None).cast("int"), range(9)))
