@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import json
 import os
 
 import numpy as np
 
-WORDS_KEPT = 500_000  # of a worker, about 100 MB; when full, it starts anew
+WORDS_KEPT = 600_000  # of a worker, about 130 MB; when full, it starts anew
+BLANKS = "\t\n\x0b\x0c\r"
+STOPS = (".", ",")
+LINE_WORDS = 300
 
 
 class WordEncoder:
     """Encodes a text as the library does, but each blank-separated word once.
 
-    Valid for tokenizers that split at white space and drop it, and whose normalisation doesn't cross it.
+    Valid for tokenizers that split at white space and drop it, whose normalisation doesn't cross it and lowers ASCII letters, and which
+    split off punctuation and mark the last token of every word by a suffix.
     """
 
     def __init__(self, path: str):
@@ -20,29 +25,61 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        suffix = json.loads(self.tokenizer.to_str())["model"]["end_of_word_suffix"]
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.is_last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.is_last[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
         self.known: dict[str, bytes] = {}
 
     def _learn(self, words: list[str]) -> None:
-        encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        for word, found in zip(words, encode(words, add_special_tokens=False), strict=True):
-            self.known[word] = np.array(found.ids, dtype="<u4").tobytes()
+        """Words of letters alone are encoded as texts of many, cut again after each last token; others one by one."""
+        known, encode = self.known, getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        plain = [w for w in words if w.isalpha()]
+        lines = [plain[i:i + LINE_WORDS] for i in range(0, len(plain), LINE_WORDS)]
+        for line, found in zip(lines, encode([" ".join(line) for line in lines], add_special_tokens=False), strict=True):
+            ids = np.array(found.ids, dtype="<u4")
+            ends = (4 * np.flatnonzero(self.is_last[ids]) + 4).tolist()
+            if len(ends) == len(line):
+                raw = ids.tobytes()
+                known.update(zip(line, [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)], strict=True))
+        rest = [w for w in words if w not in known]
+        for word, found in zip(rest, encode(rest, add_special_tokens=False), strict=True):
+            known[word] = np.array(found.ids, dtype="<u4").tobytes()
+
+    def _meet(self, missing: set[str]) -> None:
+        """Learn words from those they are made of: a full stop or comma after letters is a token of its own."""
+        known, fresh, made = self.known, set(), []
+        for word in missing:
+            stop = word.endswith(STOPS)
+            stem = word[:-1] if stop else word
+            if stop and not stem.isalpha():
+                stem, stop = word, False
+            if stem.isascii() and not stem.islower():
+                stem = stem.lower()
+            if stem not in known:
+                fresh.add(stem)
+            if stop or stem != word:
+                made.append((word, stem, word[-1] if stop else ""))
+        fresh.update(s for s in STOPS if s not in known)
+        self._learn(list(fresh))
+        for word, stem, stop in made:
+            known[word] = known[stem] + known[stop] if stop else known[stem]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Unsigned 32-bit ids of each text."""
         if len(self.known) > WORDS_KEPT:
             self.known.clear()
-        split = [t.split(" ") for t in texts]
-        missing = set().union(*split) - self.known.keys() if split else set()
-        # A full stop or comma after letters only is a token of its own.
-        stems = {w: w[:-1] for w in missing if w[-1:] in (".", ",") and w[:-1].isalpha()}
-        plain = (missing - stems.keys()) | (set(stems.values()) - self.known.keys())
-        if stems:
-            plain |= {".", ","} - self.known.keys()
-        if plain:
-            self._learn(sorted(plain))
-        for word, stem in stems.items():
-            self.known[word] = self.known[stem] + self.known[word[-1]]
-        get = self.known.__getitem__
+        split = []
+        for text in texts:
+            for blank in BLANKS:
+                if blank in text:
+                    text = text.replace(blank, " ")
+            split.append(text.split(" "))
+        known = self.known
+        missing = set().union(*split).difference(known)
+        if missing:
+            self._meet(missing)
+        get = known.__getitem__
         return [np.frombuffer(b"".join(map(get, words)), dtype="<u4") for words in split]
 
 
