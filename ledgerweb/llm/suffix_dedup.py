@@ -32,7 +32,8 @@ LENGTH = 400
 GRAM = 32
 SYMBOL = 16
 HOT = 20_000            # contexts of one anchor hash; more are dealt by their cores
-TEXT_BYTES = 6 << 20    # of one transform
+TEXT_BYTES = 4 << 20    # of one transform
+HASHED_BYTES = 1 << 19  # of documents whose anchors are found together
 RESULTS = {"kept": ("binary", bytes), "kept_sha256": ("string", lambda b: hashlib.sha256(b).hexdigest()),
            "kept_text": ("string", lambda b: b.decode("utf-8", "ignore"))}
 DEAD, REPEATED, SINGLE, PARTNER = 0, 1, 2, 3
@@ -80,6 +81,18 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int)
     return at[first], hashes[at[first]], begin[first], begin[last]
 
 
+def block_anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int) -> list[np.ndarray]:
+    """Anchors of many documents, found for some documents at a time; a hash of each byte takes eight."""
+    found, done = [], 0
+    while done < len(ends):
+        begin = int(starts[done])
+        to = max(done + 1, int(np.searchsorted(ends, begin + HASHED_BYTES, side="right")))
+        place, hashes, first, last = anchors(data[begin:ends[to - 1]], starts[done:to] - begin, ends[done:to] - begin, length)
+        found.append((place + begin, hashes, first + begin, last + begin))
+        done = to
+    return [np.concatenate(column) for column in zip(*found, strict=True)]
+
+
 def context_digests(raw: bytes, first: np.ndarray, last: np.ndarray, length: int) -> np.ndarray:
     import xxhash
 
@@ -88,7 +101,8 @@ def context_digests(raw: bytes, first: np.ndarray, last: np.ndarray, length: int
 
 
 def buckets_of(hashes: np.ndarray, count: int) -> np.ndarray:
-    return ((hashes >> np.uint64(32)) * np.uint64(count) >> np.uint64(32)).astype(np.int64)
+    """Buckets of equal size; anchors' hashes are the smallest of many and therefore scrambled once more."""
+    return ((scrambled(hashes * MULTIPLIER) >> np.uint64(32)) * np.uint64(count) >> np.uint64(32)).astype(np.int64)
 
 
 def find_block(texts: list[bytes], length: int, buckets: int) -> tuple[bytes, dict[int, bytes], int]:
@@ -96,15 +110,16 @@ def find_block(texts: list[bytes], length: int, buckets: int) -> tuple[bytes, di
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
     ends = np.cumsum(sizes)
     raw = b"".join(texts)
-    place, hashes, first, last = anchors(np.frombuffer(raw, np.uint8), ends - sizes, ends, length)
+    place, hashes, first, last = block_anchors(np.frombuffer(raw, np.uint8), ends - sizes, ends, length)
     digests = context_digests(raw, first, last, length)
-    order = np.lexsort((digests, hashes))
+    bucket = buckets_of(hashes, buckets)
+    order = np.lexsort((digests, hashes, bucket))
     h, d = hashes[order], digests[order]
     fresh = np.concatenate([[True], (h[1:] != h[:-1]) | (d[1:] != d[:-1])]) if len(h) else np.zeros(0, bool)
     number = np.empty(len(h), dtype=np.int64)
     number[order] = np.cumsum(fresh) - 1
     h, d, counts = h[fresh], d[fresh], np.bincount(number, minlength=int(fresh.sum()))
-    at = np.searchsorted(buckets_of(h, buckets), np.arange(buckets + 1))
+    at = np.searchsorted(bucket[order][fresh], np.arange(buckets + 1))
     parts = {b: dump(h[at[b]:at[b + 1]], d[at[b]:at[b + 1]], counts[at[b]:at[b + 1]].astype("<u4")) for b in range(buckets) if at[b] < at[b + 1]}
     body = dump(sizes, np.frombuffer(raw, np.uint8), place.astype("<u4"), first.astype("<u4"), (last - first).astype("<u2"),
                 number.astype("<u4"), h, level=3)
@@ -348,6 +363,7 @@ def _compare_whole(lists: list, present: list[bool], hits: list, length: int) ->
     order = np.argsort(hashes, kind="stable")
     group = np.concatenate([[0], np.flatnonzero(hashes[order[1:]] != hashes[order[:-1]]) + 1, [len(order)]])
     done, ends = 0, np.cumsum(size[order])
+    padded = np.concatenate([np.zeros(SYMBOL, np.uint8), data, np.zeros(SYMBOL, np.uint8)])
     while done < len(order):
         before = ends[done - 1] if done else 0
         fit = np.searchsorted(ends, before + TEXT_BYTES, side="right")
@@ -359,7 +375,6 @@ def _compare_whole(lists: list, present: list[bool], hits: list, length: int) ->
         context, core, classes = core_classes(data, begin[own], anchor[own], starts[own], length)
         shared = _shared(classes)
         context, core, classes = context[shared], core[shared], classes[shared]
-        padded = np.concatenate([np.zeros(SYMBOL, np.uint8), data, np.zeros(SYMBOL, np.uint8)])
         at = (begin[own][context] + core)[:, None] + np.arange(SYMBOL)
         found, start = repeated_starts(context, core, classes, padded[at], padded[at + length], starts[own], weight[own])
         _return(own[found], start, source, number, weight, hits)
@@ -400,11 +415,11 @@ def removed_spans(body: bytes, states: dict[int, bytes], hits: dict[int, bytes],
         context, start = load(data_back)
         at = begin[one[context]] + start
         runs.append(np.column_stack([at, at + length]))
-    covered = np.zeros(len(data) + 1, dtype=np.int64)
+    covered = np.zeros(len(data) + 1, dtype=np.int32)
     every = np.concatenate(runs)
     np.add.at(covered, every[:, 0], 1)
     np.add.at(covered, every[:, 1], -1)
-    gone = np.cumsum(covered)[:-1] > 0
+    gone = np.cumsum(covered, dtype=np.int32)[:-1] > 0
     ends = np.cumsum(sizes)
     raw, texts, spans = data.tobytes(), [], []
     for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True):
