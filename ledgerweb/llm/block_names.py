@@ -1,6 +1,6 @@
 """Exact duplicates by deterministic block naming.
 
-Normalised texts are cut into blocks of a fixed number of characters. The distinct blocks are sorted and numbered; a block's
+Normalised texts are cut into blocks of a fixed number of bytes. The distinct blocks are sorted and numbered; a block's
 number is its name. Adjacent names are then taken in pairs, the distinct pairs sorted and numbered from where the
 last names ended, and so on until each document has one name (Karp, Miller and Rosenberg's naming). Equal texts
 get equal names, and different texts never do: names stand for sorted distinct values, not for hashes.
@@ -35,10 +35,12 @@ def _numbered(distinct: DataFrame, columns: list[str], first: int) -> DataFrame:
 
 
 def _blocks(texts: DataFrame, size: int) -> DataFrame:
-    last = F.greatest(F.ceil(F.char_length("norm") / F.lit(size)).cast("int"), F.lit(1)) - 1
+    # Bytes, not characters: a block of a long text is found without walking through the text before it.
+    data = F.col("norm").cast("binary").alias("data")
+    last = F.greatest(F.ceil(F.octet_length("data") / F.lit(size)).cast("int"), F.lit(1)) - 1
     at = F.explode(F.sequence(F.lit(0), last)).alias("at")
-    return texts.select(*ROW, "norm", at).select(
-        *ROW, "at", F.substring(F.col("norm"), F.col("at") * size + 1, F.lit(size)).alias("block"))
+    return texts.select(*ROW, data).select(*ROW, "data", at).select(
+        *ROW, "at", F.substring(F.col("data"), F.col("at") * size + 1, F.lit(size)).alias("block"))
 
 
 def identities(texts: DataFrame, size: int = BLOCK) -> DataFrame:
