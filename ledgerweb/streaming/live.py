@@ -3,52 +3,187 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerweb.functions.amounts import money_sum
-from ledgerweb.operators import features as feature_ops
-from ledgerweb.operators import graph, scoring
-from ledgerweb.schema import DEFAULT_SCORE, ScoreConfig
+from ledgerweb.functions.lineage import stored
+from ledgerweb.operators import components, graph, scoring
+from ledgerweb.schema import DEFAULT_SCORE, FEATURES, ScoreConfig
 
 TOP_K = 8
+KEYS = {"edges": ["src", "dst"], "scores": ["id"]}
+COMPACT_EVERY = 10
 
 
-def score_state(
-    spark: SparkSession,
-    edges: DataFrame,
-    batch_id: int,
-    out_dir: str,
-    scorer: Callable[[DataFrame], DataFrame],
-    total_rows: int | None,
-    config: ScoreConfig,
+# --- state as versions -------------------------------------------------------------------------
+
+def _versions(spark: SparkSession, folder: str) -> list[int]:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(path)] if fs.exists(path) else []
+    return sorted(int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id="))
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def state(spark: SparkSession, out_dir: str, table: str, before: int | None = None) -> DataFrame | None:
+    """The rows of `edges` or `scores` as they stood before batch `before`, or now; None before the first batch.
+
+    A batch stores the rows it changed. The newest version of a key holds; whole tables, stored every
+    few batches, spare reading what lies before them.
+    """
+    def past(folder: str) -> list[int]:
+        return [n for n in _versions(spark, folder) if before is None or n < before]
+
+    changes, whole = f"{out_dir}/{table}", f"{out_dir}/whole_{table}"
+    start = max(past(whole), default=None)
+    read = [] if start is None else [spark.read.parquet(f"{whole}/batch_id={start}").withColumn("batch_id", F.lit(start))]
+    later = [n for n in past(changes) if start is None or n > start]
+    if later:
+        read.append(spark.read.option("basePath", changes).parquet(*[f"{changes}/batch_id={n}" for n in later]))
+    if not read:
+        return None
+    rows = reduce(DataFrame.unionByName, read)
+    if len(later) + len(read) - bool(later) == 1:
+        return rows.drop("batch_id")
+    keys = KEYS[table]
+    rest = [c for c in rows.columns if c not in (*keys, "batch_id")]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("v")).select(*keys, "v.*")
+
+
+def compact(spark: SparkSession, out_dir: str, batch_id: int) -> None:
+    """Store both tables whole as of `batch_id`, and drop what the whole tables before these have made superfluous.
+
+    The last whole tables but one stay, so that a batch which is repeated finds the state before it.
+    """
+    for table in KEYS:
+        whole = f"{out_dir}/whole_{table}"
+        earlier = [n for n in _versions(spark, whole) if n < batch_id]
+        state(spark, out_dir, table, batch_id + 1).write.mode("overwrite").parquet(f"{whole}/batch_id={batch_id}")
+        if earlier:
+            for folder in (f"{out_dir}/{table}", whole):
+                for n in _versions(spark, folder):
+                    if n < earlier[-1] or (n == earlier[-1] and folder != whole):
+                        _delete(spark, f"{folder}/batch_id={n}")
+
+
+# --- one batch ---------------------------------------------------------------------------------
+
+def _new_triangles(now: DataFrame, new_links: DataFrame) -> DataFrame:
+    """`id, more`: triangles through each account that have at least one of the new links `a, b`."""
+    links = graph.undirected(now)
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = stored(both.join(new_links.select(F.explode(F.array("a", "b")).alias("a")).distinct(), "a", "left_semi"), "near")
+    size = near.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
+    sized = (
+        new_links.join(size.withColumnRenamed("n", "n_a"), "a")
+        .join(size.select(F.col("a").alias("b"), F.col("n").alias("n_b")), "b")
+    )
+    # The neighbours of the end that has fewer are looked up at the other end.
+    small = F.when(F.col("n_a") <= F.col("n_b"), F.col("a")).otherwise(F.col("b"))
+    large = F.when(F.col("n_a") <= F.col("n_b"), F.col("b")).otherwise(F.col("a"))
+    wedges = sized.select(small.alias("a"), large.alias("other")).join(near.withColumnRenamed("b", "third"), "a")
+    closed = wedges.join(near.select(F.col("a").alias("other"), F.col("b").alias("third")), ["other", "third"], "left_semi")
+    corners = F.array_sort(F.array("a", "other", "third"))
+    return (
+        closed.select(corners.alias("corners")).distinct().select(F.explode("corners").alias("id"))
+        .groupBy("id").agg(F.count(F.lit(1)).alias("more"))
+    )
+
+
+def _merged_components(old: DataFrame, new_links: DataFrame) -> DataFrame:
+    """`was, component, cluster_size` for the components that new links join, seeded with the labels so far.
+
+    An account not seen before is a component of its own, named after itself.
+    """
+    label = old.select("id", "component")
+    joined = (
+        new_links.join(label.select(F.col("id").alias("a"), F.col("component").alias("ca")), "a", "left")
+        .join(label.select(F.col("id").alias("b"), F.col("component").alias("cb")), "b", "left")
+        .select(F.coalesce("ca", "a").alias("src"), F.coalesce("cb", "b").alias("dst"))
+        .filter("src <> dst").distinct()
+    )
+    named = stored(components.component_labels(stored(joined, "label-links")).select(F.col("id").alias("was"), "component"), "merged")
+    sizes = old.groupBy(F.col("component").alias("was")).agg(F.first("cluster_size").alias("n"))
+    sized = stored(named.join(sizes, "was", "left").select("was", "component", F.coalesce("n", F.lit(1)).alias("n")), "merged-sizes")
+    total = sized.groupBy("component").agg(F.sum("n").alias("cluster_size"))
+    return sized.select("was", "component").join(total, "component")
+
+
+def rescored(
+    old: DataFrame, before: DataFrame, changed: DataFrame, scorer: Callable[[DataFrame], DataFrame], config: ScoreConfig
+) -> DataFrame:
+    """Features, component, score and band of the accounts that `changed` edges touch, directly or by component or triangle."""
+    now = stored(before.join(changed, KEYS["edges"], "left_anti").unionByName(changed), "edges-now")
+    touched = stored(graph.nodes(changed), "touched")
+    own = now.join(touched.withColumnRenamed("id", "src"), "src", "left_semi").unionByName(
+        now.join(touched.withColumnRenamed("id", "dst"), "dst", "left_semi")).distinct()
+    additive = graph.additive_features(own).join(touched, "id", "left_semi")
+    new_links = stored(graph.undirected(changed).join(graph.undirected(before), ["a", "b"], "left_anti"), "new-links")
+    more = stored(_new_triangles(now, new_links), "new-triangles")
+    merged = stored(_merged_components(old, new_links), "components")
+    members = old.join(merged.select(F.col("was").alias("component")), "component", "left_semi").select("id")
+    ids = touched.unionByName(more.select("id")).unionByName(members).distinct()
+    kept = old.select("id", *[F.col(c).alias(f"old_{c}") for c in (*FEATURES, "component")])
+    fresh = additive.select("id", *[F.col(c).alias(f"new_{c}") for c in FEATURES[:5]])
+    rows = (
+        ids.join(kept, "id", "left").join(fresh, "id", "left").join(more, "id", "left")
+        .withColumn("was", F.coalesce("old_component", "id"))
+        .join(merged, "was", "left")
+    )
+    features = rows.select(
+        "id", *[F.coalesce(f"new_{c}", f"old_{c}").alias(c) for c in FEATURES[:5]],
+        F.coalesce("cluster_size", "old_cluster_size", F.lit(1)).cast("bigint").alias("cluster_size"),
+        (F.coalesce("old_triangle_count", F.lit(0)) + F.coalesce("more", F.lit(0))).cast("bigint").alias("triangle_count"),
+        F.coalesce("component", "was").alias("component"),
+    )
+    features = stored(features, "touched-features")
+    return scoring.band(scorer(features.drop("component")), config=config).join(features.select("id", "component"), "id")
+
+
+def _nothing_yet(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "id string, degree bigint, tx_count_in bigint, tx_count_out bigint, amount_in double, "
+                                     "amount_out double, cluster_size bigint, triangle_count bigint, component string")
+
+
+def score_changes(
+    spark: SparkSession, changed: DataFrame, batch_id: int, out_dir: str, scorer: Callable[[DataFrame], DataFrame],
+    total_rows: int | None, config: ScoreConfig, compact_every: int = COMPACT_EVERY,
 ) -> None:
-    """Features, scores and progress of the graph so far, under this batch's own folders.
+    """Store a batch's changed edges, the scores they change, the best of all scores, and the progress.
 
-    Every table is written to `<table>/batch_id=<n>` in overwrite mode, so a batch that is repeated
-    after a failure replaces its own output. The stored edges are read back through the caller's
+    Every table is written to `<table>/batch_id=<n>` in overwrite mode and only reads older batches, so one that is
+    repeated after a failure replaces its own output. The stored edges are read back through the caller's
     session: the one a micro-batch runs in has adaptive execution, and with it the splitting of
     skewed joins, turned off.
     """
-    stored = f"{out_dir}/edges/batch_id={batch_id}"
-    edges.write.mode("overwrite").parquet(stored)
-    state = spark.read.parquet(stored)
-    judged = f"{out_dir}/scores/batch_id={batch_id}"
-    scoring.band(scorer(feature_ops.from_edges(state)), config=config).write.mode("overwrite").parquet(judged)
-    scored = spark.read.parquet(judged)
+    path = f"{out_dir}/edges/batch_id={batch_id}"
+    changed.write.mode("overwrite").parquet(path)
+    changed = spark.read.schema(changed.schema).parquet(path)
+    old, before = state(spark, out_dir, "scores", batch_id), state(spark, out_dir, "edges", batch_id)
+    scores = rescored(_nothing_yet(spark) if old is None else old, changed.limit(0) if before is None else before, changed, scorer, config)
+    scores.write.mode("overwrite").parquet(f"{out_dir}/scores/batch_id={batch_id}")
+    scored = state(spark, out_dir, "scores", batch_id + 1).drop("component")
     scoring.top_scored(scored, TOP_K).write.mode("overwrite").parquet(f"{out_dir}/top/batch_id={batch_id}")
     alerts = scored.agg(F.count_if(F.col(scoring.SCORE) >= config.fraud).alias("n")).scalar()
     total = F.lit(total_rows).cast("bigint")
     (
-        state.agg(F.coalesce(F.sum("transaction_count"), F.lit(0)).alias("rows_done"))
+        state(spark, out_dir, "edges", batch_id + 1).agg(F.coalesce(F.sum("transaction_count"), F.lit(0)).alias("rows_done"))
         .select(
             "rows_done", total.alias("rows_total"),
             F.least(F.try_divide("rows_done", total), F.lit(1.0)).alias("pct"), alerts.alias("alerts"),
         )
         .write.mode("overwrite").parquet(f"{out_dir}/progress/batch_id={batch_id}")
     )
+    if batch_id % compact_every == compact_every - 1:
+        compact(spark, out_dir, batch_id)
 
 
 def run(
@@ -59,26 +194,27 @@ def run(
     total_rows: int | None = None,
     config: ScoreConfig = DEFAULT_SCORE,
     trigger: dict | None = None,
+    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
-    """Keep the collapsed edges as streaming state and rescore all accounts on every batch."""
+    """Keep the collapsed edges as streaming state and rescore the accounts that each batch touches."""
     spark = stream.sparkSession
     return (
-        graph.edges(stream).writeStream.outputMode("complete")
+        graph.edges(stream).writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
-        .foreachBatch(lambda df, n: score_state(spark, df, n, out_dir, scorer, total_rows, config))
+        .foreachBatch(lambda df, n: score_changes(spark, df, n, out_dir, scorer, total_rows, config, compact_every))
         .start()
     )
 
 
 def latest(spark: SparkSession, out_dir: str, table: str) -> DataFrame:
-    """The rows of the last finished batch."""
-    history = spark.read.parquet(f"{out_dir}/{table}")
-    last = history.agg(F.max("batch_id")).scalar()
-    return history.filter(F.col("batch_id") == last).drop("batch_id")
+    """All rows of `edges` or `scores` after the last finished batch."""
+    rows = state(spark, out_dir, table)
+    return rows.drop("component") if table == "scores" else rows
 
 
 def history(spark: SparkSession, out_dir: str, table: str) -> DataFrame:
+    """What each batch stored, with its number."""
     return spark.read.parquet(f"{out_dir}/{table}").withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
 

@@ -32,6 +32,7 @@ def test_stream_equals_batch(spark, rows):
     batch = scoring.score_batch(rows)
     streamed = live.latest(spark, out, "scores").select(*batch.columns)
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
+    assert streamed.count() == batch.count()
     edges = live.latest(spark, out, "edges").select("src", "dst", "transaction_count", "total_amount")
     assert sorted(map(tuple, edges.collect())) == sorted(map(tuple, graph.edges(rows).collect()))
     progress = live.history(spark, out, "progress").orderBy("batch_id").collect()
@@ -41,6 +42,57 @@ def test_stream_equals_batch(spark, rows):
     assert all(r["count"] == 8 for r in top)
 
 
+@pytest.mark.parametrize("parts,compact_every", [(1, 10), (4, 2)])
+def test_every_batch_equals_a_batch_over_the_rows_so_far(spark, rows, parts, compact_every):
+    states, root = [], scratch_path(spark, "test")
+
+    def start(stream):
+        return live.run(stream, f"{root}/out", f"{root}/state", compact_every=compact_every)
+
+    slices = [p.cache() for p in replay.ranked_slices(rows, [F.col("seq")], parts)]
+    so_far, before = None, {}
+    for part in slices:
+        replay.drive([part], f"{root}/landing", lambda: start(replay.open_stream(spark, f"{root}/landing", STREAM)))
+        so_far = part if so_far is None else so_far.unionByName(part)
+        batch = scoring.score_batch(so_far)
+        expected = {r["id"]: tuple(r) for r in batch.collect()}
+        assert {r["id"]: tuple(r) for r in live.latest(spark, f"{root}/out", "scores").select(*batch.columns).collect()} == expected
+        n = len(states)
+        states.append({r["id"] for r in live.history(spark, f"{root}/out", "scores").filter(F.col("batch_id") == n).collect()})
+        # Nothing that changed is missing from the batch's output, and nothing it has no part in is there.
+        changed = {i for i, v in expected.items() if before.get(i) != v}
+        ends = {x for r in part.collect() for x in (r["sender"], r["receiver"])}
+        assert ends <= states[-1] and (changed <= states[-1])
+        assert states[-1] <= changed | ends | {i for i in expected if i in before and before[i][1:6] == expected[i][1:6]}
+        before = expected
+
+
+def test_untouched_components_are_left_alone(spark, rows):
+    data = [(0, "a", "b"), (1, "c", "d"), (2, "e", "e"), (3, "a", "x")]
+    tx = spark.createDataFrame([(i, s, r, 1.0, START, "P2P", 0) for i, s, r in data], STREAM)
+    out = play(spark, tx, lambda s, o, c: live.run(s, o, c), 4)
+    by_batch = {}
+    for r in live.history(spark, out, "scores").collect():
+        by_batch.setdefault(r["batch_id"], set()).add(r["id"])
+    assert by_batch == {0: {"a", "b"}, 1: {"c", "d"}, 2: {"e"}, 3: {"a", "b", "x"}}
+
+
+def test_old_versions_go(spark, rows):
+    root = play(spark, rows, lambda s, o, c: live.run(s, o, c, compact_every=2), 7)
+    assert live._versions(spark, f"{root}/whole_edges") == [3, 5]
+    assert live._versions(spark, f"{root}/scores") == [4, 5, 6]
+    assert live.latest(spark, root, "edges").agg(F.sum("transaction_count")).first()[0] == 90
+
+
+def test_a_repeated_batch_replaces_its_output(spark, rows):
+    out = play(spark, rows, lambda s, o, c: live.run(s, o, c), 3)
+    expected = sorted(map(tuple, live.latest(spark, out, "scores").collect()))
+    changed = spark.read.parquet(f"{out}/edges/batch_id=2")
+    again = spark.createDataFrame(changed.collect(), changed.schema)
+    live.score_changes(spark, again, 2, out, scoring.rule_score, 90, scoring.DEFAULT_SCORE)
+    assert sorted(map(tuple, live.latest(spark, out, "scores").collect())) == expected
+
+
 def test_velocity_stream(spark, rows):
     out = play(spark, rows, lambda s, o, c: live.to_versions(live.live_velocity(s), o, c))
     current = live.current_versions(spark, out, ["sender", "window_start", "window_end"])
