@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import os
 import struct
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  pa.compute
 import zstandard
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerweb.functions.lineage import scratch_path
@@ -18,6 +20,14 @@ from ledgerweb.functions.lineage import scratch_path
 ROW = ["row_file", "row_pos"]
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver has it, for runs without an installed one or `--py-files`."""
+    environment, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """`df` written as Parquet to the shared folder and read back: later steps survive lost executors."""
     spark, path = df.sparkSession, scratch_path(df.sparkSession, name)

@@ -26,22 +26,22 @@ SPACE = 0
 BITS = 21  # of a code point
 
 
-def letters(text: str, kinds: dict[int, int]) -> np.ndarray:
-    """Lower-case code points with every run of other characters as one 0, also at both ends; empty without letters.
+def letter_table() -> np.ndarray:
+    """What is known of each code point: 0 not seen yet, 1 a letter, 2 another character."""
+    return np.zeros(0x110000, dtype=np.int8)
 
-    `kinds` remembers which code points are letters.
-    """
+
+def letters(text: str, table: np.ndarray) -> np.ndarray:
+    """Lower-case code points with every run of other characters as one 0, also at both ends; empty without letters."""
     points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype="<u4")
     if len(points) == 0:
         return points
-    table = kinds.setdefault(-1, np.zeros(0x110000, dtype=np.int8))  # 0 not seen, 1 letter, 2 other
     kind = table[points]
     if not kind.all():
         for point in np.unique(points[kind == 0]).tolist():
             table[point] = 1 if chr(point).isalpha() else 2
         kind = table[points]
-    plain = np.where(kind == 1, points, SPACE)
-    padded = np.concatenate([[SPACE], plain, [SPACE]])
+    padded = np.concatenate([[SPACE], np.where(kind == 1, points, SPACE), [SPACE]])
     if not padded.any():
         return padded[:0]
     return padded[np.concatenate([[True], (padded[1:] != SPACE) | (padded[:-1] != SPACE)])]
@@ -87,11 +87,11 @@ def learn(docs: DataFrame, profile_size: int = PROFILE, sample: int = SAMPLE) ->
     schema = pa.schema([("lang", pa.string()), ("gram", pa.int64()), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds: dict = {}
+        table = letter_table()
         for batch in text_batches(batches, BATCH_BYTES):
             by_lang: dict[str, list] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), texts_of(batch), strict=True):
-                if len(points := letters(text, kinds)):
+                if len(points := letters(text, table)):
                     by_lang.setdefault(lang, []).append(grams(points))
             for lang, found in by_lang.items():
                 codes, where = np.unique(np.concatenate([g for g, _ in found]), return_inverse=True)
@@ -112,7 +112,7 @@ class Identifier:
     """Compares documents with all profiles at once."""
 
     def __init__(self, profiles: dict[str, np.ndarray], size: int):
-        self.size, self.names, self.kinds = size, sorted(profiles), {}
+        self.size, self.names, self.table = size, sorted(profiles), letter_table()
         self.codes = np.unique(np.concatenate([*profiles.values(), np.zeros(0, np.int64)]))
         # The last row stands for n-grams that no language has.
         self.places = np.full((len(self.codes) + 1, len(self.names)), size, dtype=np.int64)
@@ -123,7 +123,7 @@ class Identifier:
             self.missing[at, column] = False
 
     def best(self, text: str | None) -> tuple[str, float]:
-        points = letters(text or "", self.kinds)
+        points = letters(text or "", self.table)
         if len(points) == 0 or not self.names:
             return UNDETERMINED, 0.0
         own = profile(points, self.size)

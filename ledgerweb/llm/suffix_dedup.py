@@ -5,7 +5,7 @@ A string of `length` bytes that starts at two places is found like this:
 1. Anchors. Of every `length` bytes the 32-byte gram with the smallest hash is the anchor (winnowing). Equal strings have
    equal anchors at equal offsets, so two of them meet under the hash of their anchor. An anchor's context is all
    the strings it stands for, taken together.
-2. Buckets count the contexts of each anchor hash. An anchor that occurs once is done. A context that occurs more than once
+2. Buckets count the contexts of each anchor hash; a context goes by 128 bits, the hash of its anchor and its own. An anchor that occurs once is done. A context that occurs more than once
    is repeated as a whole. What is left are contexts that occur once while their anchor occurs elsewhere.
 3. Those contexts, and one copy of each repeated one, meet in the bucket of their anchor. They are read as symbols
    of 16 bytes on a grid fixed by the anchor, and joined to one text. Its Burrows-Wheeler transform is searched

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerweb.llm.common import text_batches, texts_of
+from ledgerweb.llm.common import stored, text_batches, texts_of
 from ledgerweb.llm.token_ids import encoder
 
 CHUNK_IDS = 1 << 16
@@ -130,20 +130,21 @@ def read_pieces(spark: SparkSession, path: str, digest: bool = False) -> DataFra
     doc_id, shard, start (ids of all documents before), doc_tokens, piece_at, piece_len, and ids (binary, little-endian
     unsigned 32-bit) or crc.
     """
-    value = "crc" if digest else "ids"
-    schema = pa.schema([("shard", pa.int32()), *CHUNKS.field("pieces").type.value_type,
-                        (value, pa.int64() if digest else pa.binary())])
+    value, kind = ("crc", pa.int64()) if digest else ("ids", pa.binary())
+    names = [f.name for f in CHUNKS.field("pieces").type.value_type]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                chunk = batch.slice(row, 1).to_pylist()[0]
-                ids, at, rows = from_planes(chunk["planes"], chunk["n_ids"], chunk["kind"]), 0, []
-                for piece in chunk["pieces"]:
-                    raw = ids[at:at + piece["piece_len"]].tobytes()
-                    at += piece["piece_len"]
-                    rows.append({"shard": chunk["shard"], **piece, value: zlib.crc32(raw) if digest else raw})
-                yield pa.RecordBatch.from_pylist(rows, schema)
+                chunk = {c: batch.column(c)[row].as_py() for c in ("shard", "n_ids", "kind", "planes")}
+                data = memoryview(from_planes(chunk["planes"], chunk["n_ids"], chunk["kind"]).tobytes())
+                pieces = batch.column("pieces").slice(row, 1).flatten()
+                ends = (4 * np.cumsum(pieces.field("piece_len").to_numpy(), dtype=np.int64)).tolist()
+                own = [data[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+                found = [zlib.crc32(x) for x in own] if digest else [bytes(x) for x in own]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([chunk["shard"]] * len(own), pa.int32()), *(pieces.field(n) for n in names), pa.array(found, kind)],
+                    names=["shard", *names, value])
 
     chunks = spark.read.schema(CHUNKS_SQL).parquet(f"{path}/chunks").select("shard", "n_ids", "kind", "planes", "pieces")
     shards = spark.read.schema("shard int, start long, n_ids long").parquet(f"{path}/shards")
@@ -199,9 +200,9 @@ def document_crcs(spark: SparkSession, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in schema.names[:3]), pa.array(crcs, pa.int64())], schema=schema)
 
-    pieces = F.sort_array(F.collect_list(F.struct("piece_at", "piece_len", "crc")))
-    return (
-        read_pieces(spark, path, digest=True)
-        .groupBy("doc_id", "start", F.col("doc_tokens").alias("n_tokens")).agg(pieces.alias("parts"))
-        .mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
-    )
+    pieces = stored(read_pieces(spark, path, digest=True).withColumn("n_tokens", F.col("doc_tokens")), "pieces")
+    # Most documents are whole in one chunk; only the others' checksums are joined.
+    whole = pieces.filter("piece_len = n_tokens").select("doc_id", "start", "n_tokens", F.col("crc").alias("ids_crc32"))
+    parts = F.sort_array(F.collect_list(F.struct("piece_at", "piece_len", "crc"))).alias("parts")
+    cut = pieces.filter("piece_len < n_tokens").groupBy("doc_id", "start", "n_tokens").agg(parts)
+    return whole.unionByName(cut.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long"))

@@ -77,7 +77,7 @@ def _split(cell: pa.Table) -> tuple[pa.Table, pa.Table]:
     return cell.filter(asks), cell.filter(pa.compute.invert(asks))
 
 
-def _own(scores: np.ndarray, asking: np.ndarray, ids: np.ndarray) -> np.ndarray:
+def _others(asking: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Where a candidate is not the query itself."""
     return asking[:, None] != ids[None, :]
 
@@ -87,7 +87,7 @@ def best_local(cell: pa.Table, k: int) -> pa.Table:
     queries, candidates = _split(cell)
     asking, ids = queries.column("uid").to_numpy(), candidates.column("uid").to_numpy()
     scores = _products(_matrix(queries), _matrix(candidates))
-    scores = np.where(_own(scores, asking, ids), scores, np.iinfo(np.int64).min)
+    scores = np.where(_others(asking, ids), scores, np.iinfo(np.int64).min)
     most = min(k, len(ids))
     at = np.argpartition(-scores.astype(np.float64), most - 1, axis=1)[:, :most] if most else np.zeros((len(asking), 0), np.int64)
     q = np.repeat(np.arange(len(asking)), at.shape[1])
@@ -106,7 +106,7 @@ def reaching(cell: pa.Table, nodes: int) -> pa.Table:
     none = bound.is_null().to_numpy()
     # local * nodes >= bound, rounded up without leaving the integers
     least = -(-bound.fill_null(0).to_numpy() // nodes)
-    q, c = np.nonzero(((scores >= least[:, None]) | none[:, None]) & _own(scores, asking, ids))
+    q, c = np.nonzero(((scores >= least[:, None]) | none[:, None]) & _others(asking, ids))
     return _entries(cell, asking[q], ids[c], scores[q, c])
 
 

@@ -110,7 +110,7 @@ def test_nothing_learned(messy_docs, no_docs):
 
 
 def test_profile_is_by_count_then_code():
-    points = lang_profiles.letters("ab ab b", {})
+    points = lang_profiles.letters("ab ab b", lang_profiles.letter_table())
     codes, counts = lang_profiles.grams(points)
     expected = Counter()
     text = "".join(chr(p) if p else " " for p in points.tolist())
@@ -122,8 +122,8 @@ def test_profile_is_by_count_then_code():
 
 
 def test_rank_order_distance_by_definition():
-    own = lang_profiles.profile(lang_profiles.letters("the cat sat on the mat", {}), 300)
-    other = lang_profiles.profile(lang_profiles.letters("der hund lief um das haus", {}), 300)
+    own = lang_profiles.profile(lang_profiles.letters("the cat sat on the mat", lang_profiles.letter_table()), 300)
+    other = lang_profiles.profile(lang_profiles.letters("der hund lief um das haus", lang_profiles.letter_table()), 300)
     name, score = lang_profiles.Identifier({"a": own, "b": other}, 300).best("the cat sat on the mat")
     assert (name, score) == ("a", 1.0)
     places = {g: i for i, g in enumerate(other.tolist())}
