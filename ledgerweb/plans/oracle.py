@@ -416,6 +416,8 @@ ORACLE: dict[str, str] = {
     "session_totals": select(
         "SELECT (SELECT count(*) FROM ledger) AS transactions, count(*) AS accounts, "
         f"count(*) FILTER (fraud_score >= {LEDGER_SCORE.fraud}) AS alerts FROM scores", LEDGER_SCORES),
+    "accounts_sketch": select(
+        "SELECT count(*) AS exact, true AS is_close FROM (SELECT sender FROM ledger UNION SELECT receiver FROM ledger)", LEDGER),
     "display_table": select(
         "SELECT id, format('{:.4f}', fraud_score) AS score_text, '₹' || format('{:,.2f}', amount_in) AS amount_in_text, "
         "'₹' || format('{:,.2f}', amount_out) AS amount_out_text, degree, tx_count_in, tx_count_out, cluster_size, triangle_count FROM scores",

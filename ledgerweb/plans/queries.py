@@ -337,6 +337,15 @@ def session_totals(spark, d):
     return reports.session_totals(views.ledger(spark, d), ledger_scores(spark, d), LEDGER_SCORE)
 
 
+@query
+def accounts_sketch(spark, d):
+    """Whether the sketch of the number of accounts comes as near to the exact one as asked for."""
+    tx = views.ledger(spark, d)
+    exact = graph.nodes(tx).agg(F.count(F.lit(1)).alias("exact"))
+    sketched = reports.approximate_accounts(tx, 0.01)
+    return exact.select("exact", (F.abs(sketched.scalar() / F.col("exact") - 1) < 0.05).alias("is_close"))
+
+
 @query
 def display_table(spark, d):
     return reports.display_table(ledger_scores(spark, d))
