@@ -32,6 +32,7 @@ LENGTH = 400
 GRAM = 32
 SYMBOL = 16
 HOT = 20_000            # contexts of one anchor hash; more are dealt by their cores
+BLOCK_BYTES = 4 << 20   # of texts; a block's arrays take several times as much
 TEXT_BYTES = 4 << 20    # of one transform
 HASHED_BYTES = 1 << 19  # of documents whose anchors are found together
 RESULTS = {"kept": ("binary", bytes), "kept_sha256": ("string", lambda b: hashlib.sha256(b).hexdigest()),
@@ -453,7 +454,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, result: str = "kept",
     def make(batch):
         return find_block([(t or "").encode("utf-8", "surrogatepass") for t in batch.column("text").to_pylist()], length, buckets)
 
-    held = blocks.build(wanted, make, "passages")
+    held = blocks.build(wanted, make, "passages", BLOCK_BYTES)
     body = held.select("block", "keys", "body")
     states = stored(blocks.exchange(blocks.sent(held), lambda lists, _: classify(lists, hot)), "states", "uncompressed")
 
