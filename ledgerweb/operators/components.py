@@ -4,9 +4,8 @@ Alternating large-star and small-star steps (Kiveris et al., SoCC 2014) on links
 child to parent, parents having the higher number. Since accounts are numbered by neighbour
 count, hubs become parents and the first rounds already collapse most of the graph.
 
-Every half round is one join and one aggregation, and is stored, as is the table of highest
-parents that it joins. Both sides of the join then come straight from a shuffle, so that adaptive
-execution splits a hub's partition whichever step the hub is hot in.
+Every half round is one join and one aggregation, and is stored. The highest parents that it
+joins are shuffled anew, so that adaptive execution can split a hub's partition in either step.
 """
 
 from __future__ import annotations
@@ -15,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerweb.functions.lineage import stored
+from ledgerweb.functions.skew import reshuffled
 from ledgerweb.operators.graph import LinkIndex, index_links, nodes
 
 MAX_ROUNDS = 60
@@ -24,36 +24,38 @@ class NotConverged(RuntimeError):
     pass
 
 
-def _highest_parent(links: DataFrame) -> DataFrame:
-    return stored(links.groupBy("lo").agg(F.max("hi").alias("top")), "parents")
+def _highest_parent(links: DataFrame, name: str) -> DataFrame:
+    return links.groupBy("lo").agg(F.max("hi").alias("top")).select(reshuffled("lo").alias(name), "top")
 
 
 def _large_star(links: DataFrame) -> DataFrame:
     """Hang every child below its parent's own highest parent."""
-    grand = _highest_parent(links).withColumnRenamed("lo", "hi")
-    hung = links.join(grand, "hi", "left").groupBy("lo", F.coalesce("top", "hi").alias("hi"))
-    return stored(hung.agg(F.bool_or(F.col("top").isNotNull()).alias("moved")), "large")
+    hung = links.join(_highest_parent(links, "hi"), "hi", "left")
+    return stored(hung.select("lo", F.coalesce("top", "hi").alias("hi")).distinct(), "large")
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """Hang a child and its other parents below the child's highest parent."""
     moves = F.col("hi") != F.col("top")
-    hung = links.join(_highest_parent(links), "lo").groupBy(
-        F.when(moves, F.col("hi")).otherwise(F.col("lo")).alias("lo"), F.col("top").alias("hi"))
-    return stored(hung.agg(F.bool_or(F.col("moved") | moves).alias("moved")), "small")
+    hung = links.join(_highest_parent(links, "lo"), "lo")
+    return stored(hung.select(F.when(moves, F.col("hi")).otherwise(F.col("lo")).alias("lo"), F.col("top").alias("hi")).distinct(), "small")
 
 
-def contract(links: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
-    """`lo, hi`: one row per account that is not its component's root, with that root.
+def _are_stars(links: DataFrame) -> bool:
+    """Whether every child has one parent and no parent is a child: then each star is a component."""
+    ends = links.select(F.inline(F.array(
+        F.struct(F.col("lo").alias("vid"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+        F.struct(F.col("hi").alias("vid"), F.lit(0).alias("up"), F.lit(1).alias("down")))))
+    per_account = ends.groupBy("vid").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return per_account.filter("up > 1 OR (up > 0 AND down > 0)").isEmpty()
+
 
-    A round stores with its links which of them either step moved, so that the end is read from
-    stored rows.
-    """
+def contract(links: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+    """`lo, hi`: one row per account that is not its component's root, with that root."""
     for _ in range(max_rounds):
-        small = _small_star(_large_star(links))
-        links = small.select("lo", "hi")
-        if small.filter("moved").isEmpty():
+        if _are_stars(links):
             return links
+        links = _small_star(_large_star(links))
     raise NotConverged(f"components did not settle within {max_rounds} rounds")
 
 
@@ -63,9 +65,8 @@ def _labelled(index: LinkIndex) -> tuple[DataFrame, DataFrame]:
     labelled = stored(
         index.accounts.join(roots.withColumnRenamed("lo", "vid"), "vid", "left")
         .select("id", F.coalesce("hi", "vid").alias("root")), "labelled")
-    sizes = stored(
-        labelled.groupBy("root").agg(F.min("id").alias("component"), F.count(F.lit(1)).alias("cluster_size")), "sizes")
-    return labelled, sizes
+    sizes = labelled.groupBy("root").agg(F.min("id").alias("component"), F.count(F.lit(1)).alias("cluster_size"))
+    return labelled, sizes.select(reshuffled("root").alias("root"), "component", "cluster_size")
 
 
 def _alone(e: DataFrame, index: LinkIndex) -> DataFrame:

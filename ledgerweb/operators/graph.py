@@ -176,8 +176,9 @@ def flow_signals(features: DataFrame, out_in_ratio: float = 10.0) -> DataFrame:
 class LinkIndex:
     """The undirected graph with accounts numbered for the iterative operators.
 
-    `accounts(vid, id)` numbers accounts by ascending (neighbour count, id); `links(lo, hi)` holds
-    each pair once with lo < hi. Both are stored, because the numbers must not change when a
+    `accounts(vid, id)` numbers accounts by ascending size class, the bits of their neighbour count, in no order
+    within a class: no sort is needed, and with twice the neighbours an account has the higher number. `links(lo, hi)`
+    holds each pair once with lo < hi; no account has more than 2 * sqrt(links) higher ones. Both are stored, because the numbers must not change when a
     lost executor's work is repeated. Accounts that only pay themselves are not in it.
     """
 
@@ -187,10 +188,11 @@ class LinkIndex:
 
 
 def index_links(e: DataFrame) -> LinkIndex:
-    und = stored(undirected(e), "pairs")
+    und = undirected(e)
     counts = und.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    size_class = F.floor(F.log2("n")).cast("bigint")
     accounts = stored(
-        counts.orderBy("n", "id").select("id").withColumn("vid", F.monotonically_increasing_id()), "accounts")
+        counts.select("id", F.shiftleft(size_class, 57).bitwiseOR(F.monotonically_increasing_id()).alias("vid")), "accounts")
     of_a = accounts.select(F.col("id").alias("a"), F.col("vid").alias("va"))
     of_b = accounts.select(F.col("id").alias("b"), F.col("vid").alias("vb"))
     links = stored(

@@ -362,6 +362,7 @@ ORACLE: dict[str, str] = {
         "amount_out > 0 AND (amount_in = 0 OR amount_out / amount_in > 10) AS disproportionate, "
         "cluster_size = 1 AS isolated_cluster, triangle_count = 0 AS no_triangles FROM feats", LEDGER_FEATURES),
     "triangle_count": select("SELECT * FROM tri_count", LEDGER_EDGES, graph_of()),
+    "triangle_count_transfers": select("SELECT * FROM tri_count", TRANSFER_EDGES, triangles_of()),
     "component_sizes": select("SELECT * FROM clusters", LEDGER_EDGES, graph_of()),
     "component_table": select(
         "SELECT component, count(*) AS cluster_size FROM clusters GROUP BY component", LEDGER_EDGES, graph_of()),

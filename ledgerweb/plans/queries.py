@@ -213,6 +213,11 @@ def triangle_count(spark, d):
     return triangles.triangle_counts(cut(graph.edges(views.ledger(spark, d))))
 
 
+@query
+def triangle_count_transfers(spark, d):
+    return triangles.triangle_counts(cut(graph.edges(views.transfers(spark, d))))
+
+
 @query
 def component_sizes(spark, d):
     return components.component_labels(cut(graph.edges(views.ledger(spark, d))))
