@@ -99,9 +99,22 @@ def steps(keys: np.ndarray) -> np.ndarray:
     return np.diff(keys, prepend=np.uint64(0))
 
 
-def count_block(texts: list[str], trained: np.ndarray, buckets: int) -> tuple[bytes, dict[int, bytes], int]:
-    """Body: lengths and stream. By bucket: keys and training counts of words and of pairs. Number of training tokens."""
+def list_block(texts: list[str], trained: np.ndarray) -> tuple[bytes, dict[int, bytes], int]:
+    """Body: lengths, which documents train, words and stream. Nothing by bucket yet. Number of training tokens."""
     own = listed(texts)
+    body = dump(own.lengths, trained.astype(np.uint8), np.frombuffer(b" ".join(own.words[2:]), np.uint8), *planes(own.stream), level=3)
+    return body, {}, int(own.lengths[trained].sum())
+
+
+def unlisted(body: bytes) -> tuple[Listed, np.ndarray]:
+    lengths, trained, joined, *rows = load(body)
+    words = [b"", b"\n", *joined.tobytes().split()]
+    return Listed(words, unplaned(rows).astype(np.int64), lengths), trained.astype(bool)
+
+
+def count_block(body: bytes, buckets: int) -> dict[int, bytes]:
+    """By bucket: keys and training counts of words and of pairs."""
+    own, trained = unlisted(body)
     size = len(own.words)
     learns = np.repeat(trained, own.lengths + 1)
     unigrams = np.bincount(own.stream[learns], minlength=size)
@@ -110,11 +123,8 @@ def count_block(texts: list[str], trained: np.ndarray, buckets: int) -> tuple[by
     keys = word_keys(own.words)
     _, by_word = packed_keys(keys, unigrams, buckets)
     _, by_pair = packed_keys(mixed(keys[pairs // size], keys[pairs % size]), learned, buckets)
-    parts = {b: dump(*_octets(steps(by_word[b][0])), by_word[b][1].astype("<u4"), *_octets(steps(by_pair[b][0])), by_pair[b][1].astype("<u4"))
-             for b in range(buckets)}
-    joined = b" ".join(own.words[2:])
-    body = dump(own.lengths, np.frombuffer(joined, np.uint8), *planes(own.stream))
-    return body, parts, int(own.lengths[trained].sum())
+    return {b: dump(*_octets(steps(by_word[b][0])), by_word[b][1].astype("<u4"), *_octets(steps(by_pair[b][0])), by_pair[b][1].astype("<u4"))
+            for b in range(buckets)}
 
 
 def _octets(numbers: np.ndarray) -> list[np.ndarray]:
@@ -146,9 +156,8 @@ def merge_counts(lists: list[bytes]) -> list[bytes]:
 
 
 def score_block(keys: pa.Table, body: bytes, answers: dict[int, bytes], total: int, distinct: int, prior: float) -> pa.Table:
-    lengths, joined, *rows = load(body)
-    words = [b"", b"\n", *joined.tobytes().split()]
-    stream = unplaned(rows).astype(np.int64)
+    own, _ = unlisted(body)
+    words, stream, lengths = own.words, own.stream, own.lengths
     size = len(words)
     by_word, by_pair = [], []
     for bucket in sorted(answers):
@@ -198,11 +207,13 @@ def score(docs: DataFrame, held_out: str = "held_out", prior: float = PRIOR) ->
 
     def make(batch):
         trained = ~batch.column("held_out").combine_chunks().to_numpy(zero_copy_only=False).astype(bool)
-        return count_block(texts_of(batch), trained, buckets)
+        return list_block(texts_of(batch), trained)
 
     held = blocks.build(wanted, make, "tokens")
+    # The lists are three times as large as the blocks, so they are made on their way and not stored.
+    asked = blocks.ask(held, lambda body: count_block(body, buckets))
     total = held.agg(F.sum("n")).first()[0] or 0
-    replies = stored(blocks.exchange(blocks.sent(held), lambda lists, _: merge_counts(lists)), "counts", "uncompressed")
+    replies = stored(blocks.exchange(asked, lambda lists, _: merge_counts(lists)), "counts", "uncompressed")
     distinct = _distinct(replies)
     return blocks.finish(
         blocks.answered(held.select("block", "keys", "body"), replies),

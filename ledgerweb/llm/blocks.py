@@ -112,6 +112,21 @@ def sent(blocks: DataFrame) -> DataFrame:
     return blocks.select("block", F.inline("parts"))
 
 
+def ask(blocks: DataFrame, each: Callable) -> DataFrame:
+    """The lists by bucket that `each(body, answers...)` makes of a block that is stored without them."""
+    names = [c for c in blocks.columns if c.startswith("answers_")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                got = [{x["bucket"]: x["data"] for x in batch.column(c)[i].as_py() or []} for c in names]
+                parts = each(batch.column("body")[i].as_py(), *got)
+                rows = [{"block": batch.column("block")[i].as_py(), **part} for part in parts_of(parts)]
+                yield pa.RecordBatch.from_pylist(rows, PART_ARROW)
+
+    return blocks.select("block", "body", *names).mapInArrow(run, PART_SCHEMA)
+
+
 def answered(blocks: DataFrame, *answers: DataFrame) -> DataFrame:
     """Blocks with the answers they got, `answers_0` and so on: lists of (bucket, data) no longer than asked."""
     for i, replies in enumerate(answers):

@@ -458,14 +458,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, result: str = "kept",
     body = held.select("block", "keys", "body")
     states = stored(blocks.exchange(blocks.sent(held), lambda lists, _: classify(lists, hot)), "states", "uncompressed")
 
-    def send(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                answers = {x["bucket"]: x["data"] for x in row["answers_0"] or []}
-                parts = send_contexts(row["body"], answers, length, buckets)
-                yield pa.RecordBatch.from_pylist([{"block": row["block"], "bucket": b, "data": d} for b, d in parts.items()], blocks.PART_ARROW)
-
-    asked = blocks.answered(held.select("block", "body"), states).mapInArrow(send, blocks.PART_SCHEMA)
+    asked = blocks.ask(blocks.answered(body, states), lambda own, answers: send_contexts(own, answers, length, buckets))
     hits = blocks.exchange(asked, lambda lists, _: compare(lists, length))
 
     def each(keys: pa.Table, body: bytes, states: dict, hits: dict) -> pa.Table:
