@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 import os
+import unicodedata
+from array import array
 
 import numpy as np
 
@@ -13,6 +15,11 @@ STOPS = (".", ",")
 LINE_WORDS = 300
 
 
+def of_letters(word: str) -> bool:
+    """Whether a word stays letters alone when it is normalised and lowered; some letters turn into letter and mark."""
+    return word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha())
+
+
 class WordEncoder:
     """Encodes a text as the library does, but each blank-separated word once.
 
@@ -32,9 +39,17 @@ class WordEncoder:
         self.known: dict[str, bytes] = {}
 
     def _learn(self, words: list[str]) -> None:
-        """Words of letters alone are encoded as texts of many, cut again after each last token; others one by one."""
+        """Words of ASCII letters, in lower case, are what the model itself merges. Other words of letters are encoded as
+        texts of many, cut again after each last token; the rest one by one.
+        """
         known, encode = self.known, getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        plain = [w for w in words if w.isalpha()]
+        plain, merge = [], self.tokenizer.model.tokenize
+        for word in words:
+            if word.isalpha():
+                if word.isascii() and word.islower():
+                    known[word] = array("I", [t.id for t in merge(word)]).tobytes()
+                else:
+                    plain.append(word)
         lines = [plain[i:i + LINE_WORDS] for i in range(0, len(plain), LINE_WORDS)]
         for line, found in zip(lines, encode([" ".join(line) for line in lines], add_special_tokens=False), strict=True):
             ids = np.array(found.ids, dtype="<u4")
@@ -52,9 +67,9 @@ class WordEncoder:
         for word in missing:
             stop = word.endswith(STOPS)
             stem = word[:-1] if stop else word
-            if stop and not stem.isalpha():
+            if stop and not of_letters(stem):
                 stem, stop = word, False
-            if stem.isascii() and not stem.islower():
+            if stem.isascii() and stem.isalpha():
                 stem = stem.lower()
             if stem not in known:
                 fresh.add(stem)
@@ -67,15 +82,15 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Unsigned 32-bit ids of each text."""
-        if len(self.known) > WORDS_KEPT:
-            self.known.clear()
+        known = self.known
+        if len(known) > WORDS_KEPT:
+            known.clear()
         split = []
         for text in texts:
             for blank in BLANKS:
                 if blank in text:
                     text = text.replace(blank, " ")
             split.append(text.split(" "))
-        known = self.known
         missing = set().union(*split).difference(known)
         if missing:
             self._meet(missing)

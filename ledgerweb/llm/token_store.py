@@ -13,6 +13,7 @@ each piece doc_id, doc_start (in the shard), doc_tokens, piece_at (in the docume
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Iterator
 
@@ -173,15 +174,25 @@ def _times(matrix: list[int], vector: int) -> int:
     return out
 
 
-def crc32_joined(first: int, second: int, length: int) -> int:
-    """crc32 of two byte strings after each other, from theirs and the second's length."""
+@functools.cache
+def _zeros(power: int) -> list[int]:
+    """What 2**power zero bytes do to a crc32, as a matrix over bits."""
+    if power:
+        half = _zeros(power - 1)
+        return [_times(half, v) for v in half]
     shift = [0xEDB88320, *(1 << i for i in range(31))]  # one zero bit
     for _ in range(3):
         shift = [_times(shift, v) for v in shift]
+    return shift
+
+
+def crc32_joined(first: int, second: int, length: int) -> int:
+    """crc32 of two byte strings after each other, from theirs and the second's length."""
+    power = 0
     while length:
         if length & 1:
-            first = _times(shift, first)
-        shift, length = [_times(shift, v) for v in shift], length >> 1
+            first = _times(_zeros(power), first)
+        length, power = length >> 1, power + 1
     return first ^ second
 
 

@@ -57,6 +57,23 @@ def test_stored_ids(spark, clashing_docs, messy, kind, chunk_ids):
     assert [got[s] for _, s, _, _ in expected] == brute.word_ids([t for _, t in rows])
 
 
+def test_encoder_equals_the_library():
+    import random
+
+    from ledgerweb.llm.token_ids import WordEncoder
+
+    rnd = random.Random(11)
+    parts = ["a", "Ab", "été", "É", "İ", "Σ", "ΟΔΟΣ", "ος", "5", "½", "Ⅷ", "_", "'s", "it's,", ",", ".", ",,", "..", ", ", ". ", " ", "  ", "\n", "\t",
+             "\u00a0", "\u0301", "\u200d", "<|endoftext|>", "<|ENDOFTEXT|>", "<|", "日本", "。", "\"x\",", "(y).", "z.,", "\U0001f600", "-", "e\u0301,"]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 12))) for _ in range(6000)]
+    texts += [" ".join(rnd.choice(parts) for _ in range(rnd.randint(0, 12))) for _ in range(3000)]
+    encode = WordEncoder(WORD_BPE).encode
+    for at in range(0, len(texts), 500):
+        own = texts[at:at + 500]
+        for text, got, ids in zip(own, encode(own), brute.word_ids(own)):
+            assert got.tolist() == ids[:-1], repr(text)
+
+
 def test_no_ids(spark, no_docs):
     path = scratch_path(spark, "ids")
     token_store.write_ids(no_docs, path, WORD_BPE)
