@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerweb.functions.lineage import scratch_path
 from ledgerweb.llm import block_names, lang_profiles, packing, simhash_bk, suffix_dedup
-from ledgerweb.llm.common import ROW, importable, keyed, remainder
+from ledgerweb.llm.common import ROW, keyed, prepare_workers, remainder
 from ledgerweb.llm.queries import END_ID, WORD_BPE, table
 
 
@@ -23,7 +23,7 @@ def _whole_rows(docs: DataFrame, *columns: str) -> tuple[DataFrame, list[str]]:
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is determined: null texts and texts without letters are rejected."""
-    importable(spark)
+    prepare_workers(spark)
     profiles = lang_profiles.learn(docs.filter(remainder("doc_id", 5) != 0))
     names = ["text" if c.lower() == "text" else f"column_{i}" for i, c in enumerate(docs.columns)]
     found = lang_profiles.identify(docs.toDF(*names), profiles)
@@ -38,19 +38,19 @@ def _only(docs: DataFrame, chosen: DataFrame) -> DataFrame:
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each set of equal texts."""
-    importable(spark)
+    prepare_workers(spark)
     return _only(docs, block_names.exact_duplicates(docs).filter("kept"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate component."""
-    importable(spark)
+    prepare_workers(spark)
     return _only(docs, simhash_bk.near_duplicates(docs).filter("keep"))
 
 
 def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their texts without long passages that occur elsewhere too; `n_chars`, if there, follows the text."""
-    importable(spark)
+    prepare_workers(spark)
     lower = [c.lower() for c in docs.columns]
     rest = [c for c, low in zip(docs.columns, lower, strict=True) if low not in ("text", "n_chars")]
     rows, names = _whole_rows(docs, *rest)
@@ -65,7 +65,7 @@ def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in windows of 4096 tokens."""
-    importable(spark)
+    prepare_workers(spark)
     return packing.pack(docs, WORD_BPE, END_ID)
 
 

@@ -34,6 +34,7 @@ from ledgerweb.llm.common import dump, load, stored, texts_of
 
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 PRIOR = 20.0
+BLOCK_BYTES = 4 << 20  # of texts; a block's streams, pairs and keys take some thirty times as much
 ADDED = 0.1
 START, END = 0, 1  # the first two entries of every word list
 
@@ -201,7 +202,7 @@ def score(docs: DataFrame, held_out: str = "held_out", prior: float = PRIOR) ->
     give a row each and count each in training; other columns are ignored. No documents give no rows; without
     training documents every state is the empty one and score equals base_score.
     """
-    buckets = blocks.bucket_count(docs)
+    buckets = 2 * blocks.bucket_count(docs)  # pairs are many; a bucket's are sorted in one task
     wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                          F.coalesce(F.col(held_out), F.lit(True)).alias("held_out"))
 
@@ -209,7 +210,7 @@ def score(docs: DataFrame, held_out: str = "held_out", prior: float = PRIOR) ->
         trained = ~batch.column("held_out").combine_chunks().to_numpy(zero_copy_only=False).astype(bool)
         return list_block(texts_of(batch), trained)
 
-    held = blocks.build(wanted, make, "tokens")
+    held = blocks.build(wanted, make, "tokens", BLOCK_BYTES)
     # The lists are three times as large as the blocks, so they are made on their way and not stored.
     asked = blocks.ask(held, lambda body: count_block(body, buckets))
     total = held.agg(F.sum("n")).first()[0] or 0

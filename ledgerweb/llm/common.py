@@ -20,12 +20,22 @@ from ledgerweb.functions.lineage import scratch_path
 ROW = ["row_file", "row_pos"]
 
 
-def importable(spark: SparkSession) -> None:
-    """Let Python workers find this package where the driver has it, for runs without an installed one or `--py-files`."""
+# glibc keeps what large arrays have left in a worker's heap; mapped on their own, they go back at once. A worker that waits
+# for its next task then holds little beside its libraries.
+WORKER_MEMORY = {"MALLOC_MMAP_THRESHOLD_": str(1 << 20), "MALLOC_TRIM_THRESHOLD_": str(8 << 20), "MALLOC_ARENA_MAX": "2",
+                 "ARROW_DEFAULT_MEMORY_POOL": "system"}
+
+
+def prepare_workers(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver has it, for runs without an installed one or `--py-files`, and
+    give back memory. Settings of the session's own are kept.
+    """
     environment, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    for name, value in WORKER_MEMORY.items():
+        environment.setdefault(name, value)
 
 
 def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:

@@ -12,7 +12,7 @@ from ledgerweb.functions.lineage import scratch_path
 from ledgerweb.llm import (
     backoff_lm, block_names, byte_bpe, lang_profiles, packing, simhash_bk, suffix_dedup, token_store, uniform_topk, url_filter,
 )
-from ledgerweb.llm.common import importable, remainder
+from ledgerweb.llm.common import prepare_workers, remainder
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -20,7 +20,7 @@ END_ID = 2
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    importable(spark)
+    prepare_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
