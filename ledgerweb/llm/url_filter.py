@@ -61,18 +61,36 @@ def judged(host: Column, path: Column, rules: tuple[Rule, ...]) -> tuple[Column,
     return text, verdict
 
 
+def without_dots(url: Column) -> Column:
+    """A whole url whose path has lost its segments `.` and `..` (RFC 3986, 5.2.4); any other text stays as it is."""
+    def removed(whole: Column) -> Column:
+        head, path = F.regexp_extract(whole, r"(?s)^(.*?://[^/?#]*)", 1), path_of(whole)
+        segments = F.split(path, "/", -1)
+        open_end = F.when(F.element_at(segments, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+        kept = F.aggregate(
+            F.slice(segments, 2, F.size(segments)), F.array().cast("array<string>"),
+            lambda before, segment: F.when(segment == ".", before)
+            .when(segment == "..", F.slice(before, 1, F.greatest(F.size(before) - 1, F.lit(0))))
+            .otherwise(F.concat(before, F.array(segment))))
+        rest = F.substr(whole, F.char_length(head) + F.char_length(path) + 1)
+        return F.when(path.rlike(r"/\.\.?(?:/|\z)"), F.concat(head, F.lit("/"), F.array_join(F.concat(kept, open_end), "/"), rest)).otherwise(whole)
+
+    # The one-element array names the url, which would otherwise be worked out again at each place it is used.
+    return F.when(F.contains(url, F.lit("/.")), F.transform(F.array(url), removed)[0]).otherwise(url)
+
+
 def node_of(url: Column) -> Column:
-    """A url's name in the graph: without fragment, scheme and host lowered."""
-    plain = F.regexp_replace(url, r"(?s)#.*$", "")
+    """A url's name in the graph: without fragment and dot segments, scheme and host lowered."""
+    plain = without_dots(F.regexp_replace(url, r"(?s)#.*$", ""))
     head = F.regexp_extract(plain, r"(?s)^(.*?://[^/?#]*)", 1)
     return F.concat(F.translate(head, UPPER, LOWER), F.substr(plain, F.char_length(head) + 1))
 
 
 def resolved(base: Column, target: Column) -> Column:
-    """A link's target as a whole url, seen from the page it stands on."""
+    """A link's target as a whole url without dot segments, seen from the page it stands on."""
     origin = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*)", 1)
     folder = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*(?:/[^?#]*/|/)?)", 1)
-    return (
+    return without_dots(
         F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://"), target)
         .when(F.startswith(target, F.lit("//")), F.concat(F.regexp_extract(base, r"(?s)^(.*?:)//", 1), target))
         .when(F.startswith(target, F.lit("/")), F.concat(origin, target))
@@ -100,7 +118,7 @@ def page_links(pages: DataFrame) -> DataFrame:
 
 
 def aliases(links: DataFrame) -> DataFrame:
-    """`node, group` for all urls of `links(url, target)`; equal groups are aliases. Nodes are urls without fragment."""
+    """`node, group` for all urls of `links(url, target)`; equal groups are aliases. Nodes are urls without fragment and dot segments."""
     edges = stored(
         links.select(node_of(F.col("url")).alias("a"), node_of(F.col("target")).alias("b"))
         .filter("a is not null and b is not null and a != b").distinct(), "edges")

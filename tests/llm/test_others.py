@@ -2,6 +2,7 @@
 
 import math
 from collections import defaultdict
+from urllib.parse import urljoin
 
 import numpy as np
 import pytest
@@ -51,6 +52,30 @@ def test_urls(spark):
         assert tuple(r)[1:] == EXPECTED[r["page_id"]], r
 
 
+@pytest.mark.parametrize("base", ["http://h.net", "http://h.net/", "http://h.net/a", "http://h.net/a/b/c?d=/../e#f", "http://h.net/a/b/"])
+def test_links_with_dot_segments(spark, base):
+    targets = ["../x", "./x", "x", ".", "..", "./", "../", "../../../x", "a/./b/../c", "../x?q=/../y", "/p/../x", "/p/.", "/p/..", "/..", ".x", "..x/y", "x.", "...", "?/../"]
+    frame = spark.createDataFrame([(base, t) for t in targets], "base string, target string")
+    got = {r["target"]: r["whole"] for r in frame.select("target", url_filter.resolved(F.col("base"), F.col("target")).alias("whole")).collect()}
+    assert got == {t: urljoin(base, t) for t in targets}
+
+
+def test_blocks_reach_over_dot_segments(spark):
+    rules = (url_filter.Rule("block", "h.net/es/"),)
+    pages = spark.createDataFrame([
+        (0, "http://h.net/a/b", '<link rel="canonical" href="../es/1">'),
+        (1, "http://h.net/c/d/e", "<meta http-equiv=refresh content='0; url=./x'>"),
+        (2, "http://h.net/c/d/x", '<link rel="canonical" href="../../es/2">'),
+        (3, "http://h.net/q/./r/../s?t=/../u", None),
+        (4, "http://h.net/q/s?t=/../u", '<link rel="canonical" href="http://H.net/t/../es/3">'),
+        (5, "http://h.net/es/..", '<link rel="canonical" href="http://h.net/v">'),
+        (6, "http://h.net/v", None), (7, None, None), (8, "a/../b", None),
+    ], "page_id long, url string, html string")
+    got = {r["page_id"]: (r["verdict"], r["path"]) for r in url_filter.judge(pages, rules).collect()}
+    assert got == {0: ("block", "/a/b"), 1: ("block", "/c/d/e"), 2: ("block", "/c/d/x"), 3: ("block", "/q/./r/../s"), 4: ("block", "/q/s"),
+                   5: ("block", "/es/.."), 6: ("allow", "/v"), 7: ("allow", ""), 8: ("allow", "")}
+
+
 def test_redirect_table_and_rules(spark):
     pages = spark.createDataFrame([(i, f"http://h.net/{i}", None) for i in range(6)], "page_id long, url string, html string")
     hops = spark.createDataFrame([(f"http://h.net/{i}", f"http://h.net/{i + 1}") for i in (0, 1, 3)] + [(None, "x"), ("y", None)], "url string, target string")
