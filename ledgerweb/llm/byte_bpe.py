@@ -2,8 +2,9 @@
 
 Texts are split into pre-tokens by the pattern. A block keeps its pre-tokens as positions in its own word list and
 sends the words to buckets by hash; a bucket encodes each distinct word once, however many blocks ask, and
-answers with its ids. The ids are joined back to the positions and put together document by document. Decoding
-joins ids with the table of the tokens' bytes, which has one row for each rank.
+answers with its ids. A block puts the ids at its positions, document by document; positions are number lists in the
+block's body, not rows. Decoding looks each id up in a list of the tokens' bytes, one entry for each rank, which every worker
+reads from the ranks file; neither step is a join of DataFrames.
 """
 
 from __future__ import annotations
