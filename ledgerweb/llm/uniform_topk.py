@@ -8,6 +8,9 @@ the local scores still unknown of the candidates that can reach the bound, and r
 
 A node's work is cut into cells of some queries and some candidates, dealt by Spark, and done as a block of a matrix
 product; queries, candidates and cutoffs are shuffled to the cells, since all of them grow with the data.
+
+All of this is done once for equal vectors, with the k + 1 rows of each that rank first: no query needs more of them, its own
+row being one that it may have to leave out. Rows come back when the best of a vector are known, so that copies cost a row each.
 """
 
 from __future__ import annotations
@@ -77,9 +80,10 @@ def _split(cell: pa.Table) -> tuple[pa.Table, pa.Table]:
     return cell.filter(asks), cell.filter(pa.compute.invert(asks))
 
 
-def _others(asking: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Where a candidate is not the query itself."""
-    return asking[:, None] != ids[None, :]
+def _others(asking: np.ndarray, candidates: pa.Table) -> np.ndarray:
+    """Where a candidate has a row that is not the query itself."""
+    alone = candidates.column("members").to_numpy() == 1
+    return (asking[:, None] != candidates.column("uid").to_numpy()[None, :]) | ~alone[None, :]
 
 
 def best_local(cell: pa.Table, k: int) -> pa.Table:
@@ -87,12 +91,13 @@ def best_local(cell: pa.Table, k: int) -> pa.Table:
     queries, candidates = _split(cell)
     asking, ids = queries.column("uid").to_numpy(), candidates.column("uid").to_numpy()
     scores = _products(_matrix(queries), _matrix(candidates))
-    scores = np.where(_others(asking, ids), scores, np.iinfo(np.int64).min)
+    others = _others(asking, candidates)
+    scores = np.where(others, scores, np.iinfo(np.int64).min)
     most = min(k, len(ids))
     at = np.argpartition(-scores.astype(np.float64), most - 1, axis=1)[:, :most] if most else np.zeros((len(asking), 0), np.int64)
     q = np.repeat(np.arange(len(asking)), at.shape[1])
     c = at.reshape(-1)
-    kept = asking[q] != ids[c]
+    kept = others[q, c]
     q, c = q[kept], c[kept]
     return _entries(cell, asking[q], ids[c], scores[q, c])
 
@@ -106,7 +111,7 @@ def reaching(cell: pa.Table, nodes: int) -> pa.Table:
     none = bound.is_null().to_numpy()
     # local * nodes >= bound, rounded up without leaving the integers
     least = -(-bound.fill_null(0).to_numpy() // nodes)
-    q, c = np.nonzero(((scores >= least[:, None]) | none[:, None]) & _others(asking, ids))
+    q, c = np.nonzero(((scores >= least[:, None]) | none[:, None]) & _others(asking, candidates))
     return _entries(cell, asking[q], ids[c], scores[q, c])
 
 
@@ -135,13 +140,23 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, nodes: int = NODES, scale: i
     """
     held = scaled(vectors, scale)
     width = held.agg(F.max(F.size("vec"))).first()[0] or 0
-    asking = held.filter(F.coalesce(is_query, F.lit(False)))
-    q_blocks = max(1, -(-asking.count() // cell_queries))
-    c_blocks = max(1, -(-held.count() // cell_candidates))
     filled = F.concat("vec", F.array_repeat(F.lit(0).cast("long"), F.lit(width) - F.size("vec")))
+    rows = held.select(filled.alias("vec"), "uid", "vec_id", F.coalesce(is_query, F.lit(False)).alias("asks"))
+    # `uid` of a distinct vector is that of its first row, `ranked` its k + 1 first rows.
+    first = F.row_number().over(W.partitionBy("vec").orderBy(F.asc_nulls_last("vec_id"), "uid"))
+    distinct = stored(
+        rows.select("vec", "uid", "vec_id", first.alias("place")).filter(F.col("place") <= k + 1)
+        .groupBy("vec").agg(F.sort_array(F.collect_list(F.struct("place", "vec_id", "uid"))).alias("ranked"))
+        .select("vec", F.col("ranked")[0]["uid"].alias("uid"), F.size("ranked").alias("members"), "ranked"), "distinct")
+    asked = stored(
+        rows.filter("asks").select("vec", F.col("uid").alias("row"), F.col("vec_id").alias("query_id"))
+        .join(distinct.select("vec", F.col("uid").alias("q")), "vec").select("q", "row", "query_id"), "asked")
+    asking = stored(distinct.join(asked.select(F.col("q").alias("uid")).distinct(), "uid").select("uid", "vec", "members"), "queries")
+    q_blocks = max(1, -(-asking.count() // cell_queries))
+    c_blocks = max(1, -(-distinct.count() // cell_candidates))
     edges = [width * i // nodes for i in range(nodes + 1)]
     parts = F.explode(F.array(*[
-        F.struct(F.lit(n).cast("int").alias("node"), F.slice(filled, edges[n] + 1, edges[n + 1] - edges[n]).alias("part"))
+        F.struct(F.lit(n).cast("int").alias("node"), F.slice("vec", edges[n] + 1, edges[n + 1] - edges[n]).alias("part"))
         for n in range(nodes)
     ])).alias("on")
     q_block = F.pmod(F.xxhash64("uid"), F.lit(q_blocks)).cast("int")
@@ -151,35 +166,41 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, nodes: int = NODES, scale: i
         queries = asking.withColumn("bound", F.lit(None).cast("long"))
         if bounds is not None:
             queries = asking.join(bounds, "uid", "left")
-        queries = queries.select("uid", "bound", F.lit(True).alias("asks"), q_block.alias("q_block"),
+        queries = queries.select("uid", "members", "bound", F.lit(True).alias("asks"), q_block.alias("q_block"),
                                  F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1))).alias("c_block"), "vec")
-        candidates = held.select("uid", F.lit(None).cast("long").alias("bound"), F.lit(False).alias("asks"),
-                                 F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("q_block"), c_block.alias("c_block"), "vec")
+        candidates = distinct.select("uid", "members", F.lit(None).cast("long").alias("bound"), F.lit(False).alias("asks"),
+                                     F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("q_block"), c_block.alias("c_block"), "vec")
         both = queries.unionByName(candidates)
-        return both.select("uid", "bound", "asks", "q_block", "c_block", parts).select("uid", "bound", "asks", "q_block", "c_block", "on.*")
+        fixed = ["uid", "members", "bound", "asks", "q_block", "c_block"]
+        return both.select(*fixed, parts).select(*fixed, "on.*")
 
-    # Phase 1. Totals of the candidates seen, then the k-th best of them for each query that has k.
+    # Phase 1. Totals of the candidates seen, then the k-th best of their rows for each query that has k.
     best = cells().groupBy(*CELL).applyInArrow(lambda cell: best_local(cell, k), ENTRY)
     in_node = F.row_number().over(W.partitionBy("q", "node").orderBy(F.desc("local"), "c"))
     seen = stored(best.withColumn("place", in_node).filter(F.col("place") <= k).drop("place"), "seen")
-    total = _totals(seen, cells, nodes)
-    in_query = F.row_number().over(W.partitionBy("q").orderBy(F.desc("total"), "c"))
+    total = _totals(seen, cells, nodes).join(distinct.select(F.col("uid").alias("c"), "members"), "c")
+    others = F.col("members") - (F.col("q") == F.col("c")).cast("int")
+    so_far = F.sum(others).over(W.partitionBy("q").orderBy(F.desc("total"), "c").rowsBetween(W.unboundedPreceding, W.currentRow))
     bounds = stored(
-        total.withColumn("place", in_query).filter(F.col("place") == k).select(F.col("q").alias("uid"), F.col("total").alias("bound")),
+        total.withColumn("so_far", so_far).filter(F.col("so_far") >= k).groupBy(F.col("q").alias("uid")).agg(F.max("total").alias("bound")),
         "bounds")
     # Phases 2 and 3.
     sent = stored(cells(bounds).groupBy(*CELL).applyInArrow(lambda cell: reaching(cell, nodes), ENTRY), "reaching")
     totals = _totals(sent, cells, nodes)
-    ids = held.select("uid", "vec_id")
-    ranked = (
+    members = distinct.select(F.col("uid").alias("c"), F.col("ranked.vec_id").alias("ids"), F.col("ranked.uid").alias("rows"))
+    reached = (
         totals.join(bounds.withColumnRenamed("uid", "q"), "q", "left").filter(F.col("bound").isNull() | (F.col("total") >= F.col("bound")))
-        .join(ids.select(F.col("uid").alias("c"), "vec_id"), "c")
-        .join(ids.select(F.col("uid").alias("q"), F.col("vec_id").alias("query_id")), "q")
+        .join(members, "c").select("q", "total", F.inline(F.arrays_zip("ids", "rows")))
     )
-    place = F.row_number().over(W.partitionBy("q").orderBy(F.desc("total"), F.asc_nulls_last("vec_id"), "c"))
+    place = F.row_number().over(W.partitionBy("q").orderBy(F.desc("total"), F.asc_nulls_last("ids"), "rows"))
+    # One more than k, as each query then leaves out its own row.
+    found = stored(
+        reached.withColumn("place", place).filter(F.col("place") <= k + 1)
+        .groupBy("q").agg(F.sort_array(F.collect_list(F.struct("place", "rows", "ids", "total"))).alias("found")), "found")
+    own = F.slice(F.filter("found", lambda f: f["rows"] != F.col("row")), 1, k)
     return (
-        ranked.withColumn("rank", place).filter(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", F.col("total").alias("score"))
+        asked.join(found, "q").select("query_id", F.posexplode(own).alias("at", "one"))
+        .select("query_id", (F.col("at") + 1).alias("rank"), F.col("one.ids").alias("vec_id"), F.col("one.total").alias("score"))
     )
 
 

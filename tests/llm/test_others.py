@@ -130,6 +130,30 @@ def test_few_candidates_and_repeated_rows(spark):
     assert got == sorted([(0, 1, 0, 65536), (0, 2, 3, 32768)] * 2, key=repr)
 
 
+def test_copies_are_searched_once(spark, monkeypatch):
+    rnd = np.random.default_rng(3)
+    rows = [(i, [float(np.float32(x)) for x in rnd.normal(size=4)]) for i in range(60)]
+    hot = [float(x) for x in (3, 3, 3, 3)]
+    rows += [(60 + i, hot) for i in range(150)] + [(300 + i, rows[5][1]) for i in range(3)] + [(400, hot + [0.0]), (None, hot)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
+    stores, plain = {}, uniform_topk.stored
+
+    def stored(df, name, *rest):
+        stores[name] = plain(df, name, *rest)
+        return stores[name]
+
+    monkeypatch.setattr(uniform_topk, "stored", stored)
+    got = uniform_topk.top_k(frame, F.lit(True), 5, cell_queries=16, cell_candidates=50)
+    padded = [(i, [*v, *[0.0] * (5 - len(v))]) for i, v in rows]
+    expected = brute.top_k(padded, 5, 1)
+    # The row without an id asks too, and has the copies of the smallest ids.
+    score = 4 * (3 * 256) ** 2
+    expected += [(None, rank, 59 + rank, score) for rank in range(1, 6)]
+    assert as_rows(got, "query_id", "rank", "vec_id", "score") == sorted(expected, key=repr)
+    # 61 different vectors on two nodes; the 152 equal ones would send 152 * 151 entries a node among themselves.
+    assert stores["reaching"].count() <= 2 * 61 * 61
+
+
 def test_no_vectors(spark):
     assert uniform_topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.lit(True)).count() == 0
 
