@@ -15,11 +15,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerweb.llm.common import text_batches, texts_of
+from ledgerweb.llm.common import ranges, text_batches, texts_of
 
 PROFILE = 300
 SAMPLE = 4000   # labelled documents a language is learned from, about; all where there are fewer
-LANGUAGES = 1000  # at most so many, the ones with most documents
 UNDETERMINED = "und"
 BATCH_BYTES = 4 << 20
 SPACE = 0
@@ -71,16 +70,18 @@ def learn(docs: DataFrame, profile_size: int = PROFILE, sample: int = SAMPLE) ->
     """Profiles of the languages in `docs(doc_id, text, lang)`; rows without language are left out.
 
     Fitted on about `sample` documents of each language, chosen by a hash of their id and text (a documented bound:
-    the profile is a list of 300 entries). N-gram counts are summed before they are shuffled.
+    the profile is a list of 300 entries). Every language is learned, however many there are; the driver and each worker
+    hold all profiles. N-gram counts are summed before they are shuffled.
     """
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     share = {
         row["lang"]: min(1.0, sample / row["n"])
-        for row in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+        for row in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
     }
     if not share:
         return {}
     spark = docs.sparkSession
+    # One row a language: far fewer than the profiles' entries, which all go to every worker.
     shares = F.broadcast(spark.createDataFrame(list(share.items()), "lang string, share double"))
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
     chosen = labelled.join(shares, "lang").filter((F.col("share") >= 1) | (draw < F.col("share"))).select("lang", "text")
@@ -114,13 +115,13 @@ class Identifier:
     def __init__(self, profiles: dict[str, np.ndarray], size: int):
         self.size, self.names, self.table = size, sorted(profiles), letter_table()
         self.codes = np.unique(np.concatenate([*profiles.values(), np.zeros(0, np.int64)]))
-        # The last row stands for n-grams that no language has.
-        self.places = np.full((len(self.codes) + 1, len(self.names)), size, dtype=np.int64)
-        self.missing = np.ones_like(self.places, dtype=bool)
-        for column, name in enumerate(self.names):
-            at = np.searchsorted(self.codes, profiles[name])
-            self.places[at, column] = np.arange(len(at))
-            self.missing[at, column] = False
+        # The languages that have an n-gram, and its places there, lie side by side: memory follows the profiles' lengths.
+        lists = [profiles[name] for name in self.names]
+        codes = np.searchsorted(self.codes, np.concatenate([*lists, np.zeros(0, np.int64)]))
+        order = np.argsort(codes, kind="stable")
+        self.languages = np.repeat(np.arange(len(lists)), [len(a) for a in lists])[order]
+        self.places = np.concatenate([*map(np.arange, map(len, lists)), np.zeros(0, np.int64)]).astype(np.int64)[order]
+        self.first = np.searchsorted(codes[order], np.arange(len(self.codes) + 1))
 
     def best(self, text: str | None) -> tuple[str, float]:
         points = letters(text or "", self.table)
@@ -128,10 +129,14 @@ class Identifier:
             return UNDETERMINED, 0.0
         own = profile(points, self.size)
         at = np.searchsorted(self.codes, own)
-        at[at == len(self.codes)] = 0
-        at = np.where(self.codes[at] == own, at, len(self.codes)) if len(self.codes) else at
-        out_of_place = np.abs(self.places[at] - np.arange(len(own))[:, None])
-        distance = np.where(self.missing[at], self.size, out_of_place).sum(axis=0)
+        rank = np.flatnonzero(np.append(self.codes, -1)[at] == own)
+        start = self.first[at[rank]]
+        found = self.first[at[rank] + 1] - start
+        held = ranges(start, found)
+        out_of_place = np.abs(self.places[held] - np.repeat(rank, found))
+        # What is missing counts as the profile's length; whole numbers below 2**53 are summed without rounding.
+        saved = np.bincount(self.languages[held], weights=self.size - out_of_place, minlength=len(self.names))
+        distance = self.size * len(own) - saved.astype(np.int64)
         winner = int(np.argmin(distance))
         return self.names[winner], float(1 - distance[winner] / (self.size * len(own)))
 

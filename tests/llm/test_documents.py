@@ -126,6 +126,16 @@ def test_nothing_learned(messy_docs, no_docs):
     assert {r["lang_pred"] for r in lang_profiles.identify(messy_docs, {}).collect()} == {"und"}
 
 
+def test_more_than_a_thousand_languages(spark):
+    # Each language has one letter of its own; the rare ones come last by number of documents and by name.
+    rows = [(2 * i + j, f"{chr(0x4E00 + i)} a", f"l{i:04}") for i in range(1003) for j in range(2 if i < 1000 else 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    profiles = lang_profiles.learn(docs)
+    assert len(profiles) == 1003
+    found = lang_profiles.identify(docs, profiles).filter("lang != lang_pred").count()
+    assert found == 0
+
+
 def test_profile_is_by_count_then_code():
     points = lang_profiles.letters("ab ab b", lang_profiles.letter_table())
     codes, counts = lang_profiles.grams(points)
