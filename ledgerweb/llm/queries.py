@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ledgerweb.functions.lineage import scratch_path
 from ledgerweb.llm import (
-    backoff_lm, block_names, byte_bpe, lang_profiles, packing, simhash_bk, suffix_dedup, token_store, uniform_topk, url_filter,
+    backoff_lm, block_names, byte_bpe, fill_middle, lang_profiles, packing, pca_tiles, prefix_trie, simhash_bk, suffix_dedup, token_store,
+    uniform_topk, url_filter,
 )
 from ledgerweb.llm.common import prepare_workers, remainder
 
@@ -73,6 +74,21 @@ def op10_simhash(spark, sf_dir):
     return found.select("doc_id", simhash_bk.hexadecimal().alias("fingerprint"), "component_id")
 
 
+def op11_fill_middle(spark, sf_dir):
+    made = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op12_prefix_trie(spark, sf_dir):
+    turns = prefix_trie.numbered(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(prefix_trie.with_openings(turns, every=20, most=4))
+
+
+def op13_pca_tiles(spark, sf_dir):
+    return pca_tiles.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -82,6 +98,6 @@ def pipeline(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     fn.__name__: fn for fn in (
         op1_url_filter, op2_token_store, op3_block_names, op4_lang_profiles, op5_uniform_topk, op6_packing, op7_backoff_lm,
-        op8_suffix_dedup, op9_byte_bpe, op10_simhash, pipeline,
+        op8_suffix_dedup, op9_byte_bpe, op10_simhash, op11_fill_middle, op12_prefix_trie, op13_pca_tiles, pipeline,
     )
 }
