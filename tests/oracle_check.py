@@ -40,6 +40,9 @@ def difference(left: pd.DataFrame, right: pd.DataFrame) -> str | None:
     if len(left) != len(right):
         return f"rows {len(left)} != {len(right)}"
     for col in left.columns:
+        # Spark's pandas frames hold integers with nulls as floats.
+        if str(right[col].dtype) == "Int64" and left[col].isna().any() and (left[col].dropna() % 1 == 0).all():
+            left = left.assign(**{col: left[col].astype("Int64")})
         if str(left[col].dtype) != str(right[col].dtype):
             return f"type of {col}: {left[col].dtype} != {right[col].dtype}"
     a, b = canonical(left), canonical(right)
