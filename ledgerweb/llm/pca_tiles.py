@@ -133,14 +133,19 @@ def fitted_basis(classes: DataFrame) -> dict[int, np.ndarray]:
     most = classes.groupBy("size").count().orderBy(F.desc("count"), "size").first()
     if most is None or most["count"] < 2 or not 1 < most["size"] <= WIDEST:
         return {}
-    largest = F.array_max(F.transform("vec", F.abs))
-    even = F.transform("vec", lambda x: x / largest)
-    length = F.sqrt(F.aggregate(even, F.lit(0.0), lambda s, x: s + x * x))
-    units = classes.filter(F.col("size") == most["size"]).select(array_to_vector(F.transform(even, lambda x: x / length)).alias("unit"))
-    fitted = PCA(k=int(most["size"]), inputCol="unit", outputCol="turned").fit(units).pc.toArray()
+    size = int(most["size"])
+
+    def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            unit = unit_rows(batch.column("vec").flatten().to_numpy().reshape(batch.num_rows, size))[2] if batch.num_rows else np.zeros((0, size))
+            ends = np.arange(0, unit.size + 1, size, dtype=np.int32)
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(ends, unit.reshape(-1))], names=["unit"])
+
+    alike = classes.filter(F.col("size") == size).select("vec").mapInArrow(units, "unit array<double>")
+    fitted = PCA(k=size, inputCol="unit", outputCol="turned").fit(alike.select(array_to_vector("unit").alias("unit"))).pc.toArray()
     # Products stay what they are only in an orthonormal basis; data without spread may not give one.
     fine = np.isfinite(fitted).all() and np.allclose(fitted.T @ fitted, np.eye(len(fitted)), atol=1e-11, rtol=0)
-    return {int(most["size"]): np.ascontiguousarray(fitted)} if fine else {}
+    return {size: np.ascontiguousarray(fitted)} if fine else {}
 
 
 def _packed(classes: DataFrame, basis: dict[int, np.ndarray], tile: int) -> DataFrame:
