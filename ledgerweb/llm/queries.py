@@ -13,7 +13,7 @@ from ledgerweb.llm import (
     backoff_lm, block_names, byte_bpe, fill_middle, lang_profiles, packing, pca_tiles, prefix_trie, simhash_bk, suffix_dedup, token_store,
     uniform_topk, url_filter,
 )
-from ledgerweb.llm.common import prepare_workers, remainder
+from ledgerweb.llm.common import ROW, prepare_workers, remainder
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -61,8 +61,11 @@ def op7_backoff_lm(spark, sf_dir):
 
 
 def op8_suffix_dedup(spark, sf_dir):
-    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), result="kept_sha256")
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    """At 400 bytes as agreed; `n_repeated` is what the same operator would remove at 256, where passages of over 50 words are found too."""
+    docs = table(spark, sf_dir, "documents")
+    found = suffix_dedup.remove_repeats(docs, result="kept_sha256")
+    shorter = suffix_dedup.remove_repeats(docs, suffix_dedup.PASSAGE).select(*ROW, F.col("n_removed").alias("n_repeated"))
+    return found.join(shorter, ROW).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_repeated")
 
 
 def op9_byte_bpe(spark, sf_dir):

@@ -29,6 +29,7 @@ from ledgerweb.llm import blocks
 from ledgerweb.llm.common import ROW, dump, keyed, load, ranges, stored
 
 LENGTH = 400
+PASSAGE = 256           # bytes; passages of over 50 words are seldom shorter, but often shorter than LENGTH
 GRAM = 32
 SYMBOL = 16
 HOT = 20_000            # contexts of one anchor hash; more are dealt by their cores
