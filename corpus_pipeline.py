@@ -49,12 +49,15 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, their texts without long passages that occur elsewhere too; `n_chars`, if there, follows the text."""
+    """All documents, their texts without long passages that occur elsewhere too; `n_chars`, if there, follows the text.
+
+    Passages of `suffix_dedup.PASSAGE` bytes: those of over 50 words are often shorter than the operator's own length.
+    """
     prepare_workers(spark)
     lower = [c.lower() for c in docs.columns]
     rest = [c for c, low in zip(docs.columns, lower, strict=True) if low not in ("text", "n_chars")]
     rows, names = _whole_rows(docs, *rest)
-    kept = suffix_dedup.remove_repeats(docs, result="kept_text").select(*ROW, "kept_text")
+    kept = suffix_dedup.remove_repeats(docs, suffix_dedup.PASSAGE, "kept_text").select(*ROW, "kept_text")
     whole = dict(zip(rest, names, strict=True))
     columns = []
     for name, low in zip(docs.columns, lower, strict=True):
