@@ -6,7 +6,7 @@ The scores and metrics of trained forests have none; `rf_prediction_facts`, `rf_
 from __future__ import annotations
 
 from ledgerweb.operators import augment
-from ledgerweb.plans.queries import RECALL_RINGS, SLICES, TABLES, THRESHOLDS
+from ledgerweb.plans.queries import COMMUNITY_ROUNDS, LONG_RINGS, RECALL_RINGS, RISK_TOLERANCE, SLICES, TABLES, THRESHOLDS
 from ledgerweb.plans.views import LEDGER_SCORE
 from ledgerweb.schema import (
     ADDITIVE_FEATURES, DEFAULT_SCORE, FEATURES, MIN_AMOUNT, MODEL_FEATURES, PAYMENT_TYPES, ScoreConfig,
@@ -125,6 +125,21 @@ cc(id, component) USING KEY (id) AS (
   JOIN recurring.cc r ON r.id = s.b WHERE f.component < r.component GROUP BY s.b),
 clusters AS (SELECT id, component, count(*) OVER (PARTITION BY component) AS cluster_size FROM cc)"""
 
+# Label propagation, all rounds kept.
+COMMUNITIES = f"""pair_weights AS (
+  SELECT least(src, dst) AS a, greatest(src, dst) AS b, sum(transaction_count) AS weight FROM edges WHERE src <> dst GROUP BY ALL),
+ties AS (SELECT a AS v, b AS other, weight FROM pair_weights UNION ALL SELECT b, a, weight FROM pair_weights),
+own_weights AS (SELECT v, max(weight) AS own FROM ties GROUP BY v),
+lab(id, label, round) AS (
+  SELECT id, id, 0 FROM (SELECT src AS id FROM edges UNION SELECT dst FROM edges)
+  UNION ALL SELECT id, label, round + 1 FROM (
+    SELECT id, label, round, row_number() OVER (PARTITION BY id ORDER BY weight DESC, label) AS nth FROM (
+      SELECT id, label, round, sum(weight) AS weight FROM (
+        SELECT t.v AS id, l.label, l.round, t.weight FROM ties t JOIN lab l ON l.id = t.other
+        UNION ALL SELECT l.id, l.label, l.round, coalesce(o.own, 1) FROM lab l LEFT JOIN own_weights o ON o.v = l.id)
+      GROUP BY id, label, round))
+  WHERE nth = 1 AND round < {COMMUNITY_ROUNDS})"""
+
 FULL = """feats AS (
   SELECT additive.id, degree, tx_count_in, tx_count_out, amount_in, amount_out, cluster_size,
          coalesce(triangle_count, 0) AS triangle_count
@@ -510,6 +525,75 @@ ORACLE: dict[str, str] = {
         "AND x.dst <> y.dst", PAYMENTS, rings_sql("payments", **RECALL_RINGS),
         "joined AS (SELECT sender, receiver, amount FROM payments UNION ALL SELECT sender, receiver, amount FROM ring_rows)",
         edges_of("joined")),
+    "long_rings_by_account": select(
+        "SELECT id, length, count(*) AS rings FROM (SELECT unnest(members) AS id, CAST(len(members) AS INTEGER) AS length FROM closed) GROUP BY id, length",
+        LEDGER, rings_sql("ledger", **LONG_RINGS), edges_of("ring_rows"),
+        # Walks that keep above their first account; that one has to be the smallest.
+        "walks(members, last) AS (SELECT [src], src FROM (SELECT DISTINCT src FROM edges) UNION ALL "
+        "SELECT list_append(w.members, e.dst), e.dst FROM walks w JOIN edges e ON e.src = w.last "
+        "WHERE e.dst > w.members[1] AND NOT list_contains(w.members, e.dst) AND len(w.members) < 10)",
+        "closed AS (SELECT w.members FROM walks w JOIN edges e ON e.src = w.last AND e.dst = w.members[1] WHERE len(w.members) BETWEEN 6 AND 10)"),
+    "long_ring_recall": select(
+        "SELECT ring_size, count(*) AS rings, count(*) FILTER (whole) AS whole, count(*) FILTER (found) AS found FROM verdict GROUP BY ring_size",
+        LEDGER, rings_sql("ledger", **LONG_RINGS), "pairs AS (SELECT DISTINCT sender, receiver FROM ring_rows)",
+        "links AS (SELECT r.ring, r.step, r.sender, r.rewired, n.sender AS next_sender FROM ring_rows r JOIN ring_list l ON l.ring = r.ring "
+        "JOIN ring_rows n ON n.ring = r.ring AND n.kind = 'ring' AND n.step = (r.step + 1) % l.ring_size WHERE r.kind = 'ring')",
+        "verdict AS (SELECT k.ring, CAST(count(*) AS INTEGER) AS ring_size, NOT bool_or(k.rewired) AS whole, "
+        "bool_and(p.sender IS NOT NULL) AS found FROM links k LEFT JOIN pairs p ON p.sender = k.sender AND p.receiver = k.next_sender GROUP BY k.ring)"),
+    "timed_rings": select(
+        "SELECT CAST(length AS INTEGER) AS length, ring, payments, strftime(first_ts, '%Y-%m-%d %H:%M:%S.%f') AS first_ts, "
+        "strftime(last_ts, '%Y-%m-%d %H:%M:%S.%f') AS last_ts, round(CAST(amount AS DOUBLE), 4) AS amount FROM found",
+        TRANSFERS, "p AS (SELECT seq, sender, receiver, ts, CAST(amount AS DECIMAL(24,8)) AS amount FROM transfers WHERE sender <> receiver)",
+        "two AS (SELECT x.seq AS a, y.seq AS b, x.sender AS s, x.receiver AS m, y.receiver AS last, x.ts AS first_ts, y.ts AS last_ts, "
+        "x.amount + y.amount AS amount FROM p x JOIN p y ON y.sender = x.receiver AND y.ts > x.ts AND y.ts <= x.ts + INTERVAL 1 DAY WHERE y.receiver <> x.sender)",
+        "three AS (SELECT t.*, z.seq AS c, z.receiver AS final, z.ts AS third_ts, t.amount + z.amount AS total FROM two t JOIN p z "
+        "ON z.sender = t.last AND z.ts > t.last_ts AND z.ts <= t.last_ts + INTERVAL 1 DAY WHERE z.receiver <> t.m)",
+        "found AS (SELECT 3 AS length, concat_ws('>', s, m, last) AS ring, concat_ws('>', a, b, c) AS payments, first_ts, third_ts AS last_ts, total AS amount "
+        "FROM three WHERE final = s UNION ALL "
+        "SELECT 4, concat_ws('>', s, m, last, final), concat_ws('>', a, b, c, z.seq), first_ts, z.ts, total + z.amount FROM three t JOIN p z "
+        "ON z.sender = t.final AND z.receiver = t.s AND z.ts > t.third_ts AND z.ts <= t.third_ts + INTERVAL 1 DAY WHERE t.final <> t.s)"),
+    "strong_components": select(
+        "SELECT id, component, count(*) OVER (PARTITION BY component) AS component_size FROM named", LEDGER_EDGES,
+        "every AS (SELECT src AS id FROM edges UNION SELECT dst FROM edges)",
+        "ahead(a, b) AS (SELECT id, id FROM every UNION SELECT f.a, e.dst FROM ahead f JOIN edges e ON e.src = f.b)",
+        "named AS (SELECT x.a AS id, min(x.b) AS component FROM ahead x JOIN ahead y ON y.a = x.b AND y.b = x.a GROUP BY x.a)"),
+    "core_numbers": select(
+        "SELECT id, core FROM kc", LEDGER_EDGES, "every AS (SELECT src AS id FROM edges UNION SELECT dst FROM edges)",
+        "und AS (SELECT DISTINCT least(src, dst) AS a, greatest(src, dst) AS b FROM edges WHERE src <> dst)",
+        "sym AS (SELECT a, b FROM und UNION ALL SELECT b, a FROM und)",
+        "kc(id, core) USING KEY (id) AS (SELECT e.id, count(s.b) FROM every e LEFT JOIN sym s ON s.a = e.id GROUP BY e.id UNION "
+        "SELECT h.id, h.core FROM (SELECT a AS id, max(least(c, n)) AS core, max(own) AS own FROM (SELECT s.a, r.core AS c, o.core AS own, "
+        "count(*) OVER (PARTITION BY s.a ORDER BY r.core DESC) AS n FROM sym s JOIN recurring.kc r ON r.id = s.b JOIN recurring.kc o ON o.id = s.a "
+        "WHERE s.a IN (SELECT t.a FROM kc f JOIN sym t ON t.b = f.id)) GROUP BY a) h WHERE h.core < h.own)"),
+    "dense_subgraph": select(
+        "SELECT a.id, round(d.density, 9) AS density FROM alive a JOIN dense d ON a.round = d.round WHERE d.nth = 1", LEDGER_EDGES,
+        "und AS (SELECT DISTINCT least(src, dst) AS a, greatest(src, dst) AS b FROM edges WHERE src <> dst)",
+        "sym AS (SELECT a, b FROM und UNION ALL SELECT b, a FROM und)",
+        "alive(id, round) AS (SELECT DISTINCT a, 0 FROM sym UNION ALL SELECT id, round + 1 FROM (SELECT x.id, x.round, count(*) AS n, "
+        "sum(count(*)) OVER () AS ends, (SELECT count(*) FROM alive) AS accounts FROM alive x JOIN sym s ON s.a = x.id JOIN alive y ON y.id = s.b "
+        "GROUP BY x.id, x.round) WHERE n > 2.2::DOUBLE * (ends // 2)::DOUBLE / accounts)",
+        "dense AS (SELECT round, density, row_number() OVER (ORDER BY density DESC, round) AS nth FROM (SELECT x.round, "
+        "count(s.b) / 2 / count(DISTINCT x.id) AS density FROM alive x LEFT JOIN (SELECT s.a, s.b, y.round FROM sym s JOIN alive y ON y.id = s.b) s "
+        "ON s.a = x.id AND s.round = x.round GROUP BY x.round))"),
+    "risk_walk": select(
+        "SELECT id, round(risk, 9) AS risk FROM walk WHERE round = (SELECT max(round) FROM walk)", LEDGER_EDGES, LABELS,
+        "shares AS (SELECT src, dst, transaction_count / sum(transaction_count) OVER (PARTITION BY src) AS share FROM edges)",
+        "start AS (SELECT id, CASE WHEN label = 1 THEN 1 / (SELECT sum(label) FROM labels_of) ELSE 0 END::DOUBLE AS seed, "
+        "id IN (SELECT src FROM edges) AS passes_on FROM labels_of)",
+        "walk(id, seed, passes_on, risk, step, round) AS (SELECT id, seed, passes_on, seed, 1::DOUBLE, 0 FROM start UNION ALL "
+        "SELECT w.id, w.seed, w.passes_on, w.seed * l.lost + 0.85 * coalesce(c.come, 0), abs(w.seed * l.lost + 0.85 * coalesce(c.come, 0) - w.risk), "
+        "w.round + 1 FROM walk w CROSS JOIN (SELECT 1 - 0.85 * coalesce(sum(risk) FILTER (passes_on), 0) AS lost, sum(step) AS moved FROM walk) l "
+        "LEFT JOIN (SELECT s.dst AS id, sum(v.risk * s.share) AS come FROM walk v JOIN shares s ON s.src = v.id GROUP BY s.dst) c ON c.id = w.id "
+        f"WHERE l.moved >= {RISK_TOLERANCE})"),
+    "communities": select("SELECT id, label AS community FROM lab WHERE round = " + str(COMMUNITY_ROUNDS), LEDGER_EDGES, COMMUNITIES),
+    "community_modularity": select(
+        "SELECT count(*) AS communities, round(sum(inner_weight) / sum(ends) - sum(ends * ends) / (sum(ends) * sum(ends)), 9) AS modularity FROM per",
+        LEDGER_EDGES, COMMUNITIES, f"final AS (SELECT id, label FROM lab WHERE round = {COMMUNITY_ROUNDS})",
+        "ends AS (SELECT x.label, x.label = y.label AS within, e.transaction_count AS weight FROM edges e JOIN final x ON x.id = e.src "
+        "JOIN final y ON y.id = e.dst WHERE e.src <> e.dst UNION ALL SELECT y.label, x.label = y.label, e.transaction_count FROM edges e "
+        "JOIN final x ON x.id = e.src JOIN final y ON y.id = e.dst WHERE e.src <> e.dst)",
+        "per AS (SELECT f.label, coalesce(sum(e.weight), 0)::DOUBLE AS ends, coalesce(sum(e.weight) FILTER (e.within), 0)::DOUBLE AS inner_weight "
+        "FROM (SELECT DISTINCT label FROM final) f LEFT JOIN ends e ON e.label = f.label GROUP BY f.label)"),
     "ring_recall": select(
         "SELECT ring_size, count(*) AS rings, count(*) FILTER (whole) AS whole, count(*) FILTER (found) AS found FROM verdict GROUP BY ring_size",
         PAYMENTS, rings_sql("payments", **RECALL_RINGS),

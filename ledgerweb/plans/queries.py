@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from ledgerweb.functions import amounts, clock
 from ledgerweb.functions.lineage import cut, scratch_path
 from ledgerweb.operators import (
-    augment, components, features, graph, ingest, model, reports, rings, scoring, temporal, triangles,
+    augment, components, cores, features, graph, influence, ingest, model, reports, rings, scoring, strong, temporal, triangles,
 )
 from ledgerweb.plans import medallion, views
 from ledgerweb.plans.views import LEDGER_SCORE
@@ -25,6 +25,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 THRESHOLDS = [i / 10 for i in range(1, 10)]
 PR_AUC_TOLERANCE = 1e-3  # MLlib puts the curve into 1000 bins where there are more scores
 SLICES = 4
+RISK_TOLERANCE = 1e-8
+COMMUNITY_ROUNDS = 5
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -601,6 +603,70 @@ def cycles_len5(spark, d):
     return rings.cycles(graph.edges(with_drawn_rings(spark, d)[1]), (5,)).select("length", "ring")
 
 
+LONG_RINGS = {"n_rings": 150, "size": (5, 10), "rewire": 0.05, "noise": (2, 4)}
+
+
+def drawn_long_rings(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Drawn rings of 5 to 10 accounts of the ledger, and the graph of the drawn payments."""
+    drawn = cut(augment.ring_rows(views.ledger(spark, d), **LONG_RINGS))
+    return drawn, graph.edges(drawn.select("sender", "receiver", "amount"))
+
+
+@query
+def long_rings_by_account(spark, d):
+    return rings.by_account(rings.long_cycles(drawn_long_rings(spark, d)[1], (6, 7, 8, 9, 10)))
+
+
+@query
+def long_ring_recall(spark, d):
+    """Of the drawn rings, how many are whole, and how many the search for rings of 5 to 10 accounts finds."""
+    drawn, e = drawn_long_rings(spark, d)
+    return rings.searched_recall(drawn, rings.long_cycles(e, (5, 6, 7, 8, 9, 10)))
+
+
+@query
+def timed_rings(spark, d):
+    """Rings of three and four transfers, each at most a day after the one before."""
+    found = rings.timed_rings(views.transfers(spark, d), (3, 4), 86_400)
+    return found.select("length", "ring", F.concat_ws(">", F.transform("payments", lambda p: p.cast("string"))).alias("payments"),
+                        *text("first_ts", "last_ts"), "amount")
+
+
+# --- dense parts, influence --------------------------------------------------------------------
+
+@query
+def strong_components(spark, d):
+    return strong.strong_components(graph.edges(views.ledger(spark, d)))
+
+
+@query
+def core_numbers(spark, d):
+    return cores.core_numbers(cut(graph.edges(views.ledger(spark, d))))
+
+
+@query
+def dense_subgraph(spark, d):
+    return cores.dense_subgraph(cut(graph.edges(views.ledger(spark, d)))).withColumn("density", F.round("density", 9))
+
+
+@query
+def risk_walk(spark, d):
+    tx = views.ledger(spark, d)
+    found = influence.risk_walk(cut(graph.edges(tx)), features.labels(tx).filter("label = 1"), tolerance=RISK_TOLERANCE)
+    return found.withColumn("risk", F.round("risk", 9))
+
+
+@query
+def communities(spark, d):
+    return influence.communities(cut(graph.edges(views.ledger(spark, d))), rounds=COMMUNITY_ROUNDS)
+
+
+@query
+def community_modularity(spark, d):
+    e = cut(graph.edges(views.ledger(spark, d)))
+    return influence.modularity(e, influence.communities(e, rounds=COMMUNITY_ROUNDS)).withColumn("modularity", F.round("modularity", 9))
+
+
 # --- streaming ---------------------------------------------------------------------------------
 
 STREAM = T.StructType([T.StructField("seq", T.LongType()), *TRANSACTIONS.fields])
