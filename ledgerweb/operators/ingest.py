@@ -42,10 +42,11 @@ def read_transactions(spark: SparkSession, path: str, schema=None, infer: bool =
     return to_contract(readers.read_csv(spark, path, None if infer else schema or RAW_EXPORT, infer), **kwargs)
 
 
-def coerce_upload(df: DataFrame, now_if_missing: bool = False) -> DataFrame:
+def coerce_upload(df: DataFrame, now_if_missing: bool = False, line: str | None = None) -> DataFrame:
     """Uploaded rows → contract: text ids, numeric amount, type P2P and time NULL by default.
 
-    A row whose amount does not parse keeps a NULL amount, which `validate` reports.
+    A row whose amount does not parse keeps a NULL amount, which `validate` reports. `line` names a column that is
+    kept, in which the reader left the text of lines that don't fit.
     """
     readers.require_columns(df)
     ts = F.col("timestamp").try_cast("timestamp") if "timestamp" in df.columns else F.lit(None).cast("timestamp")
@@ -60,6 +61,7 @@ def coerce_upload(df: DataFrame, now_if_missing: bool = False) -> DataFrame:
         ts.alias("ts"),
         F.coalesce(kind, F.lit(DEFAULT_TYPE)).alias("type"),
         F.coalesce(label, F.lit(0)).alias("is_fraud"),
+        *([F.col(line)] if line else []),
     )
 
 
@@ -68,8 +70,8 @@ def clean(df: DataFrame) -> DataFrame:
     return df.dropna(subset=KEYS).dropDuplicates().withColumn("transaction_date", F.to_date("ts"))
 
 
-def rejection_reason(check_type: bool = True):
-    """Why a row is not a payment; NULL for a valid one."""
+def rejection_reason(check_type: bool = True, line: str | None = None):
+    """Why a row is not a payment; NULL for a valid one. A row of a line that doesn't fit is rejected for that, whatever it seems to hold."""
     def blank(name):
         return F.coalesce(F.trim(F.col(name)), F.lit("")) == ""
 
@@ -82,10 +84,10 @@ def rejection_reason(check_type: bool = True):
     if check_type:
         known = F.col("type").isin(*PAYMENT_TYPES)
         reason = reason.when(~F.coalesce(known, F.lit(False)), "unknown type")
-    return reason
+    return F.when(F.col(line).isNotNull(), "broken line").otherwise(reason) if line else reason
 
 
-def validate(df: DataFrame, check_type: bool = True) -> tuple[DataFrame, DataFrame]:
+def validate(df: DataFrame, check_type: bool = True, line: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Split into valid rows and rejected rows with their `reason`."""
-    marked = df.withColumn("reason", rejection_reason(check_type))
+    marked = df.withColumn("reason", rejection_reason(check_type, line))
     return marked.filter("reason IS NULL").drop("reason"), marked.filter("reason IS NOT NULL")

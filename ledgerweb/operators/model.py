@@ -145,6 +145,16 @@ def multiclass_metric(predictions: DataFrame, name: str = "f1", prediction: str
     ).evaluate(predictions)
 
 
+def weighted_f1(predictions: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
+    """One row `f1`, from the counts of each class: their F1, weighted by how many rows bear the class."""
+    ends = predictions.select(F.inline(F.array(
+        F.struct(F.col(label).cast("double").alias("of"), F.lit(1).alias("actual"), F.lit(0).alias("said"), (F.col(label) == F.col(prediction)).cast("int").alias("both")),
+        F.struct(F.col(prediction).cast("double").alias("of"), F.lit(0).alias("actual"), F.lit(1).alias("said"), F.lit(0).alias("both")))))
+    per = ends.groupBy("of").agg(*[F.sum(c).alias(c) for c in ("actual", "said", "both")])
+    # 2 * both / (actual + said) is the harmonic mean of precision and recall, and 0 where nothing was right.
+    return per.agg((F.sum(F.col("actual") * 2 * F.col("both") / (F.col("actual") + F.col("said"))) / F.sum("actual")).alias("f1"))
+
+
 def pr_auc(df: DataFrame, score: str = SCORE, label: str = "label") -> DataFrame:
     """Exact area under the precision-recall curve as one row `pr_auc`.
 

@@ -11,6 +11,7 @@ from ledgerweb.functions.amounts import rupees
 from ledgerweb.functions.ordered import global_rank
 from ledgerweb.operators.graph import nodes
 from ledgerweb.operators.scoring import SCORE
+from ledgerweb.operators.sketches import size_for
 from ledgerweb.schema import DEFAULT_SCORE, FEATURES, ScoreConfig
 
 LOG_BINS = 14
@@ -101,11 +102,10 @@ def session_totals(tx: DataFrame, scored: DataFrame, config: ScoreConfig = DEFAU
     )
 
 
-def approximate_accounts(tx: DataFrame, rsd: float = 0.01) -> DataFrame:
-    """Distinct accounts from a sketch, where the exact count's shuffle is too much."""
-    return tx.select(F.explode(F.array("sender", "receiver")).alias("id")).agg(
-        F.approx_count_distinct("id", rsd).alias("accounts")
-    )
+def approximate_accounts(tx: DataFrame, within: float = 0.01, by: list[str] | None = None) -> DataFrame:
+    """Distinct accounts from a sketch, where the exact count's shuffle is too much; `within` is three deviations of its error."""
+    ends = tx.select(*(by or []), F.explode(F.array("sender", "receiver")).alias("id"))
+    return ends.groupBy(*(by or [])).agg(F.hll_sketch_estimate(F.hll_sketch_agg("id", size_for(within))).alias("accounts"))
 
 
 def recent(tx: DataFrame, n: int = 20, sequence: str = "seq") -> DataFrame:

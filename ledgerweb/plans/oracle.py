@@ -433,7 +433,21 @@ ORACLE: dict[str, str] = {
         "SELECT (SELECT count(*) FROM ledger) AS transactions, count(*) AS accounts, "
         f"count(*) FILTER (fraud_score >= {LEDGER_SCORE.fraud}) AS alerts FROM scores", LEDGER_SCORES),
     "accounts_sketch": select(
-        "SELECT count(*) AS exact, true AS is_close FROM (SELECT sender FROM ledger UNION SELECT receiver FROM ledger)", LEDGER),
+        "SELECT type, count(*) AS exact, true AS is_close FROM (SELECT sender AS id, type FROM ledger UNION SELECT receiver, type FROM ledger "
+        "UNION SELECT sender, NULL FROM ledger UNION SELECT receiver, NULL FROM ledger) GROUP BY type", LEDGER),
+    "daily_account_sketches": select(
+        "SELECT strftime(day, '%Y-%m-%d') AS day, tx_count, amount, exact, true AS is_close FROM (SELECT p.day, count(*) AS tx_count, "
+        f"round({money('l.amount')}, 4) AS amount FROM days p JOIN ledger l ON CAST(l.ts AS DATE) BETWEEN p.day - 6 AND p.day GROUP BY p.day) "
+        "JOIN (SELECT p.day, count(DISTINCT e.id) AS exact FROM days p JOIN ends e ON e.day BETWEEN p.day - 6 AND p.day GROUP BY p.day) USING (day)",
+        LEDGER, "ends AS (SELECT CAST(ts AS DATE) AS day, sender AS id FROM ledger UNION SELECT CAST(ts AS DATE), receiver FROM ledger)",
+        "days AS (SELECT DISTINCT day FROM ends)"),
+    "broken_lines": select(
+        "SELECT reason, line, count(*) AS rows, CASE WHEN line = '-' THEN round(" + money("amount") + ", 4) END AS amount FROM lined GROUP BY reason, line",
+        TRANSFERS, "lined AS (SELECT CASE WHEN receiver IN ('A8', 'A9') THEN 'broken line' "
+        f"WHEN amount < {MIN_AMOUNT} THEN 'amount below minimum' END AS reason, "
+        "CASE receiver WHEN 'A8' THEN sender || ',' || receiver WHEN 'A9' THEN concat_ws(',', sender, receiver, amount::VARCHAR, 'P2P', 'x') "
+        "ELSE '-' END AS line, amount FROM transfers)"),
+    "empty_scores": select("SELECT * FROM scores WHERE false", LEDGER_SCORES),
     "display_table": select(
         "SELECT id, format('{:.4f}', fraud_score) AS score_text, '₹' || format('{:,.2f}', amount_in) AS amount_in_text, "
         "'₹' || format('{:,.2f}', amount_out) AS amount_out_text, degree, tx_count_in, tx_count_out, cluster_size, triangle_count FROM scores",

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from ledgerweb.functions import amounts, clock
 from ledgerweb.functions.lineage import cut, scratch_path
 from ledgerweb.operators import (
-    augment, components, cores, features, graph, influence, ingest, model, reports, rings, scoring, strong, temporal, triangles,
+    augment, components, cores, features, graph, influence, ingest, model, reports, rings, scoring, sketches, strong, temporal, triangles,
 )
 from ledgerweb.plans import medallion, views
 from ledgerweb.plans.views import LEDGER_SCORE
@@ -25,6 +25,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 THRESHOLDS = [i / 10 for i in range(1, 10)]
 PR_AUC_TOLERANCE = 1e-3  # MLlib puts the curve into 1000 bins where there are more scores
 SLICES = 4
+SKETCH_ERROR = 0.01
 RISK_TOLERANCE = 1e-8
 COMMUNITY_ROUNDS = 5
 
@@ -42,9 +43,11 @@ def text(*names: str) -> list:
 
 
 def ledger_scores(spark, d) -> DataFrame:
-    return scoring.score_batch(
-        views.ledger(spark, d), lambda f: scoring.rule_score(f, LEDGER_SCORE), LEDGER_SCORE
-    )
+    return ledger_scores_of(views.ledger(spark, d))
+
+
+def ledger_scores_of(tx: DataFrame) -> DataFrame:
+    return scoring.score_batch(tx, lambda f: scoring.rule_score(f, LEDGER_SCORE), LEDGER_SCORE)
 
 
 def labelled_ledger(spark, d) -> DataFrame:
@@ -346,11 +349,49 @@ def session_totals(spark, d):
 
 @query
 def accounts_sketch(spark, d):
-    """Whether the sketch of the number of accounts comes as near to the exact one as asked for."""
+    """Whether the sketch of the number of accounts comes as near to the exact one as asked for, over all and per payment type."""
     tx = views.ledger(spark, d)
-    exact = graph.nodes(tx).agg(F.count(F.lit(1)).alias("exact"))
-    sketched = reports.approximate_accounts(tx, 0.01)
-    return exact.select("exact", (F.abs(sketched.scalar() / F.col("exact") - 1) < 0.05).alias("is_close"))
+    ends = tx.select("type", F.explode(F.array("sender", "receiver")).alias("id")).distinct()
+    exact = ends.groupBy("type").agg(F.count(F.lit(1)).alias("exact")).unionByName(
+        graph.nodes(tx).agg(F.count(F.lit(1)).alias("exact")).select(F.lit(None).cast("string").alias("type"), "exact"))
+    sketched = reports.approximate_accounts(tx, SKETCH_ERROR, ["type"]).unionByName(
+        reports.approximate_accounts(tx, SKETCH_ERROR).select(F.lit(None).cast("string").alias("type"), "accounts")).withColumnRenamed("type", "of")
+    return exact.join(sketched, F.col("type").eqNullSafe(F.col("of"))).select(
+        "type", "exact", (F.abs(F.col("accounts") / F.col("exact") - 1) <= SKETCH_ERROR).alias("is_close"))
+
+
+@query
+def daily_account_sketches(spark, d):
+    """Stored daily sketches merged over seven days: exact numbers, and whether the merged ones are within the asked error of them."""
+    tx = views.ledger(spark, d)
+    path = scratch_path(spark, "sketches")
+    sketches.daily(tx, SKETCH_ERROR).write.parquet(path)
+    found = sketches.trailing(spark.read.parquet(path), 7)
+    ends = tx.select(F.to_date("ts").alias("day"), F.explode(F.array("sender", "receiver")).alias("id")).distinct()
+    until = ends.select("id", F.explode(F.sequence("day", F.date_add("day", 6))).alias("day"))
+    exact = until.groupBy("day").agg(F.count_distinct("id").alias("exact"))
+    return found.join(exact, "day").select(
+        F.date_format("day", "yyyy-MM-dd").alias("day"), "tx_count", "amount", "exact",
+        (F.abs(F.col("accounts") / F.col("exact") - 1) <= SKETCH_ERROR).alias("is_close"))
+
+
+@query
+def broken_lines(spark, d):
+    """An uploaded file in which some lines lack fields and others have too many: those are rejected with their text."""
+    path = scratch_path(spark, "broken")
+    # A separator that no line holds leaves the lines, and the header, as they are.
+    views.broken_upload(spark, d).write.option("header", True).option("sep", "\u0001").csv(path)
+    rows = ingest.coerce_upload(readers.read_upload(spark, path, line="line"), line="line")
+    valid, rejected = ingest.validate(rows, line="line")
+    both = valid.withColumn("reason", F.lit(None).cast("string")).unionByName(rejected)
+    return both.groupBy("reason", F.coalesce("line", F.lit("-")).alias("line")).agg(
+        F.count(F.lit(1)).alias("rows"), F.round(amounts.money_sum(F.when(F.col("line").isNull(), F.col("amount"))), 4).alias("amount"))
+
+
+@query
+def empty_scores(spark, d):
+    """No payments: no scores, but all their columns."""
+    return ledger_scores_of(views.ledger(spark, d).filter("type = 'no such type'"))
 
 
 @query
@@ -448,11 +489,10 @@ def rf_predictions(spark, d):
 def rf_prediction_facts(spark, d):
     """What holds of every prediction whatever the trees: its inputs, weight and the threshold's use."""
     training, test = weighted_split(spark, d)
-    found = model.predict(model.train(training), test)
+    found = model.prediction_table(model.predict(model.train(training), test)).join(test.select("id", "weight"), "id")
     score = F.col(scoring.SCORE)
-    array = vector_to_array("features")
     return found.select(
-        "id", "label", F.round("weight", 9).alias("weight"), *[array[i].alias(c) for i, c in enumerate(MODEL_FEATURES)],
+        "id", "label", F.round("weight", 9).alias("weight"), *[F.col("features")[i].alias(c) for i, c in enumerate(MODEL_FEATURES)],
         ((score >= 0) & (score <= 1)).alias("is_probability"),
         (F.col("prediction_custom") == (score > model.THRESHOLD).cast("int")).alias("threshold_holds"),
         (F.col("prediction") == (score > 0.5).cast("double")).alias("majority_holds"))
@@ -485,7 +525,7 @@ def rf_run_facts(spark, d):
     return run.select(
         F.col("params")["num_trees"].alias("num_trees"), F.col("params")["max_depth"].alias("max_depth"),
         F.array_join("input_columns", ",").alias("input_columns"),
-        (F.col("metrics")["f1"] == F.lit(metrics["f1"])).alias("f1_kept"),
+        (F.abs(F.col("metrics")["f1"] - model.weighted_f1(predictions).scalar()) < 1e-9).alias("f1_kept"),
         (F.coalesce(apart, F.lit(0.0)) == 0).alias("scores_kept"),
         (F.abs(F.col("metrics")["pr_auc"] - exact) < PR_AUC_TOLERANCE).alias("pr_auc_agrees"))
 

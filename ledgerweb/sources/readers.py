@@ -45,9 +45,21 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     ])
 
 
-def read_upload(spark: SparkSession, path: str) -> DataFrame:
-    """An uploaded transaction file: required columns checked, known columns typed."""
-    return require_columns(read_csv(spark, path, UPLOAD))
+def read_lines(spark: SparkSession, path: str, schema: T.StructType, line: str) -> DataFrame:
+    """As `read_csv` with a schema, and the whole text of each line that has more or fewer fields than the header, else NULL, as `line`."""
+    names = spark.read.option("header", True).csv(path).schema
+    fields = T.StructType([*[T.StructField(f.name, T.StringType()) for f in names.fields], T.StructField(line, T.StringType())])
+    raw = spark.read.option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", line).schema(fields).csv(path)
+    types = {f.name: f.dataType for f in schema.fields}
+    return raw.select(*[F.col(f"`{f.name}`").try_cast(types.get(f.name, T.StringType())).alias(f.name) for f in fields.fields])
+
+
+def read_upload(spark: SparkSession, path: str, line: str | None = None) -> DataFrame:
+    """An uploaded transaction file: required columns checked, known columns typed.
+
+    With a name for `line`, lines that don't fit the header keep their text under it, and `ingest.validate` rejects them.
+    """
+    return require_columns(read_lines(spark, path, UPLOAD, line) if line else read_csv(spark, path, UPLOAD))
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
