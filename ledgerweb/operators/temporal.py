@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerweb.functions.amounts import money, money_sum
+from ledgerweb.functions.lineage import stored
 from ledgerweb.functions.ordered import prior_moments, running
 
 
@@ -55,6 +56,53 @@ def amount_deviation(tx: DataFrame, order: str = "seq") -> DataFrame:
     )
 
 
+EPOCH = 32  # half-lives
+LEAST_SPREAD = 1e-4  # of the range; much less can't be told from rounding
+
+
+def decayed_deviation(tx: DataFrame, half_life_seconds: int = 86_400, order: str = "seq") -> DataFrame:
+    """Per transaction: how far its amount lies from the sender's earlier ones, of which the older count less.
+
+    `prior_weight, decayed_mean, decayed_std, decayed_z`. An earlier payment counts half after each half-life, and no longer once two
+    whole epochs of 32 half-lives lie between: it would weigh less than 2**-64. `decayed_z` is NULL before two earlier payments that
+    count, or where their deviation is under a ten-thousandth of their range (it is then given as 0). `order` breaks ties in time.
+
+    Weights are taken from the start of an epoch, where they stay within what doubles hold, and are summed by a running total over range
+    partitions, so a busy sender is cut. What the two epochs before leave enters as rows before the first one.
+    """
+    length = half_life_seconds * EPOCH * 1_000_000
+    at = F.unix_micros("ts")
+    epoch = F.floor(at / length).cast("bigint")
+    # Amounts are summed as distances from the sender's mean: large ones that lie close together keep their digits.
+    centres = stored(tx.groupBy("sender").agg(F.avg("amount").alias("_centre")), "centres")
+    centred = tx.join(centres, tx["sender"].eqNullSafe(centres["sender"])).drop(centres["sender"])
+    x, weight = F.col("amount") - F.col("_centre"), F.pow(F.lit(2.0), (at - epoch * length) / (half_life_seconds * 1_000_000))
+    rows = stored(centred.select(
+        *tx.columns, "_centre", epoch.alias("_epoch"), at.alias("_at"), weight.alias("_w"), (weight * x).alias("_wx"), (weight * x * x).alias("_wxx"),
+        F.lit(1).cast("bigint").alias("_n"), F.col("amount").alias("_top"), (-F.col("amount")).alias("_bottom"), F.lit(True).alias("_real")), "weighted")
+    sums = ["_w", "_wx", "_wxx", "_n"]
+    left = rows.groupBy("sender", "_epoch").agg(*[F.sum(c).alias(c) for c in sums], F.max("_top").alias("_top"), F.max("_bottom").alias("_bottom"))
+    carried = left.select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("_on"))
+    fade = F.pow(F.lit(2.0), -EPOCH * F.col("_on"))
+    before = carried.select(
+        "sender", (F.col("_epoch") + F.col("_on")).alias("_epoch"), F.col("_on").cast("bigint").alias("_at"),
+        *[(F.col(c) * fade).alias(c) for c in sums[:3]], "_n", "_top", "_bottom", F.lit(False).alias("_real"))
+    every = rows.unionByName(before, allowMissingColumns=True)
+    seen = running(every, ["sender", "_epoch"], [F.col("_real"), F.col("_at"), F.col(order)],
+                   sums={f"{c}_sum": F.col(c) for c in sums}, maxes={"_high": F.col("_top"), "_low": F.col("_bottom")})
+    counted, alike = F.col("_n_sum") > 0, F.col("_high") == -F.col("_low")
+    extent = F.col("_high") + F.col("_low")  # `_low` is the smallest amount with its sign turned
+    offset = F.try_divide("_wx_sum", "_w_sum")
+    spread = F.greatest(F.try_divide("_wxx_sum", "_w_sum") - offset * offset, F.lit(0.0))
+    scale = F.pow(F.lit(2.0), -(F.col("_at") - F.col("_epoch") * length) / (half_life_seconds * 1_000_000))
+    found = seen.filter("_real").withColumns({
+        "_mean": F.when(counted, F.when(alike, F.col("_high")).otherwise(F.col("_centre") + offset)),
+        "_std": F.when(F.col("_n_sum") >= 2, F.when(F.sqrt(spread) < LEAST_SPREAD * extent, F.lit(0.0)).when(alike, F.lit(0.0)).otherwise(F.sqrt(spread)))})
+    return found.select(
+        *tx.columns, (F.col("_w_sum") * scale).alias("prior_weight"), F.col("_mean").alias("decayed_mean"), F.col("_std").alias("decayed_std"),
+        F.when(F.col("_std") > 0, (F.col("amount") - F.col("_mean")) / F.col("_std")).alias("decayed_z"))
+
+
 def window_totals(tx: DataFrame, width: str = "1 hour", slide: str | None = None) -> DataFrame:
     """Per sender and tumbling or sliding window: count and amount. Works on streams as well."""
     return (

@@ -516,6 +516,17 @@ ORACLE: dict[str, str] = {
         "count(*) OVER w AS n, avg(amount) OVER w AS m, "
         "stddev_samp(amount) OVER w AS sd FROM transfers "
         "WINDOW w AS (PARTITION BY sender ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))", TRANSFERS),
+    "anomaly_facts": select("SELECT id, true AS is_share FROM (SELECT src AS id FROM edges UNION SELECT dst FROM edges)", LEDGER_EDGES),
+    "decayed_zscore": select(
+        "SELECT seq, sender, round(coalesce(w, 0), 6) AS prior_weight, round(mean, 6) AS decayed_mean, round(std, 5) AS decayed_std, "
+        "CASE WHEN std > 0 THEN round((amount - mean) / std, 5) END AS decayed_z FROM judged", TRANSFERS,
+        "t AS (SELECT *, epoch_us(ts) AS at_us, epoch_us(ts) // 2764800000000 AS epoch FROM transfers)",
+        "prior AS (SELECT a.seq, p.amount, power(2, -(a.at_us - p.at_us) / 86400000000.0) AS w FROM t a JOIN t p ON p.sender = a.sender "
+        "AND (p.at_us < a.at_us OR (p.at_us = a.at_us AND p.seq < a.seq)) AND p.epoch >= a.epoch - 2)",
+        "means AS (SELECT seq, count(*) AS n, sum(w) AS w, sum(w * amount) / sum(w) AS mean, min(amount) = max(amount) AS alike, max(amount) - min(amount) AS extent FROM prior GROUP BY seq)",
+        "spreads AS (SELECT p.seq, sqrt(sum(p.w * (p.amount - m.mean) * (p.amount - m.mean)) / sum(p.w)) AS std FROM prior p JOIN means m ON m.seq = p.seq GROUP BY p.seq)",
+        "judged AS (SELECT t.seq, t.sender, t.amount, m.w, m.mean, CASE WHEN m.n >= 2 THEN CASE WHEN m.alike OR s.std < 1e-4 * m.extent THEN 0 ELSE s.std END END AS std "
+        "FROM t LEFT JOIN means m ON m.seq = t.seq LEFT JOIN spreads s ON s.seq = t.seq)"),
     "hourly_windows": select(window_out(3600), TRANSFERS, windows_sql(3600, 3600)),
     "sliding_windows": select(window_out(3600), TRANSFERS, windows_sql(3600, 1800)),
     "session_windows": select(
@@ -634,3 +645,4 @@ ORACLE: dict[str, str] = {
         f"SELECT seq, sender, receiver, amount, {STAMP.format('ts')} AS ts FROM transfers", TRANSFERS),
 }
 ORACLE["stream_sessions"] = ORACLE["session_windows"]
+ORACLE["stream_velocity_1h"] = ORACLE["velocity_1h"]

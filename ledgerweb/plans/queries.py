@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from ledgerweb.functions import amounts, clock
 from ledgerweb.functions.lineage import cut, scratch_path
 from ledgerweb.operators import (
-    augment, components, cores, features, graph, influence, ingest, model, reports, rings, scoring, sketches, strong, temporal, triangles,
+    augment, components, cores, features, graph, influence, ingest, isolation, model, reports, rings, scoring, sketches, strong, temporal, triangles,
 )
 from ledgerweb.plans import medallion, views
 from ledgerweb.plans.views import LEDGER_SCORE
@@ -564,6 +564,23 @@ def confusion_wide(spark, d):
     return reports.confusion_wide(judged)
 
 
+def anomaly_scores_of(spark, d) -> DataFrame:
+    found = cut(features.extract(views.ledger(spark, d), "proxy"))
+    return isolation.score(found, isolation.fit(found, ADDITIVE_FEATURES))
+
+
+@query
+def anomaly_facts(spark, d):
+    """What holds of every anomaly score whatever the trees."""
+    return anomaly_scores_of(spark, d).select("id", F.col(isolation.SCORE).between(0, 1).alias("is_share"))
+
+
+@query
+def anomaly_pr_auc(spark, d):
+    found = features.with_labels(anomaly_scores_of(spark, d).select("id", isolation.SCORE), features.labels(views.ledger(spark, d)))
+    return model.pr_auc(cut(found), isolation.SCORE)
+
+
 @query
 def threshold_sweep(spark, d):
     return model.threshold_sweep(scored_with_labels(spark, d), THRESHOLDS)
@@ -591,6 +608,13 @@ def amount_zscore(spark, d):
         F.round("prior_std", 6).alias("prior_std"), F.round("amount_z", 6).alias("amount_z"))
 
 
+@query
+def decayed_zscore(spark, d):
+    return temporal.decayed_deviation(views.transfers(spark, d)).select(
+        "seq", "sender", F.round("prior_weight", 6).alias("prior_weight"), F.round("decayed_mean", 6).alias("decayed_mean"),
+        F.round("decayed_std", 5).alias("decayed_std"), F.round("decayed_z", 5).alias("decayed_z"))
+
+
 @query
 def hourly_windows(spark, d):
     return temporal.window_totals(views.transfers(spark, d), "1 hour").select(
@@ -775,6 +799,16 @@ def stream_velocity(spark, d):
         "sender", *text("window_start", "window_end"), "tx_count", "tx_amount")
 
 
+@query
+def stream_velocity_1h(spark, d):
+    """Velocity of each transaction over the stream, its rows out once no other can join them."""
+    def start(stream, out, state):
+        return live.to_table(live.live_transaction_velocity(stream), out, state)
+
+    out = replay_transfers(spark, d, "velocity-1h", start, closing=True)
+    return spark.read.parquet(out).filter(F.col("sender") != CLOSING).select("seq", "sender", "velocity_count", "velocity_amount")
+
+
 @query
 def stream_sessions(spark, d):
     """Event-time sessions; one closing row after the last slice moves the watermark past all of them."""

@@ -229,6 +229,36 @@ def live_velocity(stream: DataFrame, width: str = "1 hour", slide: str | None =
     )
 
 
+def live_transaction_velocity(stream: DataFrame, seconds: int = 3600, late: str = "1 hour", key: str = "seq") -> DataFrame:
+    """Per transaction, as `temporal.velocity`: count and amount its sender paid within the last `seconds`, itself included.
+
+    The stream meets itself, bounded in time: a transaction waits for others of its own second at most, and is remembered for
+    `seconds`; state goes when the watermark has passed that. A transaction's row comes out once, when no other can
+    join it any more. Rows later than `late` are dropped, as transactions and from the counts of others; `late_rows` says how many. `key` identifies a
+    transaction.
+    """
+    def side(prefix: str, *columns: str) -> DataFrame:
+        timed = stream.withWatermark("ts", late)
+        return timed.select(*[F.col(c).alias(f"{prefix}_{c}") for c in ("sender", "ts", *columns)], F.unix_timestamp("ts").alias(f"{prefix}_sec"))
+
+    one, other = side("one", key), side("other", "amount")
+    near = (
+        (F.col("one_sender") == F.col("other_sender"))
+        & (F.col("other_ts") >= F.col("one_ts") - F.make_dt_interval(secs=F.lit(seconds + 1))) & (F.col("other_ts") < F.col("one_ts") + F.make_dt_interval(secs=F.lit(1)))
+        & F.col("other_sec").between(F.col("one_sec") - seconds, F.col("one_sec"))
+    )
+    return (
+        one.join(other, near).groupBy(F.col(f"one_{key}").alias(key), F.col("one_sender").alias("sender"), "one_ts")
+        .agg(F.count(F.lit(1)).alias("velocity_count"), money_sum("other_amount").alias("velocity_amount"))
+        .select(key, "sender", F.col("one_ts").alias("ts"), "velocity_count", F.round("velocity_amount", 4).alias("velocity_amount"))
+    )
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that operators of the query have dropped as too late, in the batches it still reports on."""
+    return sum(op.numRowsDroppedByWatermark for progress in query.recentProgress for op in progress.stateOperators)
+
+
 def live_sessions(stream: DataFrame, gap: str = "30 minutes", late: str = "1 hour") -> DataFrame:
     return (
         stream.withWatermark("ts", late).groupBy("sender", F.session_window("ts", gap).alias("w"))
