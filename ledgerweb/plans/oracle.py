@@ -125,6 +125,14 @@ cc(id, component) USING KEY (id) AS (
   JOIN recurring.cc r ON r.id = s.b WHERE f.component < r.component GROUP BY s.b),
 clusters AS (SELECT id, component, count(*) OVER (PARTITION BY component) AS cluster_size FROM cc)"""
 
+# The five nearest of the positives, columns scaled by their extent.
+NEAREST = "positives AS (SELECT a.* FROM additive a JOIN labels_of l ON l.id = a.id WHERE l.label = 1), extents AS (SELECT " + ", ".join(
+    f"CAST(min({c}) AS DOUBLE) AS low_{c}, CAST(max({c}) AS DOUBLE) AS high_{c}" for c in ADDITIVE_FEATURES) + " FROM positives), scaled AS (SELECT id, " + ", ".join(
+    f"CASE WHEN high_{c} > low_{c} THEN (CAST({c} AS DOUBLE) - low_{c}) / (high_{c} - low_{c}) ELSE 0 END AS {c}" for c in ADDITIVE_FEATURES) + """ FROM positives, extents),
+near AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY id ORDER BY apart, neighbor) AS INTEGER) AS nth FROM (
+  SELECT x.id, y.id AS neighbor, """ + " + ".join(f"(x.{c} - y.{c}) * (x.{c} - y.{c})" for c in ADDITIVE_FEATURES) + """ AS apart
+  FROM scaled x JOIN scaled y ON x.id <> y.id)) WHERE nth <= 5)"""
+
 # Label propagation, all rounds kept.
 COMMUNITIES = f"""pair_weights AS (
   SELECT least(src, dst) AS a, greatest(src, dst) AS b, sum(transaction_count) AS weight FROM edges WHERE src <> dst GROUP BY ALL),
@@ -406,6 +414,16 @@ ORACLE: dict[str, str] = {
         "SELECT id || '#' || draw AS id, "
         + ", ".join(f"round({c} + u * (partner.{c} - {c}), 4) AS {c}" for c in ADDITIVE_FEATURES)
         + ", 1 AS label FROM stepped", LEDGER_ADDITIVE, LABELS, smote_sql(2)),
+    "nearest_fraud": select(
+        "SELECT id, nth AS rank, neighbor, round(sqrt(apart), 9) AS distance FROM near", LEDGER_ADDITIVE, LABELS, NEAREST),
+    "smote_neighbor_rows": select(
+        "SELECT s.id || '#' || s.draw AS id, " + ", ".join(f"round(a.{c} + s.u * (b.{c} - a.{c}), 4) AS {c}" for c in ADDITIVE_FEATURES)
+        + ", 1 AS label FROM stepped s JOIN near n ON n.id = s.id AND n.nth = s.nth JOIN positives a ON a.id = s.id JOIN positives b ON b.id = n.neighbor",
+        LEDGER_ADDITIVE, LABELS, NEAREST,
+        "counted AS (SELECT id, count(*) AS n FROM near GROUP BY id)",
+        "drawn AS (SELECT id, n, unnest([0, 1]) AS draw FROM counted)",
+        "stepped AS (SELECT id, draw, CAST(floor(" + u("'smote'", "'neighbor'", "id", "draw::VARCHAR") + " * n) AS INTEGER) + 1 AS nth, "
+        + u("'smote'", "'step'", "id", "draw::VARCHAR") + " AS u FROM drawn)"),
     "feature_summary": select(
         "SELECT count(*) AS nodes, max(degree) AS max_degree, max(amount_out) AS max_amount_out, "
         "count(*) FILTER (triangle_count = 0) AS zero_triangle_nodes, count(*) FILTER (cluster_size = 1) AS isolated_nodes FROM feats",

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from ledgerweb.functions import amounts, clock
 from ledgerweb.functions.lineage import cut, scratch_path
 from ledgerweb.operators import (
-    augment, components, cores, features, graph, influence, ingest, isolation, model, reports, rings, scoring, sketches, strong, temporal, triangles,
+    augment, components, cores, features, graph, influence, ingest, isolation, model, neighbors, reports, rings, scoring, sketches, strong, temporal, triangles,
 )
 from ledgerweb.plans import medallion, views
 from ledgerweb.plans.views import LEDGER_SCORE
@@ -298,6 +298,19 @@ def smote_rows(spark, d):
     return made.select("id", *[F.round(c, 4).alias(c) for c in ADDITIVE_FEATURES], "label")
 
 
+@query
+def nearest_fraud(spark, d):
+    """The five nearest labelled accounts of every labelled account."""
+    found = neighbors.nearest(labelled_ledger(spark, d).filter("label = 1"), ADDITIVE_FEATURES)
+    return found.withColumn("distance", F.round("distance", 9))
+
+
+@query
+def smote_neighbor_rows(spark, d):
+    made = neighbors.smote(labelled_ledger(spark, d), ADDITIVE_FEATURES, per_row=2)
+    return made.select("id", *[F.round(c, 4).alias(c) for c in ADDITIVE_FEATURES], "label")
+
+
 # --- reports -----------------------------------------------------------------------------------
 
 @query
