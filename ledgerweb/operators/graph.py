@@ -49,9 +49,14 @@ def account_pool(tx: DataFrame, salt: str = "pool") -> DataFrame:
 
 def additive_features(e: DataFrame) -> DataFrame:
     """Degree, transaction counts and amounts of every account in one aggregation of the edge ends."""
+    return features_of_ends(endpoints(e, "transaction_count", "total_amount"))
+
+
+def features_of_ends(ends: DataFrame) -> DataFrame:
+    """The same from edge ends, rows of `id, is_out, transaction_count, total_amount`."""
     out = F.col("is_out")
     return (
-        endpoints(e, "transaction_count", "total_amount").groupBy("id")
+        ends.groupBy("id")
         .agg(
             F.count(F.lit(1)).alias("degree"),
             F.sum(F.when(~out, F.col("transaction_count")).otherwise(0)).alias("tx_count_in"),

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,73 +13,55 @@ from ledgerweb.functions.amounts import money_sum
 from ledgerweb.functions.lineage import stored
 from ledgerweb.operators import components, graph, scoring
 from ledgerweb.schema import DEFAULT_SCORE, FEATURES, ScoreConfig
+from ledgerweb.streaming import state
 
 TOP_K = 8
-KEYS = {"edges": ["src", "dst"], "scores": ["id"]}
 COMPACT_EVERY = 10
 
 
-# --- state as versions -------------------------------------------------------------------------
+# --- state -------------------------------------------------------------------------------------
 
-def _versions(spark: SparkSession, folder: str) -> list[int]:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [f.getPath().getName() for f in fs.listStatus(path)] if fs.exists(path) else []
-    return sorted(int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id="))
+def _both_ends(edges: DataFrame) -> DataFrame:
+    """Edges as rows of either end, `id, other, is_out` and the totals: an account's rows are all its edges."""
+    return edges.select(
+        F.inline(F.array(
+            F.struct(F.col("src").alias("id"), F.col("dst").alias("other"), F.lit(True).alias("is_out")),
+            F.struct(F.col("dst").alias("id"), F.col("src").alias("other"), F.lit(False).alias("is_out")))),
+        "transaction_count", "total_amount")
 
 
-def _delete(spark: SparkSession, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def _summary(scores: DataFrame, buckets: int, config: ScoreConfig) -> DataFrame:
+    """`part, alerts, best` for whole buckets of scores: how many alerts each has, and its best rows."""
+    parts = scores.withColumn("part", state.bucket_of("id", buckets))
+    place = F.row_number().over(W.partitionBy("part").orderBy(F.desc(scoring.SCORE), "id"))
+    best = parts.withColumn("_place", place).filter(F.col("_place") <= TOP_K).groupBy("part").agg(
+        F.collect_list(F.struct(*scores.columns)).alias("best"))
+    alerts = parts.groupBy("part").agg(F.count_if(F.col(scoring.SCORE) >= config.fraud).alias("alerts"))
+    return alerts.join(best, "part")
 
 
-def state(spark: SparkSession, out_dir: str, table: str, before: int | None = None) -> DataFrame | None:
-    """The rows of `edges` or `scores` as they stood before batch `before`, or now; None before the first batch.
-
-    A batch stores the rows it changed. The newest version of a key holds; whole tables, stored every
-    few batches, spare reading what lies before them.
-    """
-    def past(folder: str) -> list[int]:
-        return [n for n in _versions(spark, folder) if before is None or n < before]
-
-    changes, whole = f"{out_dir}/{table}", f"{out_dir}/whole_{table}"
-    start = max(past(whole), default=None)
-    read = [] if start is None else [spark.read.parquet(f"{whole}/batch_id={start}").withColumn("batch_id", F.lit(start))]
-    later = [n for n in past(changes) if start is None or n > start]
-    if later:
-        read.append(spark.read.option("basePath", changes).parquet(*[f"{changes}/batch_id={n}" for n in later]))
-    if not read:
-        return None
-    rows = reduce(DataFrame.unionByName, read)
-    if len(later) + len(read) - bool(later) == 1:
-        return rows.drop("batch_id")
-    keys = KEYS[table]
-    rest = [c for c in rows.columns if c not in (*keys, "batch_id")]
-    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("v")).select(*keys, "v.*")
-
-
-def compact(spark: SparkSession, out_dir: str, batch_id: int) -> None:
-    """Store both tables whole as of `batch_id`, and drop what the whole tables before these have made superfluous.
-
-    The last whole tables but one stay, so that a batch which is repeated finds the state before it.
-    """
-    for table in KEYS:
-        whole = f"{out_dir}/whole_{table}"
-        earlier = [n for n in _versions(spark, whole) if n < batch_id]
-        state(spark, out_dir, table, batch_id + 1).write.mode("overwrite").parquet(f"{whole}/batch_id={batch_id}")
-        if earlier:
-            for folder in (f"{out_dir}/{table}", whole):
-                for n in _versions(spark, folder):
-                    if n < earlier[-1] or (n == earlier[-1] and folder != whole):
-                        _delete(spark, f"{folder}/batch_id={n}")
+def compact(spark: SparkSession, out_dir: str, batch_id: int, config: ScoreConfig, rows_per_bucket: int = state.ROWS_PER_BUCKET) -> None:
+    """Store all tables whole as of `batch_id`, in as many buckets as their rows need by then."""
+    for name in ("ends", "scores", "members"):
+        rows = stored(state.table(spark, out_dir, name, batch_id + 1), "whole")
+        if name == "members":  # of accounts that have not moved on to another component
+            rows = rows.join(state.table(spark, out_dir, "scores", batch_id + 1).select("id", "component"), ["id", "component"], "left_semi")
+        buckets = state.fitting(rows.count(), rows_per_bucket)
+        state.store(rows, out_dir, name, batch_id, buckets, whole=True)
+        if name == "scores":
+            state.store(_summary(rows.drop("component"), buckets, config), out_dir, "summary", batch_id, 1, whole=True)
+    for name in state.KEYS:
+        state.drop_superfluous(spark, out_dir, name, batch_id)
 
 
 # --- one batch ---------------------------------------------------------------------------------
 
 def _new_triangles(now: DataFrame, new_links: DataFrame) -> DataFrame:
-    """`id, more`: triangles through each account that have at least one of the new links `a, b`."""
-    links = graph.undirected(now)
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    """`id, more`: triangles through each account that have at least one of the new links `a, b`.
+
+    Both other sides of such a triangle are links of the new one's ends, whose edges are all in `now`.
+    """
+    both = now.filter("id != other").select(F.col("id").alias("a"), F.col("other").alias("b")).distinct()
     near = stored(both.join(new_links.select(F.explode(F.array("a", "b")).alias("a")).distinct(), "a", "left_semi"), "near")
     size = near.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
     sized = (
@@ -99,7 +81,7 @@ def _new_triangles(now: DataFrame, new_links: DataFrame) -> DataFrame:
 
 
 def _merged_components(old: DataFrame, new_links: DataFrame) -> DataFrame:
-    """`was, component, cluster_size` for the components that new links join, seeded with the labels so far.
+    """`was, component, cluster_size` for the components that new links join, seeded with their ends' labels so far.
 
     An account not seen before is a component of its own, named after itself.
     """
@@ -118,18 +100,34 @@ def _merged_components(old: DataFrame, new_links: DataFrame) -> DataFrame:
 
 
 def rescored(
-    old: DataFrame, before: DataFrame, changed: DataFrame, scorer: Callable[[DataFrame], DataFrame], config: ScoreConfig
+    spark: SparkSession, out_dir: str, batch_id: int, changed: DataFrame, before: DataFrame, scorer: Callable[[DataFrame], DataFrame], config: ScoreConfig
 ) -> DataFrame:
-    """Features, component, score and band of the accounts that `changed` edges touch, directly or by component or triangle."""
-    now = stored(before.join(changed, KEYS["edges"], "left_anti").unionByName(changed), "edges-now")
-    touched = stored(graph.nodes(changed), "touched")
-    own = now.join(touched.withColumnRenamed("id", "src"), "src", "left_semi").unionByName(
-        now.join(touched.withColumnRenamed("id", "dst"), "dst", "left_semi")).distinct()
-    additive = graph.additive_features(own).join(touched, "id", "left_semi")
-    new_links = stored(graph.undirected(changed).join(graph.undirected(before), ["a", "b"], "left_anti"), "new-links")
+    """Features, component, score and band of the accounts that `changed` edges touch, directly or by component or triangle.
+
+    `before` has the rows that the ends of changed edges had. Of the state only the buckets of such ends, of new triangles' corners, and of
+    the members of components that new links join are read.
+    """
+    def known(ids: DataFrame) -> DataFrame:
+        found = state.lookup(spark, out_dir, "scores", ids, batch_id)
+        return _nothing_yet(spark) if found is None else found
+
+    fresh_ends = _both_ends(changed)
+    touched = stored(fresh_ends.select("id").distinct(), "touched")
+    now = stored(before.join(fresh_ends, state.KEYS["ends"], "left_anti").unionByName(fresh_ends), "ends-now")
+    additive = graph.features_of_ends(now)
+    linked = before.filter("id != other").select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+    new_links = stored(graph.undirected(changed).join(linked, ["a", "b"], "left_anti"), "new-links")
     more = stored(_new_triangles(now, new_links), "new-triangles")
-    merged = stored(_merged_components(old, new_links), "components")
-    members = old.join(merged.select(F.col("was").alias("component")), "component", "left_semi").select("id")
+    merged = stored(_merged_components(stored(known(touched), "labels"), new_links), "components")
+    joined = merged.select(F.col("was").alias("component"))
+    listed = state.lookup(spark, out_dir, "members", joined, batch_id)
+    candidates = touched.unionByName(more.select("id"))
+    if listed is not None:
+        candidates = candidates.unionByName(listed.select("id"))
+    candidates = stored(candidates.distinct(), "candidates")
+    old = stored(known(candidates), "old")
+    # A list may still name accounts that have left for another component.
+    members = old.join(joined, "component", "left_semi").select("id")
     ids = touched.unionByName(more.select("id")).unionByName(members).distinct()
     kept = old.select("id", *[F.col(c).alias(f"old_{c}") for c in (*FEATURES, "component")])
     fresh = additive.select("id", *[F.col(c).alias(f"new_{c}") for c in FEATURES[:5]])
@@ -143,9 +141,11 @@ def rescored(
         F.coalesce("cluster_size", "old_cluster_size", F.lit(1)).cast("bigint").alias("cluster_size"),
         (F.coalesce("old_triangle_count", F.lit(0)) + F.coalesce("more", F.lit(0))).cast("bigint").alias("triangle_count"),
         F.coalesce("component", "was").alias("component"),
+        (F.col("old_component").isNull() | F.col("component").isNotNull()).alias("moved"),
     )
     features = stored(features, "touched-features")
-    return scoring.band(scorer(features.drop("component")), config=config).join(features.select("id", "component"), "id")
+    state.store(features.filter("moved").select("component", "id"), out_dir, "members", batch_id, state.buckets_at(spark, out_dir, "members", batch_id))
+    return scoring.band(scorer(features.drop("component", "moved")), config=config).join(features.select("id", "component"), "id")
 
 
 def _nothing_yet(spark: SparkSession) -> DataFrame:
@@ -155,35 +155,53 @@ def _nothing_yet(spark: SparkSession) -> DataFrame:
 
 def score_changes(
     spark: SparkSession, changed: DataFrame, batch_id: int, out_dir: str, scorer: Callable[[DataFrame], DataFrame],
-    total_rows: int | None, config: ScoreConfig, compact_every: int = COMPACT_EVERY,
+    total_rows: int | None, config: ScoreConfig, compact_every: int = COMPACT_EVERY, rows_per_bucket: int = state.ROWS_PER_BUCKET,
 ) -> None:
     """Store a batch's changed edges, the scores they change, the best of all scores, and the progress.
 
-    Every table is written to `<table>/batch_id=<n>` in overwrite mode and only reads older batches, so one that is
-    repeated after a failure replaces its own output. The stored edges are read back through the caller's
+    Every table replaces its own version of this batch and only reads older batches, so one that is repeated after a failure
+    replaces its own output. The stored edges are read back through the caller's
     session: the one a micro-batch runs in has adaptive execution, and with it the splitting of
     skewed joins, turned off.
     """
     path = f"{out_dir}/edges/batch_id={batch_id}"
     changed.write.mode("overwrite").parquet(path)
     changed = spark.read.schema(changed.schema).parquet(path)
-    old, before = state(spark, out_dir, "scores", batch_id), state(spark, out_dir, "edges", batch_id)
-    scores = rescored(_nothing_yet(spark) if old is None else old, changed.limit(0) if before is None else before, changed, scorer, config)
-    scores.write.mode("overwrite").parquet(f"{out_dir}/scores/batch_id={batch_id}")
-    scored = state(spark, out_dir, "scores", batch_id + 1).drop("component")
-    scoring.top_scored(scored, TOP_K).write.mode("overwrite").parquet(f"{out_dir}/top/batch_id={batch_id}")
-    alerts = scored.agg(F.count_if(F.col(scoring.SCORE) >= config.fraud).alias("n")).scalar()
+    ends = _both_ends(changed)
+    before = state.lookup(spark, out_dir, "ends", ends.select("id"), batch_id)
+    before = stored(ends.limit(0) if before is None else before, "ends-before")
+    scores = stored(rescored(spark, out_dir, batch_id, changed, before, scorer, config), "rescored")
+    state.store(ends, out_dir, "ends", batch_id, state.buckets_at(spark, out_dir, "ends", batch_id))
+    buckets = state.buckets_at(spark, out_dir, "scores", batch_id)
+    state.store(scores, out_dir, "scores", batch_id, buckets)
+    # The best rows and the alerts of a bucket change with its scores; those of all buckets make the best of all.
+    reread = state.read(spark, out_dir, "scores", batch_id + 1, state.touched_buckets(scores.select("id")))
+    state.store(_summary(state.current(reread, "scores").drop("component"), buckets, config), out_dir, "summary", batch_id, 1)
+    summary = stored(state.table(spark, out_dir, "summary", batch_id + 1), "summary")
+    best = summary.select(F.inline("best"))
+    scoring.top_scored(best, TOP_K).write.mode("overwrite").parquet(f"{out_dir}/top/batch_id={batch_id}")
+    _progress(spark, out_dir, batch_id, changed, before, summary, total_rows)
+    if batch_id % compact_every == compact_every - 1:
+        compact(spark, out_dir, batch_id, config, rows_per_bucket)
+        state.drop_superfluous(spark, out_dir, "edges", batch_id)
+
+
+def _progress(spark: SparkSession, out_dir: str, batch_id: int, changed: DataFrame, before: DataFrame, summary: DataFrame, total_rows: int | None) -> None:
+    """The transactions so far: those of the batch before, and what the changed edges have more than they had."""
+    past = [n for n in state.versions(spark, f"{out_dir}/progress") if n < batch_id]
+    done = F.lit(0).cast("bigint")
+    if past:
+        done = spark.read.parquet(f"{out_dir}/progress/batch_id={past[-1]}").select("rows_done").scalar()
+    had = before.filter("is_out").select(F.col("id").alias("src"), F.col("other").alias("dst"), F.col("transaction_count").alias("had"))
+    added = changed.join(had, ["src", "dst"], "left").agg(
+        F.coalesce(F.sum(F.col("transaction_count") - F.coalesce("had", F.lit(0))), F.lit(0)).alias("added"))
     total = F.lit(total_rows).cast("bigint")
+    alerts = summary.agg(F.coalesce(F.sum("alerts"), F.lit(0)).alias("n")).scalar()
     (
-        state(spark, out_dir, "edges", batch_id + 1).agg(F.coalesce(F.sum("transaction_count"), F.lit(0)).alias("rows_done"))
-        .select(
-            "rows_done", total.alias("rows_total"),
-            F.least(F.try_divide("rows_done", total), F.lit(1.0)).alias("pct"), alerts.alias("alerts"),
-        )
+        added.select((done + F.col("added")).alias("rows_done"), total.alias("rows_total"))
+        .select("rows_done", "rows_total", F.least(F.try_divide("rows_done", "rows_total"), F.lit(1.0)).alias("pct"), alerts.alias("alerts"))
         .write.mode("overwrite").parquet(f"{out_dir}/progress/batch_id={batch_id}")
     )
-    if batch_id % compact_every == compact_every - 1:
-        compact(spark, out_dir, batch_id)
 
 
 def run(
@@ -195,6 +213,7 @@ def run(
     config: ScoreConfig = DEFAULT_SCORE,
     trigger: dict | None = None,
     compact_every: int = COMPACT_EVERY,
+    rows_per_bucket: int = state.ROWS_PER_BUCKET,
 ) -> StreamingQuery:
     """Keep the collapsed edges as streaming state and rescore the accounts that each batch touches."""
     spark = stream.sparkSession
@@ -202,20 +221,22 @@ def run(
         graph.edges(stream).writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
-        .foreachBatch(lambda df, n: score_changes(spark, df, n, out_dir, scorer, total_rows, config, compact_every))
+        .foreachBatch(lambda df, n: score_changes(spark, df, n, out_dir, scorer, total_rows, config, compact_every, rows_per_bucket))
         .start()
     )
 
 
 def latest(spark: SparkSession, out_dir: str, table: str) -> DataFrame:
     """All rows of `edges` or `scores` after the last finished batch."""
-    rows = state(spark, out_dir, table)
-    return rows.drop("component") if table == "scores" else rows
+    if table == "edges":
+        ends = state.table(spark, out_dir, "ends").filter("is_out")
+        return ends.select(F.col("id").alias("src"), F.col("other").alias("dst"), "transaction_count", "total_amount")
+    return state.table(spark, out_dir, table).drop("component")
 
 
 def history(spark: SparkSession, out_dir: str, table: str) -> DataFrame:
     """What each batch stored, with its number."""
-    return spark.read.parquet(f"{out_dir}/{table}").withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    return spark.read.parquet(f"{out_dir}/{table}").withColumn("batch_id", F.col("batch_id").cast("bigint")).drop("buckets", "bucket")
 
 
 def live_velocity(stream: DataFrame, width: str = "1 hour", slide: str | None = None, late: str = "1 hour") -> DataFrame:

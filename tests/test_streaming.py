@@ -5,9 +5,9 @@ import pytest
 from ledgerweb.functions.lineage import scratch_path
 from ledgerweb.operators import graph, scoring
 from ledgerweb.plans.queries import STREAM
-from ledgerweb.streaming import live, replay
+from ledgerweb.streaming import live, replay, state
 from pyspark.sql import functions as F
-from tests.helpers import random_pairs
+from tests.helpers import random_pairs, tx
 
 START = dt.datetime(2024, 1, 1)
 
@@ -42,12 +42,12 @@ def test_stream_equals_batch(spark, rows):
     assert all(r["count"] == 8 for r in top)
 
 
-@pytest.mark.parametrize("parts,compact_every", [(1, 10), (4, 2)])
-def test_every_batch_equals_a_batch_over_the_rows_so_far(spark, rows, parts, compact_every):
+@pytest.mark.parametrize("parts,compact_every,rows_per_bucket", [(1, 10, 1000), (5, 2, 7)])
+def test_every_batch_equals_a_batch_over_the_rows_so_far(spark, rows, parts, compact_every, rows_per_bucket):
     states, root = [], scratch_path(spark, "test")
 
     def start(stream):
-        return live.run(stream, f"{root}/out", f"{root}/state", compact_every=compact_every)
+        return live.run(stream, f"{root}/out", f"{root}/state", compact_every=compact_every, rows_per_bucket=rows_per_bucket)
 
     slices = [p.cache() for p in replay.ranked_slices(rows, [F.col("seq")], parts)]
     so_far, before = None, {}
@@ -65,12 +65,40 @@ def test_every_batch_equals_a_batch_over_the_rows_so_far(spark, rows, parts, com
         assert ends <= states[-1] and (changed <= states[-1])
         assert states[-1] <= changed | ends | {i for i in expected if i in before and before[i][1:6] == expected[i][1:6]}
         before = expected
+    if parts > 4:  # the last whole tables are dealt out
+        assert state.buckets_at(spark, f"{root}/out", "scores") > 1 and state.buckets_at(spark, f"{root}/out", "ends") > 4
+
+
+def test_what_a_small_batch_reads_does_not_grow(spark):
+    """Ten times the state in ten times the buckets: the rows read for a few accounts stay level, and what they say is right."""
+    read = {}
+    for size in (300, 3000):
+        out = scratch_path(spark, "grown")
+        pairs = [(f"n{i}", f"n{(i * 7 + 1) % size}", 1.0) for i in range(size)] + [("hub", f"n{i}", 2.0) for i in range(0, size, 3)]
+        live.score_changes(spark, graph.edges(tx(spark, pairs)), 0, out, scoring.rule_score, None, scoring.DEFAULT_SCORE, 1, 40)
+        ids = spark.createDataFrame([("n5",), ("n6",), ("new",)], "id string")
+        touched = state.touched_buckets(ids)
+        read[size] = {name: state.read(spark, out, name, None, touched).count() for name in ("ends", "scores")}
+        whole = state.table(spark, out, "ends").count()
+        assert whole == 2 * len(pairs) and read[size]["scores"] <= 3 * 80
+        found = state.lookup(spark, out, "ends", ids)
+        assert sorted(r["id"] for r in found.collect()) == sorted(x for p in pairs for x in p[:2] if x in ("n5", "n6"))
+        more = tx(spark, [("new", "n5", 3.0)])
+        live.score_changes(spark, graph.edges(more), 1, out, scoring.rule_score, None, scoring.DEFAULT_SCORE, 10, 40)
+        batch = scoring.score_batch(tx(spark, [*pairs, ("new", "n5", 3.0)]))
+        assert sorted(map(tuple, live.latest(spark, out, "scores").select(*batch.columns).collect())) == sorted(map(tuple, batch.collect()))
+    # The hub's bucket is not among those asked for.
+    assert read[3000]["scores"] <= 2 * read[300]["scores"] and read[3000]["ends"] <= 2 * read[300]["ends"]
+
+
+def test_bucket_counts():
+    assert [state.fitting(n, 10) for n in (0, 1, 10, 11, 20, 21, 40, 41, 10**9)] == [1, 1, 1, 2, 2, 4, 4, 8, state.MOST_BUCKETS]
 
 
 def test_untouched_components_are_left_alone(spark, rows):
     data = [(0, "a", "b"), (1, "c", "d"), (2, "e", "e"), (3, "a", "x")]
-    tx = spark.createDataFrame([(i, s, r, 1.0, START, "P2P", 0) for i, s, r in data], STREAM)
-    out = play(spark, tx, lambda s, o, c: live.run(s, o, c), 4)
+    made = spark.createDataFrame([(i, s, r, 1.0, START, "P2P", 0) for i, s, r in data], STREAM)
+    out = play(spark, made, lambda s, o, c: live.run(s, o, c), 4)
     by_batch = {}
     for r in live.history(spark, out, "scores").collect():
         by_batch.setdefault(r["batch_id"], set()).add(r["id"])
@@ -79,8 +107,8 @@ def test_untouched_components_are_left_alone(spark, rows):
 
 def test_old_versions_go(spark, rows):
     root = play(spark, rows, lambda s, o, c: live.run(s, o, c, compact_every=2), 7)
-    assert live._versions(spark, f"{root}/whole_edges") == [3, 5]
-    assert live._versions(spark, f"{root}/scores") == [4, 5, 6]
+    assert state.versions(spark, f"{root}/whole_ends") == [3, 5]
+    assert all(state.versions(spark, f"{root}/{name}") == [4, 5, 6] for name in ("ends", "scores", "members", "summary"))
     assert live.latest(spark, root, "edges").agg(F.sum("transaction_count")).first()[0] == 90
 
 
