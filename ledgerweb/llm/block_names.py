@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerweb.llm.common import ROW, keyed, stored
+from ledgerweb.llm.common import ROW, has_files, keyed, stored
 
 BLOCK = 4096
 BLANKS = " \t\n\x0b\x0c\r"
@@ -80,6 +80,8 @@ def exact_duplicates(docs: DataFrame, size: int = BLOCK) -> DataFrame:
     null text counts as empty. Of equal texts the row with the most characters in the original stays, then the one with the
     smallest doc_id (null last), then the first one stored. Other columns are ignored; no documents give no rows.
     """
+    if not has_files(docs):  # keyed twice, by files' places
+        docs = stored(docs.select("doc_id", "text"), "documents")
     texts = keyed(docs, normalised("text").alias("norm"))
     identity = identities(texts, size)
     facts = keyed(

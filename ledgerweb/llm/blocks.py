@@ -22,12 +22,21 @@ from ledgerweb.functions.lineage import scratch_path
 from ledgerweb.llm.common import text_batches
 
 BLOCK_BYTES = 8 << 20
+BUCKET_TEXT = 16 << 20
 BLOCK_SCHEMA = "block long, n long, keys binary, body binary, parts array<struct<bucket int, data binary>>"
 PART_SCHEMA = "block long, bucket int, data binary"
 
 
-def bucket_count(df: DataFrame) -> int:
-    """Buckets follow the partition count that the session sets for its data."""
+def bucket_count(docs: DataFrame) -> int:
+    """Buckets for the keys of all texts: as many as the session's shuffle partitions, more where one would get over `BUCKET_TEXT` bytes of texts.
+
+    So the group that meets in one task doesn't grow with the corpus, whatever the session sets.
+    """
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(_partitions(docs), -(-size // BUCKET_TEXT))
+
+
+def _partitions(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
@@ -66,7 +75,7 @@ def bucketed(blocks: DataFrame, name: str) -> DataFrame:
     """
     spark, table = blocks.sparkSession, f"blocks_{uuid.uuid4().hex}"
     (
-        blocks.write.bucketBy(bucket_count(blocks), "block").option("compression", "uncompressed")
+        blocks.write.bucketBy(_partitions(blocks), "block").option("compression", "uncompressed")
         .option("path", scratch_path(spark, name)).saveAsTable(table)
     )
     held = spark.table(table)

@@ -50,17 +50,26 @@ def keyed(df: DataFrame, *columns: str | Column) -> DataFrame:
     """The given columns with a key for each row, `row_file, row_pos`.
 
     A stored table's rows are named by file and place in it, which no other split of the files changes.
-    Other frames get running numbers and have to be deterministic.
+    Other frames get running numbers; one that is keyed twice has to be stored before.
     """
-    wanted = [F.col(f"`{c}`") if isinstance(c, str) else c for c in columns]
+    wanted = df.select(*[F.col(f"`{c}`") if isinstance(c, str) else c for c in columns], *_places(df))
+    wanted.schema  # noqa: B018  resolves the names
+    return wanted
+
+
+def _places(df: DataFrame) -> list[Column]:
+    if has_files(df):
+        return [F.xxhash64("_metadata.file_path").alias(ROW[0]), F.col("_metadata.row_index").alias(ROW[1])]
+    return [F.lit(0).cast("bigint").alias(ROW[0]), F.monotonically_increasing_id().alias(ROW[1])]
+
+
+def has_files(df: DataFrame) -> bool:
+    """Whether the rows of `df` come straight from stored files."""
     try:
-        found = df.select(*wanted, F.xxhash64("_metadata.file_path").alias(ROW[0]),
-                          F.col("_metadata.row_index").alias(ROW[1]))
-        found.schema  # noqa: B018  resolves the names
-        return found
+        df.select("_metadata.file_path", "_metadata.row_index").schema  # noqa: B018  resolves the names
     except AnalysisException:
-        return df.select(*wanted, F.lit(0).cast("bigint").alias(ROW[0]),
-                         F.monotonically_increasing_id().alias(ROW[1]))
+        return False
+    return True
 
 
 def remainder(column: str, by: int) -> Column:

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from ledgerweb.functions.lineage import scratch_path
 from ledgerweb.llm import (
-    backoff_lm, block_names, byte_bpe, lang_profiles, packing, simhash_bk, suffix_dedup, token_store,
+    backoff_lm, block_names, blocks, byte_bpe, lang_profiles, packing, simhash_bk, suffix_dedup, token_store,
 )
-from ledgerweb.llm.common import remainder
+from ledgerweb.llm.common import ROW, remainder
 from ledgerweb.llm.queries import BYTE_BPE, WORD_BPE
 from tests.llm import brute
 from tests.llm.conftest import as_rows
@@ -340,3 +340,23 @@ def test_a_dense_cluster_gives_few_links():
 
 def test_no_near_duplicates_of_nothing(no_docs):
     assert simhash_bk.near_duplicates(no_docs).count() == 0
+
+
+# --- helpers -----------------------------------------------------------------------------------
+
+def test_buckets_follow_the_texts(spark, monkeypatch):
+    """With small buckets there are many of them, and the counts and encodings stay what they were."""
+    docs = spark.createDataFrame([(i, f"some words here {i % 7} " * 40, False) for i in range(60)], "doc_id long, text string, held_out boolean")
+    size = sum(len(f"some words here {i % 7} " * 40) for i in range(60))
+    assert blocks.bucket_count(docs) == 4 and blocks.bucket_count(docs.filter("false")) == 4
+    before = as_rows(backoff_lm.score(docs)), as_rows(suffix_dedup.remove_repeats(docs, 64, "kept_sha256").drop(*ROW))
+    monkeypatch.setattr(blocks, "BUCKET_TEXT", 1000)
+    assert blocks.bucket_count(docs) == -(-size // 1000)
+    assert (as_rows(backoff_lm.score(docs)), as_rows(suffix_dedup.remove_repeats(docs, 64, "kept_sha256").drop(*ROW))) == before
+
+
+def test_rows_behind_a_shuffle_keep_their_keys(spark, messy, messy_docs):
+    """A frame without files, dealt anew with every run, gives one consistent answer."""
+    dealt = messy_docs.repartition(5).withColumn("x", F.rand()).orderBy("x").drop("x")
+    found = block_names.exact_duplicates(dealt).collect()
+    assert len(found) == len(messy) and sum(r["kept"] for r in found) == len({r["text_sha256"] for r in found})
