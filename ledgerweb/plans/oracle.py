@@ -537,7 +537,7 @@ ORACLE: dict[str, str] = {
     "anomaly_facts": select("SELECT id, true AS is_share FROM (SELECT src AS id FROM edges UNION SELECT dst FROM edges)", LEDGER_EDGES),
     "decayed_zscore": select(
         "SELECT seq, sender, round(coalesce(w, 0), 6) AS prior_weight, round(mean, 6) AS decayed_mean, round(std, 5) AS decayed_std, "
-        "CASE WHEN std > 0 THEN round((amount - mean) / std, 5) END AS decayed_z FROM judged", TRANSFERS,
+        "CASE WHEN std > 0 THEN round((amount - mean) / std, 3) END AS decayed_z FROM judged", TRANSFERS,
         "t AS (SELECT *, epoch_us(ts) AS at_us, epoch_us(ts) // 2764800000000 AS epoch FROM transfers)",
         "prior AS (SELECT a.seq, p.amount, power(2, -(a.at_us - p.at_us) / 86400000000.0) AS w FROM t a JOIN t p ON p.sender = a.sender "
         "AND (p.at_us < a.at_us OR (p.at_us = a.at_us AND p.seq < a.seq)) AND p.epoch >= a.epoch - 2)",

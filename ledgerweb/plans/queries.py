@@ -625,7 +625,7 @@ def amount_zscore(spark, d):
 def decayed_zscore(spark, d):
     return temporal.decayed_deviation(views.transfers(spark, d)).select(
         "seq", "sender", F.round("prior_weight", 6).alias("prior_weight"), F.round("decayed_mean", 6).alias("decayed_mean"),
-        F.round("decayed_std", 5).alias("decayed_std"), F.round("decayed_z", 5).alias("decayed_z"))
+        F.round("decayed_std", 5).alias("decayed_std"), F.round("decayed_z", 3).alias("decayed_z"))
 
 
 @query
