@@ -1,18 +1,21 @@
 """Language-model scores from a weighted backoff automaton.
 
-States are the empty history and the words seen in training. From the state of word h an arc leads to every word
-w that followed h, with the smoothed log10 probability of w after h; for other words a failure arc leads, at the log10 of
-the mass it is left, to the empty state, whose arcs carry the unigram probabilities. Counts are smoothed with a
-Dirichlet prior on the shorter history, which makes the failure weight the same for all words:
+States are the empty history and the sequences of up to `order - 1` tokens that training has. From the state of history h an arc
+leads to every word w that followed h, with the smoothed log10 probability of w after h, and on to the longest state that ends the text so
+far. For other words a failure arc leads, at the log10 of the mass it is left, to the state of h without its first token, and from there on, at the end to the
+empty state, whose arcs carry the unigram probabilities. Counts are smoothed with a Dirichlet prior on the shorter history,
+which makes the failure weight the same for all words:
 
-    p(w | h) = (c(hw) + m p(w)) / (c(h) + m),   failure weight of h = m / (c(h) + m)
+    p(w | h) = (c(hw) + m p(w | h')) / (c(h) + m),   failure weight of h = m / (c(h) + m),   h' = h without its first token
 
-The automaton of the corpus is never in one place: a block of documents asks for the counts of its own words and pairs
-and holds just the states and arcs that its texts can reach. The state after a word is that word, or the empty state
-if the word is unknown, whichever arcs were taken; the traversal from left to right is therefore done for all documents
-of a block at once, the state being carried along as an array.
+A text is read once from left to right, the state being carried along, and the weights of the arcs taken are added up.
 
-Words and pairs are told apart by 64-bit keys, as is usual for large language models: among n distinct ones about
+The automaton of the corpus is never in one place: a block of documents asks for the counts of its own n-grams
+and holds just the states and arcs that its texts can reach. Orders are asked for one after another. An n-gram whose first or last n - 1
+tokens occur once in all documents occurs once itself: its count is known without asking, so only those are sent whose both
+parts occur again somewhere.
+
+N-grams are told apart by 64-bit keys, as is usual for large language models: among n distinct ones about
 n * n / 2**65 share a key and so their counts.
 """
 
@@ -30,11 +33,12 @@ from pyspark.sql import functions as F
 
 from ledgerweb.llm import blocks
 from ledgerweb.llm.byte_bpe import planes, unplaned
-from ledgerweb.llm.common import dump, load, stored, texts_of
+from ledgerweb.llm.common import dump, load, texts_of
 
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 PRIOR = 20.0
-BLOCK_BYTES = 4 << 20  # of texts; a block's streams, pairs and keys take some thirty times as much
+ORDER = 3
+BLOCK_BYTES = 4 << 20  # of texts; a block's streams, n-grams and keys take some thirty times as much
 ADDED = 0.1
 START, END = 0, 1  # the first two entries of every word list
 
@@ -80,19 +84,64 @@ def word_keys(words: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(w) for w in words), dtype=np.uint64, count=len(words))
 
 
-def pairs_of(stream: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct pairs of neighbours within documents as history * size + word, and for each token but START its pair."""
-    tokens = np.flatnonzero(stream != START)
-    return np.unique(stream[tokens - 1] * size + stream[tokens], return_inverse=True)
+@dataclass
+class Grams:
+    """The distinct n-grams of one length in a block, by number."""
 
+    at: np.ndarray  # for each place of the stream the n-gram that ends there, -1 where it would begin before its document
+    prefix: np.ndarray  # the n-gram one shorter without the last token
+    suffix: np.ndarray  # and the one without the first
+    word: np.ndarray  # the last token
+    keys: np.ndarray
+    learned: np.ndarray  # occurrences in the block's training texts
+    total: np.ndarray  # occurrences in all of its texts
+    counts: np.ndarray  # occurrences in the corpus' training texts, once known
+    again: np.ndarray  # whether it occurs twice or more in the corpus, once known
 
-def packed_keys(keys: np.ndarray, counts: np.ndarray, buckets: int) -> tuple[np.ndarray, dict[int, tuple]]:
-    """The order of rising keys, and by bucket (the keys' highest part) the keys and counts in it."""
-    order = np.argsort(keys)
-    keys, counts = keys[order], counts[order]
-    bucket = (keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
-    first = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
-    return order, {b: (keys[first[b]:first[b + 1]], counts[first[b]:first[b + 1]]) for b in range(buckets)}
+
+def _grams(at, prefix, suffix, word, keys, learns) -> Grams:
+    ends = at >= 0
+    learned = np.bincount(at[ends & learns], minlength=len(word))
+    return Grams(at, prefix, suffix, word, keys, learned, np.bincount(at[ends], minlength=len(word)), learned, np.zeros(len(word), dtype=bool))
+
+
+def single(own: Listed, learns: np.ndarray) -> Grams:
+    none, size = np.zeros(len(own.words), dtype=np.int64), len(own.words)
+    return _grams(own.stream, none, none, np.arange(size), word_keys(own.words), learns)
+
+
+def longer(short: Grams, words: Grams, learns: np.ndarray) -> Grams:
+    """The n-grams of one token more than `short`."""
+    stream, size = words.at, len(words.word)
+    ends = np.flatnonzero((short.at[:-1] >= 0) & (stream[1:] != START)) + 1
+    found, first, number = np.unique(short.at[ends - 1] * size + stream[ends], return_index=True, return_inverse=True)
+    at = np.full(len(stream), -1, dtype=np.int64)
+    at[ends] = number
+    prefix, word = found // size, found % size
+    return _grams(at, prefix, short.at[ends[first]], word, mixed(short.keys[prefix], words.keys[word]), learns)
+
+
+def asked(grams: Grams, short: Grams | None) -> np.ndarray:
+    """Numbers of the n-grams whose count isn't known from the shorter ones, by rising key."""
+    unknown = np.arange(len(grams.word)) if short is None else np.flatnonzero(short.again[grams.prefix] & short.again[grams.suffix])
+    return unknown[np.argsort(grams.keys[unknown])]
+
+
+def known(body: bytes, answers: tuple[dict[int, bytes], ...], order: int) -> tuple[Listed, list[Grams]]:
+    """The block's n-grams up to `order`, those answered with their counts."""
+    own, trained = unlisted(body)
+    learns = np.repeat(trained, own.lengths + 1)
+    levels: list[Grams] = []
+    for n in range(order):
+        grams = single(own, learns) if n == 0 else longer(levels[-1], levels[0], learns)
+        if n < len(answers):
+            unknown = asked(grams, levels[-1] if levels else None)
+            told = [_unoctets(load(answers[n][bucket])[1:]) for bucket in sorted(answers[n])]
+            values = np.concatenate(told).astype(np.int64) if told else np.empty(0, dtype=np.int64)
+            grams.counts = grams.learned.copy()
+            grams.counts[unknown], grams.again[unknown] = values >> 1, (values & 1).astype(bool)
+        levels.append(grams)
+    return own, levels
 
 
 def steps(keys: np.ndarray) -> np.ndarray:
@@ -113,19 +162,16 @@ def unlisted(body: bytes) -> tuple[Listed, np.ndarray]:
     return Listed(words, unplaned(rows).astype(np.int64), lengths), trained.astype(bool)
 
 
-def count_block(body: bytes, buckets: int) -> dict[int, bytes]:
-    """By bucket: keys and training counts of words and of pairs."""
-    own, trained = unlisted(body)
-    size = len(own.words)
-    learns = np.repeat(trained, own.lengths + 1)
-    unigrams = np.bincount(own.stream[learns], minlength=size)
-    pairs, where = pairs_of(own.stream, size)
-    learned = np.bincount(where[learns[own.stream != START]], minlength=len(pairs))
-    keys = word_keys(own.words)
-    _, by_word = packed_keys(keys, unigrams, buckets)
-    _, by_pair = packed_keys(mixed(keys[pairs // size], keys[pairs % size]), learned, buckets)
-    return {b: dump(*_octets(steps(by_word[b][0])), by_word[b][1].astype("<u4"), *_octets(steps(by_pair[b][0])), by_pair[b][1].astype("<u4"))
-            for b in range(buckets)}
+def count_block(body: bytes, answers: tuple[dict[int, bytes], ...], buckets: int) -> dict[int, bytes]:
+    """By bucket, the keys' highest part: keys and counts of the n-grams one longer than those answered."""
+    _, levels = known(body, answers, len(answers) + 1)
+    grams = levels[-1]
+    unknown = asked(grams, levels[-2] if len(levels) > 1 else None)
+    keys, learned, others = grams.keys[unknown], grams.learned[unknown], (grams.total - grams.learned)[unknown]
+    bucket = (keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+    first = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
+    return {b: dump(*_octets(steps(keys[at:to])), *planes(learned[at:to]), *planes(others[at:to]))
+            for b, (at, to) in enumerate(itertools.pairwise(first.tolist())) if at < to}
 
 
 def _octets(numbers: np.ndarray) -> list[np.ndarray]:
@@ -138,71 +184,102 @@ def _unoctets(rows: list[np.ndarray]) -> np.ndarray:
 
 
 def merge_counts(lists: list[bytes]) -> list[bytes]:
-    """Corpus counts of the words and pairs in each list; also how many words of this bucket training has."""
+    """For each list its n-grams' corpus counts in training, doubled, plus one where the corpus has it twice; also how many words of this bucket training has."""
     start = word_keys([b""])[0]
-    asked = [load(data) for data in lists]
-    answers: list[list[np.ndarray]] = [[] for _ in lists]
-    known = 0
-    for first in (0, 9):
-        keys = [np.cumsum(_unoctets(a[first:first + 8]), dtype=np.uint64) for a in asked]
-        found, where = np.unique(np.concatenate(keys), return_inverse=True)
-        sums = np.bincount(where, weights=np.concatenate([a[first + 8] for a in asked]), minlength=len(found)).astype(np.int64)
-        if first == 0:
-            known = int(((sums > 0) & (found != start)).sum())
-        at = 0
-        for answer, own in zip(answers, keys, strict=True):
-            answer.append(sums[where[at:at + len(own)]].astype("<u8"))
-            at += len(own)
-    return [dump(np.array([known]), *a) for a in answers]
-
-
-def score_block(keys: pa.Table, body: bytes, answers: dict[int, bytes], total: int, distinct: int, prior: float) -> pa.Table:
-    own, _ = unlisted(body)
-    words, stream, lengths = own.words, own.stream, own.lengths
-    size = len(words)
-    by_word, by_pair = [], []
-    for bucket in sorted(answers):
-        _, ones, twos = load(answers[bucket])
-        by_word.append(ones)
-        by_pair.append(twos)
-    pairs, where = pairs_of(stream, size)
-    own_keys = word_keys(words)
-    word_count = np.empty(size, dtype=np.int64)
-    word_count[np.argsort(own_keys)] = np.concatenate(by_word)
-    pair_count = np.empty(len(pairs), dtype=np.int64)
-    pair_count[np.argsort(mixed(own_keys[pairs // size], own_keys[pairs % size]))] = np.concatenate(by_pair)
-
-    # The automaton: arcs of the empty state, arcs and failure weight of each word's state.
-    empty_arc = np.log10((word_count + ADDED) / (total + ADDED * (distinct + 1)))
-    history, word = pairs // size, pairs % size
-    pair_arc = np.log10((pair_count + prior * 10 ** empty_arc[word]) / (word_count[history] + prior))
-    failure = np.log10(prior / (word_count + prior))
-
-    tokens = np.flatnonzero(stream != START)
-    state, read = stream[tokens - 1], stream[tokens]
-    is_state = word_count[state] > 0
-    has_arc = is_state & (pair_count[where] > 0)
-    step = np.where(has_arc, pair_arc[where], np.where(is_state, failure[state], 0.0) + empty_arc[read])
+    lines = [load(data) for data in lists]
+    keys = [np.cumsum(_unoctets(own[:8]), dtype=np.uint64) for own in lines]
+    found, where = np.unique(np.concatenate(keys), return_inverse=True)
+    learned, others = (np.bincount(where, weights=np.concatenate([unplaned(own[i:i + 4]) for own in lines]), minlength=len(found)).astype(np.int64)
+                       for i in (8, 12))
+    told = learned * 2 + (learned + others > 1)
+    words = np.array([((learned > 0) & (found != start)).sum()])
+    ends = np.cumsum([len(own) for own in keys])
+    return [dump(words, *_octets(told[where[end - len(own):end]])) for own, end in zip(keys, ends, strict=True)]
+
+
+@dataclass
+class Automaton:
+    """What a block's texts can reach. State 0 is the empty history."""
+
+    arcs: dict[int, int]  # state * words + word -> arc
+    weight: list[float]
+    target: list[int]
+    failure: list[int]
+    failure_weight: list[float]
+    start: int
+
+
+def automaton(levels: list[Grams], total: int, distinct: int, prior: float) -> Automaton:
+    """States are numbered by length: 0, then the words, then the pairs, and so on."""
+    words, order = levels[0], len(levels)
+    size = len(words.word)
+    base = np.cumsum([0, 1, *[len(g.word) for g in levels]])
+    places, weights, targets = [], [], []
+    failure, failure_weight = [np.zeros(1, dtype=np.int64)], [np.zeros(1)]
+    shorter = (words.counts + ADDED) / (total + ADDED * (distinct + 1))
+    for n, grams in enumerate(levels, 1):
+        seen = grams.counts > 0
+        if n > 1:
+            shorter = (grams.counts + prior * shorter[grams.suffix]) / (levels[n - 2].counts[grams.prefix] + prior)
+        arc = np.arange(size) if n == 1 else np.flatnonzero(seen)
+        places.append((base[n - 1] + grams.prefix[arc]) * size + grams.word[arc])
+        weights.append(np.log10(shorter[arc]))
+        state = base[n] + np.arange(len(seen)) if n < order else base[n - 1] + grams.suffix
+        targets.append(np.where(seen, state, 0)[arc])
+        if n < order:
+            failure.append(base[n - 1] + grams.suffix)
+            failure_weight.append(np.log10(prior / (grams.counts + prior)))
+    arcs = dict(zip(np.concatenate(places).tolist(), itertools.count()))
+    start = int(base[1]) + START if order > 1 and words.counts[START] > 0 else 0
+    return Automaton(arcs, np.concatenate(weights).tolist(), np.concatenate(targets).tolist(),
+                     np.concatenate(failure).tolist(), np.concatenate(failure_weight).tolist(), start)
+
+
+def traverse(model: Automaton, stream: np.ndarray, size: int) -> np.ndarray:
+    """The log10 probability of every token but START, read from left to right."""
+    arcs, weight, target, failure, failure_weight = model.arcs, model.weight, model.target, model.failure, model.failure_weight
+    state, out = model.start, []
+    for read in stream.tolist():
+        if read == START:
+            state = model.start
+            continue
+        left = 0.0
+        while (arc := arcs.get(state * size + read)) is None:
+            left += failure_weight[state]
+            state = failure[state]
+        out.append(left + weight[arc])
+        state = target[arc]
+    return np.array(out)
+
+
+def score_block(keys: pa.Table, body: bytes, answers: tuple[dict[int, bytes], ...], total: int, distinct: int, prior: float) -> pa.Table:
+    own, levels = known(body, answers, len(answers))
+    stream, lengths, counts = own.stream, own.lengths, levels[0].counts
+    step = traverse(automaton(levels, total, distinct, prior), stream, len(own.words))
+    read = stream[stream != START]
+    base = np.log10((counts + ADDED) / (total + ADDED * (distinct + 1)))
     first = np.cumsum(lengths) - lengths
     return pa.table({
         "doc_id": keys.column("doc_id").combine_chunks(), "held_out": keys.column("held_out").combine_chunks(),
         "n_tokens": pa.array(lengths, pa.int64()),
-        "n_known": pa.array(np.add.reduceat((word_count[read] > 0).astype(np.int64), first), pa.int64()),
+        "n_known": pa.array(np.add.reduceat((counts[read] > 0).astype(np.int64), first), pa.int64()),
         "train_tokens": pa.array(np.full(len(lengths), total), pa.int64()),
-        "base_score": pa.array(np.add.reduceat(empty_arc[read], first)),
+        "base_score": pa.array(np.add.reduceat(base[read], first)),
         "score": pa.array(np.add.reduceat(step, first)),
     })
 
 
-def score(docs: DataFrame, held_out: str = "held_out", prior: float = PRIOR) -> DataFrame:
-    """Learn from the rows of `docs(doc_id, text, held_out)` where `held_out` is false, and score all.
+def score(docs: DataFrame, held_out: str = "held_out", prior: float = PRIOR, order: int = ORDER) -> DataFrame:
+    """Learn from the rows of `docs(doc_id, text, held_out)` where `held_out` is false, and score all by n-grams up to `order`.
 
     `doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`, log10 probabilities of whole texts with their
     end token. Null texts count as empty: one token, the end. Rows with null in `held_out` count as held out. Repeated ids and rows
     give a row each and count each in training; other columns are ignored. No documents give no rows; without
-    training documents every state is the empty one and score equals base_score.
+    training documents, or with an order of 1, every state is the empty one and score equals base_score.
     """
-    buckets = 2 * blocks.bucket_count(docs)  # pairs are many; a bucket's are sorted in one task
+    if order < 1:
+        raise ValueError("the order is 1 or more")
+    buckets = 2 * blocks.bucket_count(docs)  # n-grams are many; a bucket's are sorted in one task
     wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                          F.coalesce(F.col(held_out), F.lit(True)).alias("held_out"))
 
@@ -211,14 +288,17 @@ def score(docs: DataFrame, held_out: str = "held_out", prior: float = PRIOR) ->
         return list_block(texts_of(batch), trained)
 
     held = blocks.build(wanted, make, "tokens", BLOCK_BYTES)
-    # The lists are three times as large as the blocks, so they are made on their way and not stored.
-    asked = blocks.ask(held, lambda body: count_block(body, buckets))
     total = held.agg(F.sum("n")).first()[0] or 0
-    replies = stored(blocks.exchange(asked, lambda lists, _: merge_counts(lists)), "counts", "uncompressed")
-    distinct = _distinct(replies)
+    held, distinct = held.select("block", "keys", "body"), 0
+    for n in range(order):
+        # The lists are larger than the blocks, so they are made on their way and not stored.
+        lists = blocks.ask(held, lambda body, *answers: count_block(body, answers, buckets))
+        replies = blocks.replies(blocks.exchange(lists, lambda data, _: merge_counts(data)), f"answers_{n}")
+        if n == 0:
+            distinct = _distinct(replies)
+        held = held.join(replies, "block", "left")
     return blocks.finish(
-        blocks.answered(held.select("block", "keys", "body"), replies),
-        lambda keys, body, answers: score_block(keys, body, answers, total, distinct, prior),
+        held, lambda keys, body, *answers: score_block(keys, body, answers, total, distinct, prior),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
     )
 
@@ -227,8 +307,8 @@ def _distinct(replies: DataFrame) -> int:
     """Distinct training tokens: every answer of a bucket names the bucket's own number."""
     def run(batches):
         for batch in batches:
-            known = [int(load(d)[0][0]) for d in batch.column("data").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("bucket"), pa.array(known, pa.int64())], names=["bucket", "known"])
+            words = [int(load(d)[0][0]) for d in batch.column("data").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("bucket"), pa.array(words, pa.int64())], names=["bucket", "words"])
 
-    one = replies.groupBy("bucket").agg(F.first("data").alias("data"))
-    return one.mapInArrow(run, "bucket int, known long").agg(F.sum("known")).first()[0] or 0
+    told = replies.select(F.inline("answers_0")).mapInArrow(run, "bucket int, words long")
+    return told.distinct().agg(F.sum("words")).first()[0] or 0

@@ -144,6 +144,11 @@ def answered(blocks: DataFrame, *answers: DataFrame) -> DataFrame:
     return blocks
 
 
+def replies(answers: DataFrame, name: str) -> DataFrame:
+    """What each block was answered, as the list `name` of (bucket, data), stored by bucket of the block: later joins don't shuffle it."""
+    return bucketed(answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "data")).alias(name)), "replies")
+
+
 def finish(blocks: DataFrame, each: Callable, schema: str) -> DataFrame:
     """`each(keys, body, answers...)` gives the rows of a block as Arrow columns; answers are dicts by bucket."""
     names = [c for c in blocks.columns if c.startswith("answers_")]

@@ -66,26 +66,28 @@ def top_k(rows, k, every):
     return out
 
 
-def language_model(rows, prior):
+def language_model(rows, prior, order):
     """rows: (doc_id, text, held_out) -> doc_id, held_out, n_tokens, n_known, N, base, score."""
-    uni, bi, history = Counter(), Counter(), Counter()
+    seen = Counter()
     for _, text, held in rows:
         if not held:
-            tokens = [*words(text), "\n"]
-            uni.update(tokens)
-            bi.update(zip(["", *tokens], tokens))
-            history.update(["", *tokens])
+            tokens = ["", *words(text), "\n"]
+            seen.update(tuple(tokens[i:i + n]) for n in range(1, order + 1) for i in range(len(tokens) - n + 1))
+    uni = {g[0]: c for g, c in seen.items() if len(g) == 1 and g != ("",)}
     total, distinct = sum(uni.values()), len(uni)
+
+    def p(word, history):
+        if not history:
+            return (uni.get(word, 0) + 0.1) / (total + 0.1 * (distinct + 1))
+        return (seen[(*history, word)] + prior * p(word, history[1:])) / (seen[history] + prior)
+
     out = []
     for doc_id, text, held in rows:
-        base = score = known = 0
-        tokens = [*words(text), "\n"]
-        for h, w in zip(["", *tokens], tokens):
-            p = (uni[w] + 0.1) / (total + 0.1 * (distinct + 1))
-            base += math.log10(p)
-            known += uni[w] > 0
-            score += math.log10((bi[h, w] + prior * p) / (history[h] + prior) if history[h] else p)
-        out.append((doc_id, held, len(tokens), known, total, base, score))
+        tokens = ["", *words(text), "\n"]
+        places = range(1, len(tokens))
+        base = sum(math.log10(p(tokens[i], ())) for i in places)
+        score = sum(math.log10(p(tokens[i], tuple(tokens[max(0, i - order + 1):i]))) for i in places)
+        out.append((doc_id, held, len(places), sum(tokens[i] in uni for i in places), total, base, score))
     return out
 
 

@@ -223,13 +223,14 @@ def rounded(rows):
     return [(*r[:5], round(r[5], 7), round(r[6], 7)) for r in rows]
 
 
-def test_backoff_scores(clashing_docs, messy):
+@pytest.mark.parametrize("order", [1, 2, 3, 5])
+def test_backoff_scores(clashing_docs, messy, order):
     import zlib
 
     held = [zlib.crc32(b"" if r[0] is None else str(r[0]).encode()) % 10 < 3 for r in messy]
     docs = clashing_docs.withColumn("held_out", remainder("doc_id", 10) < 3)
-    expected = brute.language_model([(r[0], r[1], h) for r, h in zip(messy, held)], backoff_lm.PRIOR)
-    same(rounded(as_rows(backoff_lm.score(docs))), rounded(expected))
+    expected = brute.language_model([(r[0], r[1], h) for r, h in zip(messy, held)], backoff_lm.PRIOR, order)
+    same(rounded(as_rows(backoff_lm.score(docs, order=order))), rounded(expected))
 
 
 def test_model_without_training(messy_docs, messy, no_docs):
@@ -248,7 +249,7 @@ def test_probabilities_sum_to_one():
     seen = sum((after_a[w] + backoff_lm.PRIOR * p[w]) / (3 + backoff_lm.PRIOR) for w in vocabulary)
     unknown = 1 - sum(p.values())
     assert math.isclose(seen + backoff_lm.PRIOR / (3 + backoff_lm.PRIOR) * unknown, 1)
-    assert brute.language_model(rows, backoff_lm.PRIOR)[0][3] == 5
+    assert brute.language_model(rows, backoff_lm.PRIOR, 3)[0][3] == 5
 
 
 # --- long repeats ------------------------------------------------------------------------------
