@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ledgerweb.llm import blocks
 from ledgerweb.llm.byte_bpe import planes, unplaned
-from ledgerweb.llm.common import dump, load, texts_of
+from ledgerweb.llm.common import dump, load, ranges, texts_of
 
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 PRIOR = 20.0
@@ -199,63 +199,69 @@ def merge_counts(lists: list[bytes]) -> list[bytes]:
 
 @dataclass
 class Automaton:
-    """What a block's texts can reach. State 0 is the empty history."""
+    """What a block's texts can reach. A state is named by the place where its tokens end and their number; 0 is the empty history."""
 
-    arcs: dict[int, int]  # state * words + word -> arc
-    weight: list[float]
-    target: list[int]
-    failure: list[int]
-    failure_weight: list[float]
-    start: int
+    weight: np.ndarray  # by state length and place: the arc from the state before that place on the place's token, nan without one
+    failure: np.ndarray  # by state length and place: the failure arc of the state that ends there
+    known: np.ndarray  # by place: whether its token is a state itself
+    longest: int
 
 
 def automaton(levels: list[Grams], total: int, distinct: int, prior: float) -> Automaton:
-    """States are numbered by length: 0, then the words, then the pairs, and so on."""
-    words, order = levels[0], len(levels)
-    size = len(words.word)
-    base = np.cumsum([0, 1, *[len(g.word) for g in levels]])
-    places, weights, targets = [], [], []
-    failure, failure_weight = [np.zeros(1, dtype=np.int64)], [np.zeros(1)]
-    shorter = (words.counts + ADDED) / (total + ADDED * (distinct + 1))
-    for n, grams in enumerate(levels, 1):
-        seen = grams.counts > 0
-        if n > 1:
-            shorter = (grams.counts + prior * shorter[grams.suffix]) / (levels[n - 2].counts[grams.prefix] + prior)
-        arc = np.arange(size) if n == 1 else np.flatnonzero(seen)
-        places.append((base[n - 1] + grams.prefix[arc]) * size + grams.word[arc])
-        weights.append(np.log10(shorter[arc]))
-        state = base[n] + np.arange(len(seen)) if n < order else base[n - 1] + grams.suffix
-        targets.append(np.where(seen, state, 0)[arc])
-        if n < order:
-            failure.append(base[n - 1] + grams.suffix)
-            failure_weight.append(np.log10(prior / (grams.counts + prior)))
-    arcs = dict(zip(np.concatenate(places).tolist(), itertools.count()))
-    start = int(base[1]) + START if order > 1 and words.counts[START] > 0 else 0
-    return Automaton(arcs, np.concatenate(weights).tolist(), np.concatenate(targets).tolist(),
-                     np.concatenate(failure).tolist(), np.concatenate(failure_weight).tolist(), start)
-
-
-def traverse(model: Automaton, stream: np.ndarray, size: int) -> np.ndarray:
-    """The log10 probability of every token but START, read from left to right."""
-    arcs, weight, target, failure, failure_weight = model.arcs, model.weight, model.target, model.failure, model.failure_weight
-    state, out = model.start, []
-    for read in stream.tolist():
-        if read == START:
-            state = model.start
-            continue
-        left = 0.0
-        while (arc := arcs.get(state * size + read)) is None:
-            left += failure_weight[state]
-            state = failure[state]
-        out.append(left + weight[arc])
-        state = target[arc]
-    return np.array(out)
+    order, places = len(levels), len(levels[0].at)
+    weight, failure = np.full((order, places), np.nan), np.zeros((order, places))
+    shorter = (levels[0].counts + ADDED) / (total + ADDED * (distinct + 1))
+    for n, grams in enumerate(levels):
+        if n:
+            shorter = (grams.counts + prior * shorter[grams.suffix]) / (levels[n - 1].counts[grams.prefix] + prior)
+        there = grams.at >= 0
+        weight[n, there] = np.log10(np.where((grams.counts > 0) | (n == 0), shorter, np.nan))[grams.at[there]]
+        if n < order - 1:
+            failure[n + 1, there] = np.log10(prior / (grams.counts + prior))[grams.at[there]]
+    return Automaton(weight, failure, levels[0].counts[levels[0].at] > 0, order - 1)
+
+
+SEGMENT = 512  # tokens that are read one after another; a text's segments are read side by side
+
+
+def traverse(model: Automaton, stream: np.ndarray, lengths: np.ndarray, segment: int = SEGMENT) -> np.ndarray:
+    """The log10 probability of every token but START. Texts are read from left to right, a token of each at a time.
+
+    A segment within a text starts from the empty state, as many tokens earlier as a state can have: it then has the text's own.
+    """
+    segment = max(segment, model.longest + 1)
+    begins = np.cumsum(lengths + 1) - lengths - 1  # places of START
+    pieces = -(-lengths // segment)
+    text = np.repeat(np.arange(len(lengths)), pieces)
+    cut = ranges(np.zeros(len(lengths), dtype=np.int64), pieces) * segment
+    at = begins[text] + cut + 1 - np.where(cut > 0, model.longest, 0)
+    end = begins[text] + 1 + np.minimum(cut + segment, lengths[text])
+    state = np.where(cut > 0, 0, model.known[at - 1] & (model.longest > 0)).astype(np.int64)
+    counted = begins[text] + cut + 1
+    order = np.argsort(at - end, kind="stable")  # the longest first, so that those still read are the first ones
+    at, end, state, counted = at[order], end[order], state[order], counted[order]
+    left = end - at
+    out = np.empty(len(stream))
+    for _ in range(int(left[0]) if len(left) else 0):
+        reading = int(np.searchsorted(-left, 0))
+        at, state, counted, left = at[:reading], state[:reading], counted[:reading], left[:reading]
+        cost = np.zeros(reading)
+        for n in range(model.longest, 0, -1):
+            fails = np.flatnonzero((state == n) & np.isnan(model.weight[n, at]))
+            cost[fails] += model.failure[n, at[fails] - 1]
+            state[fails] = n - 1
+        cost += model.weight[state, at]
+        own = at >= counted
+        out[at[own]] = cost[own]
+        state = np.where(model.known[at], np.minimum(state + 1, model.longest), 0)
+        at, left = at + 1, left - 1
+    return out[stream != START]
 
 
 def score_block(keys: pa.Table, body: bytes, answers: tuple[dict[int, bytes], ...], total: int, distinct: int, prior: float) -> pa.Table:
     own, levels = known(body, answers, len(answers))
     stream, lengths, counts = own.stream, own.lengths, levels[0].counts
-    step = traverse(automaton(levels, total, distinct, prior), stream, len(own.words))
+    step = traverse(automaton(levels, total, distinct, prior), stream, lengths)
     read = stream[stream != START]
     base = np.log10((counts + ADDED) / (total + ADDED * (distinct + 1)))
     first = np.cumsum(lengths) - lengths

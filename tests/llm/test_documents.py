@@ -233,6 +233,22 @@ def test_backoff_scores(clashing_docs, messy, order):
     same(rounded(as_rows(backoff_lm.score(docs, order=order))), rounded(expected))
 
 
+def test_segments_of_a_text_take_up_its_state():
+    rnd = np.random.default_rng(5)
+    texts = [" ".join(rnd.choice(list("abcdef"), n)) for n in (0, 1, 40, 700)]
+    body, _, _ = backoff_lm.list_block(texts, np.array([True, True, False, True]))
+    answers = []
+    for _ in range(4):
+        lists = backoff_lm.count_block(body, tuple(answers), 3)
+        answers.append({b: backoff_lm.merge_counts([data])[0] for b, data in lists.items()})
+    own, levels = backoff_lm.known(body, tuple(answers), 4)
+    model = backoff_lm.automaton(levels, 745, 7, backoff_lm.PRIOR)
+    whole = backoff_lm.traverse(model, own.stream, own.lengths, 1000)
+    assert len(whole) == own.lengths.sum() and np.isfinite(whole).all()
+    for segment in (1, 7, 64):
+        assert (backoff_lm.traverse(model, own.stream, own.lengths, segment) == whole).all()
+
+
 def test_model_without_training(messy_docs, messy, no_docs):
     for r in backoff_lm.score(messy_docs.withColumn("held_out", F.lit(None).cast("boolean"))).collect():
         assert r["held_out"] and r["n_known"] == 0 and r["train_tokens"] == 0 and r["score"] == r["base_score"]
