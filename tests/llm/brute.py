@@ -66,6 +66,18 @@ def top_k(rows, k, every):
     return out
 
 
+def language_profiles(rows, size):
+    """rows: (text, lang) -> for each language its most frequent n-grams as tuples of code points plus one, a gap being 1."""
+    seen = {}
+    for text, lang in rows:
+        spaced = "".join(c if c.isalpha() else " " for c in (text or "").lower())
+        if lang is not None and spaced.strip():
+            marks = [1 if c == " " else ord(c) + 1 for c in f" {' '.join(spaced.split())} "]
+            found = seen.setdefault(lang, Counter())
+            found.update(tuple(marks[i:i + n]) for n in (1, 2, 3) for i in range(len(marks) - n + 1) if marks[i:i + n] != [1])
+    return {lang: sorted(found, key=lambda g: (-found[g], len(g), g))[:size] for lang, found in seen.items()}
+
+
 def language_model(rows, prior, order):
     """rows: (doc_id, text, held_out) -> doc_id, held_out, n_tokens, n_known, N, base, score."""
     seen = Counter()

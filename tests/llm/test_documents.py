@@ -110,6 +110,19 @@ def test_languages(spark, sf_dir):
     assert found.filter("score < 0 or score > 1").count() == 0
 
 
+def test_learned_profiles(spark):
+    """Against a plain version: ties, gaps of several characters, capitals, letters beyond ASCII, rows without text, letters or language."""
+    rnd = np.random.default_rng(11)
+    parts = ["Der", "die", "das", "Ärger", "the", "THE", "an", "\u4e2d\u6587", "x1y", "--", "  ", "\n", "a.b", "\U0001d49c"]
+    rows = [(i, " ".join(rnd.choice(parts, 30)), ["de", "en", "zh", None][i % 4]) for i in range(80)]
+    rows += [(100, None, "de"), (101, "", "en"), (102, "12 34 --", "xx"), (103, rows[1][1], "en"), (1, rows[1][1], "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    for size in (5, 40, 300):
+        learned = {lang: codes.tolist() for lang, codes in lang_profiles.learn(docs, size).items()}
+        plain = brute.language_profiles([r[1:] for r in rows], size)
+        assert learned == {lang: [sum(m << lang_profiles.BITS * i for i, m in enumerate(reversed(g))) for g in found] for lang, found in plain.items()}
+
+
 def test_language_of_odd_texts(clashing_docs, messy):
     profiles = {"en": np.array([5, 6], dtype=np.int64), "de": np.array([7], dtype=np.int64)}
     found = lang_profiles.identify(clashing_docs, profiles)
