@@ -2,7 +2,7 @@
 
 The components of all vectors are dealt to a few nodes; a candidate's score is the sum of its local scores there.
 Phase 1 gathers each node's k best local scores of a query and takes the k-th best total among the candidates seen as a
-safe bound. Phase 2 hands each query's cutoff, the bound divided by the number of nodes, to all nodes, which
+safe bound; these few totals, k candidates a node at most, are taken from the vectors of each pair. Phase 2 hands each query's cutoff, the bound divided by the number of nodes, to all nodes, which
 send every entry that reaches it: whoever is below it everywhere can't reach the bound. Phase 3 asks the nodes for
 the local scores still unknown of the candidates that can reach the bound, and ranks exact totals.
 
@@ -48,7 +48,7 @@ def scaled(vectors: DataFrame, scale: int = 256) -> DataFrame:
 def _matrix(rows: pa.Table) -> np.ndarray:
     column = rows.column("part").combine_chunks()
     width = len(column.values) // len(column) if len(column) else 0
-    return column.values.to_numpy().reshape(len(column), width)
+    return column.values.to_numpy().astype(np.int64).reshape(len(column), width)
 
 
 def _products(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
@@ -75,6 +75,14 @@ def _entries(cell: pa.Table, q: np.ndarray, c: np.ndarray, local: np.ndarray) ->
     return pa.Table.from_arrays([pa.array(q, pa.int64()), pa.array(c, pa.int64()), *fixed, pa.array(local, pa.int64())], schema=ENTRY_ARROW)
 
 
+def _narrowest(least: int, most: int) -> str:
+    """The smallest SQL type for whole numbers from `least` to `most`: replicated vectors take as little room as they can."""
+    for bits, name in ((16, "smallint"), (32, "int")):
+        if -(1 << bits - 1) <= least and most < 1 << bits - 1:
+            return name
+    return "bigint"
+
+
 def _split(cell: pa.Table) -> tuple[pa.Table, pa.Table]:
     asks = cell.column("asks")
     return cell.filter(asks), cell.filter(pa.compute.invert(asks))
@@ -136,11 +144,13 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, nodes: int = NODES, scale: i
     Candidates are all rows but the query's own. Equal scores rank by vec_id (null last), then in a fixed order of the
     rows; fewer than k candidates are all returned. Repeated ids and rows are rows of their own, as query and as
     candidate. Vectors of different lengths count as filled up with zeros. Other columns are ignored; no
-    vectors or no queries give no rows. `is_query` is a condition on vec_id; null means no.
+    vectors or no queries give no rows. `is_query` is a condition on vec_id; null means no. Where a score could
+    exceed 62 bits, the job stops with an error.
     """
     held = scaled(vectors, scale)
-    width = held.agg(F.max(F.size("vec"))).first()[0] or 0
-    filled = F.concat("vec", F.array_repeat(F.lit(0).cast("long"), F.lit(width) - F.size("vec")))
+    width, least, most = held.agg(F.max(F.size("vec")), F.min(F.array_min("vec")), F.max(F.array_max("vec"))).first()
+    width = width or 0
+    filled = F.concat("vec", F.array_repeat(F.lit(0).cast("long"), F.lit(width) - F.size("vec"))).cast(f"array<{_narrowest(least or 0, most or 0)}>")
     rows = held.select(filled.alias("vec"), "uid", "vec_id", F.coalesce(is_query, F.lit(False)).alias("asks"))
     # `uid` of a distinct vector is that of its first row, `ranked` its k + 1 first rows.
     first = F.row_number().over(W.partitionBy("vec").orderBy(F.asc_nulls_last("vec_id"), "uid"))
@@ -178,7 +188,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, nodes: int = NODES, scale: i
     best = cells().groupBy(*CELL).applyInArrow(lambda cell: best_local(cell, k), ENTRY)
     in_node = F.row_number().over(W.partitionBy("q", "node").orderBy(F.desc("local"), "c"))
     seen = stored(best.withColumn("place", in_node).filter(F.col("place") <= k).drop("place"), "seen")
-    total = _totals(seen, cells, nodes).join(distinct.select(F.col("uid").alias("c"), "members"), "c")
+    total = _pair_totals(seen.select("q", "c").distinct(), asking, distinct)
     others = F.col("members") - (F.col("q") == F.col("c")).cast("int")
     so_far = F.sum(others).over(W.partitionBy("q").orderBy(F.desc("total"), "c").rowsBetween(W.unboundedPreceding, W.currentRow))
     bounds = stored(
@@ -204,6 +214,16 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, nodes: int = NODES, scale: i
     )
 
 
+def _pair_totals(pairs: DataFrame, asking: DataFrame, distinct: DataFrame) -> DataFrame:
+    """`q, c, members, total` of few pairs, from both vectors of each; sent to cells, all vectors would travel for them."""
+    products = F.zip_with("asked", "vec", lambda a, b: a.cast("long") * b.cast("long"))
+    return (
+        pairs.join(asking.select(F.col("uid").alias("q"), F.col("vec").alias("asked")), "q")
+        .join(distinct.select(F.col("uid").alias("c"), "members", "vec"), "c")
+        .select("q", "c", "members", F.aggregate(products, F.lit(0).cast("long"), lambda a, b: a + b).alias("total"))
+    )
+
+
 def _totals(entries: DataFrame, cells, nodes: int) -> DataFrame:
     """`q, c, total` of all pairs in stored `entries`; nodes that haven't sent a pair's local score are asked for it."""
     pairs = entries.groupBy("q", "c", "q_block", "c_block").agg(F.sum("local").alias("known"), F.collect_set("node").alias("sent"))

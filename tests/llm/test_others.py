@@ -131,6 +131,24 @@ def test_few_candidates_and_repeated_rows(spark):
     assert got == sorted([(0, 1, 0, 65536), (0, 2, 3, 32768)] * 2, key=repr)
 
 
+@pytest.mark.parametrize("scale,kind", [(256, "smallint"), (1 << 20, "int"), (3, "bigint")])
+def test_vectors_take_little_room(spark, scale, kind):
+    """Scores are the same whatever whole numbers the vectors are held as, also at the ends of a type's range."""
+    rows = [(i, [math.cos(i), math.sin(i), -1.0, 127.0 if kind == "smallint" else 2.0]) for i in range(40)]
+    rows[5] = (5, [-128.0 if kind == "smallint" else -2.0, 0.0, 0.0, 0.0])
+    if kind == "bigint":
+        rows[6] = (6, [2.0 ** 33, 0.0, 0.0, 1.0])
+    whole = [[math.floor(scale * x) for x in v] for _, v in rows]
+    assert uniform_topk._narrowest(min(map(min, whole)), max(map(max, whole))) == kind
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = as_rows(uniform_topk.top_k(frame, F.col("vec_id") % 5 == 0, 3, scale=scale, cell_queries=3, cell_candidates=7), "query_id", "rank", "vec_id", "score")
+    plain = []
+    for q in range(0, 40, 5):
+        best = sorted((-sum(a * b for a, b in zip(whole[q], whole[c])), c) for c in range(40) if c != q)[:3]
+        plain += [(q, r, c, -score) for r, (score, c) in enumerate(best, 1)]
+    assert got == sorted(plain, key=repr)
+
+
 def test_copies_are_searched_once(spark, monkeypatch):
     rnd = np.random.default_rng(3)
     rows = [(i, [float(np.float32(x)) for x in rnd.normal(size=4)]) for i in range(60)]
