@@ -19,6 +19,7 @@ from ledgerweb.llm.common import ranges, text_batches, texts_of
 
 PROFILE = 300
 SAMPLE = 4000   # labelled documents a language is learned from, about; all where there are fewer
+LANGUAGES = 10_000  # languages that may be learned: the driver and every worker hold their profiles
 UNDETERMINED = "und"
 BATCH_BYTES = 4 << 20
 SPACE = 0
@@ -66,18 +67,18 @@ def profile(points: np.ndarray, size: int) -> np.ndarray:
     return found[np.lexsort((found, -counts))][:size]
 
 
-def learn(docs: DataFrame, profile_size: int = PROFILE, sample: int = SAMPLE) -> dict[str, np.ndarray]:
+def learn(docs: DataFrame, profile_size: int = PROFILE, sample: int = SAMPLE, languages: int = LANGUAGES) -> dict[str, np.ndarray]:
     """Profiles of the languages in `docs(doc_id, text, lang)`; rows without language are left out.
 
     Fitted on about `sample` documents of each language, chosen by a hash of their id and text (a documented bound:
-    the profile is a list of 300 entries). Every language is learned, however many there are; the driver and each worker
-    hold all profiles. N-gram counts are summed before they are shuffled.
+    the profile is a list of 300 entries). Every language is learned; as the driver and each worker
+    hold all profiles, more than `languages` of them raise an error. N-gram counts are summed before they are shuffled.
     """
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    share = {
-        row["lang"]: min(1.0, sample / row["n"])
-        for row in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
-    }
+    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(languages + 1).collect()
+    if len(counts) > languages:
+        raise ValueError(f"more than {languages} languages: raise `languages` if the driver and the workers can hold their profiles")
+    share = {row["lang"]: min(1.0, sample / row["n"]) for row in counts}
     if not share:
         return {}
     spark = docs.sparkSession
@@ -102,11 +103,9 @@ def learn(docs: DataFrame, profile_size: int = PROFILE, sample: int = SAMPLE) ->
 
     counted = chosen.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    rows = counted.withColumn("place", rank).filter(F.col("place") <= profile_size).select("lang", "gram", "place").collect()
-    profiles: dict[str, list] = {}
-    for row in sorted(rows, key=lambda r: (r["lang"], r["place"])):
-        profiles.setdefault(row["lang"], []).append(row["gram"])
-    return {lang: np.array(codes, dtype=np.int64) for lang, codes in profiles.items()}
+    ranked = counted.withColumn("place", rank).filter(F.col("place") <= profile_size)
+    rows = ranked.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "gram")))["gram"].alias("grams")).collect()
+    return {row["lang"]: np.array(row["grams"], dtype=np.int64) for row in rows}
 
 
 class Identifier:
