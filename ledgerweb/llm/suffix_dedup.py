@@ -19,10 +19,11 @@ A string of `length` bytes that starts at two places is found like this:
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerweb.llm import blocks
@@ -439,18 +440,19 @@ def without(text: bytes, spans: np.ndarray) -> bytes:
     return b"".join([*kept, text[at:]])
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, result: str = "kept", hot: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, result: str = "kept", hot: int = HOT, carried: Sequence[Column] = ()) -> DataFrame:
     """Every row of `docs(doc_id, text)` without the bytes of strings of `length` bytes that start anywhere else too.
 
     The row's key, `doc_id, n_bytes, n_removed, n_spans`, and by `result` the remaining bytes (`kept`), their sha256 (`kept_sha256`) or the text
     they make (`kept_text`, without characters of which a cut left a part). Texts count as UTF-8, null as empty; matches never cross texts, and every one is judged on the input: all copies go, overlapping
-    ones too. Repeated ids and rows are texts of their own. Texts shorter than `length` stay as they are. Other columns are ignored; no
-    documents give no rows. `length` is a multiple of 16, of 64 at least.
+    ones too. Repeated ids and rows are texts of their own. Texts shorter than `length` stay as they are. Columns of `docs`
+    given as `carried`, under names of their own, follow at the end; others are ignored. No documents give no rows. `length` is a multiple of 16, of 64 at least.
     """
     if length % SYMBOL or length < 2 * GRAM:
         raise ValueError("length has to be a multiple of 16 and 64 at least")
     buckets = blocks.bucket_count(docs)
-    wanted = keyed(docs, F.col("doc_id").cast("long").alias("doc_id"), "text")
+    wanted = keyed(docs, F.col("doc_id").cast("long").alias("doc_id"), "text", *carried)
+    more = docs.select(*carried).dtypes if carried else []
 
     def make(batch):
         return find_block([(t or "").encode("utf-8", "surrogatepass") for t in batch.column("text").to_pylist()], length, buckets)
@@ -472,7 +474,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, result: str = "kept",
             "n_removed": pa.array([int((s[:, 1] - s[:, 0]).sum()) for s in spans], pa.int64()),
             "n_spans": pa.array([len(s) for s in spans], pa.int64()),
             result: pa.array(last, pa.binary() if result == "kept" else pa.string()),
+            **{c: keys.column(c).combine_chunks() for c, _ in more},
         })
 
     schema = f"{ROW[0]} long, {ROW[1]} long, doc_id long, n_bytes long, n_removed long, n_spans long, "
-    return blocks.finish(blocks.answered(body, states, hits), each, f"{schema}{result} {RESULTS[result][0]}")
+    ends = "".join(f", `{c}` {t}" for c, t in more)
+    return blocks.finish(blocks.answered(body, states, hits), each, f"{schema}{result} {RESULTS[result][0]}{ends}")

@@ -147,6 +147,8 @@ def test_more_than_a_thousand_languages(spark):
     assert len(profiles) == 1003
     found = lang_profiles.identify(docs, profiles).filter("lang != lang_pred").count()
     assert found == 0
+    with pytest.raises(ValueError, match="more than 1002 languages"):
+        lang_profiles.learn(docs, languages=1002)
 
 
 def test_profile_is_by_count_then_code():
@@ -294,6 +296,17 @@ def test_no_repeats_of_nothing(no_docs):
     assert suffix_dedup.remove_repeats(no_docs).count() == 0
 
 
+def test_repeats_carry_columns(spark, messy_docs):
+    """Carried columns stay with their rows, whatever their types, and change nothing else."""
+    docs = messy_docs.withColumn("n_removed", F.struct("doc_id", F.array("lang", F.col("source")).alias("both")))
+    carried = [F.col("n_removed").alias("more"), F.lit(1).cast("decimal(9,2)").alias("odd name"), F.current_date().alias("day")]
+    found = suffix_dedup.remove_repeats(docs, 64, "kept_sha256", carried=carried)
+    assert found.columns[-3:] == ["more", "odd name", "day"]
+    assert found.filter(~F.col("more.doc_id").eqNullSafe(F.col("doc_id"))).count() == 0
+    columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    assert as_rows(found, *columns) == as_rows(suffix_dedup.remove_repeats(docs, 64, "kept_sha256"), *columns)
+
+
 def test_open_borders_are_long_common_prefixes():
     rnd = np.random.default_rng(3)
     for n, symbols, depth in ((300, 2, 5), (500, 3, 8), (64, 40, 3)):
