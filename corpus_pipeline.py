@@ -55,15 +55,14 @@ def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """
     prepare_workers(spark)
     lower = [c.lower() for c in docs.columns]
-    rest = [c for c, low in zip(docs.columns, lower, strict=True) if low not in ("text", "n_chars")]
-    rows, names = _whole_rows(docs, *rest)
-    kept = suffix_dedup.remove_repeats(docs, suffix_dedup.PASSAGE, "kept_text").select(*ROW, "kept_text")
-    whole = dict(zip(rest, names, strict=True))
+    whole = {c: f"column_{i}" for i, (c, low) in enumerate(zip(docs.columns, lower, strict=True)) if low not in ("text", "n_chars")}
+    kept = suffix_dedup.remove_repeats(
+        docs, suffix_dedup.PASSAGE, "kept_text", carried=[F.col(f"`{c}`").alias(n) for c, n in whole.items()])
     columns = []
     for name, low in zip(docs.columns, lower, strict=True):
         value = F.col("kept_text") if low == "text" else F.char_length("kept_text").cast(docs.schema[name].dataType) if low == "n_chars" else F.col(whole[name])
         columns.append(value.alias(name))
-    return rows.join(kept, ROW).select(*columns)
+    return kept.select(*columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
