@@ -3,8 +3,9 @@
 The components of all vectors are dealt to a few nodes; a candidate's score is the sum of its local scores there.
 Phase 1 gathers each node's k best local scores of a query and takes the k-th best total among the candidates seen as a
 safe bound; these few totals, k candidates a node at most, are taken from the vectors of each pair. Phase 2 hands each query's cutoff, the bound divided by the number of nodes, to all nodes, which
-send every entry that reaches it: whoever is below it everywhere can't reach the bound. Phase 3 asks the nodes for
-the local scores still unknown of the candidates that can reach the bound, and ranks exact totals.
+send every entry that reaches it: whoever is below it everywhere can't reach the bound. Phase 3 tells each node
+what the others sent; it adds its own local score and keeps the pairs that can still reach the bound, a node that sent nothing
+being below the cutoff. On two nodes those are the pairs that do reach it. Their totals are taken from both vectors and ranked.
 
 A node's work is cut into cells of some queries and some candidates, dealt by Spark, and done as a block of a matrix
 product; queries, candidates and cutoffs are shuffled to the cells, since all of them grow with the data.
@@ -31,6 +32,9 @@ ENTRY = "q long, c long, node int, q_block int, c_block int, local long"
 ENTRY_ARROW = pa.schema([("q", pa.int64()), ("c", pa.int64()), ("node", pa.int32()), ("q_block", pa.int32()),
                          ("c_block", pa.int32()), ("local", pa.int64())])
 
+PAIR = "q long, c long"
+PAIR_ARROW = pa.schema([("q", pa.int64()), ("c", pa.int64())])
+
 
 def scaled(vectors: DataFrame, scale: int = 256) -> DataFrame:
     """`uid, vec_id, vec`: whole numbers floor(scale * x) of the vectors that take part, each row with a number of its own.
@@ -123,18 +127,25 @@ def reaching(cell: pa.Table, nodes: int) -> pa.Table:
     return _entries(cell, asking[q], ids[c], scores[q, c])
 
 
-def asked_for(cell: pa.Table, wanted: pa.Table) -> pa.Table:
-    """Phase 3: the local scores of the wanted pairs."""
-    if not len(wanted) or not len(cell):
-        return ENTRY_ARROW.empty_table()
+def possible(cell: pa.Table, told: pa.Table, nodes: int) -> pa.Table:
+    """Phase 3: of the pairs that other nodes sent, those that can reach the query's bound with the local score here."""
+    if not len(told) or not len(cell):
+        return PAIR_ARROW.empty_table()
     queries, candidates = _split(cell)
     asking, ids = queries.column("uid").to_numpy(), candidates.column("uid").to_numpy()
     by_q, by_c = np.argsort(asking), np.argsort(ids)
-    q, c = wanted.column("q").to_numpy(), wanted.column("c").to_numpy()
-    left = _matrix(queries)[by_q[np.searchsorted(asking[by_q], q)]]
-    right = _matrix(candidates)[by_c[np.searchsorted(ids[by_c], c)]]
-    _bound(left, right)
-    return _entries(cell, q, c, np.einsum("ij,ij->i", left, right))
+    q = by_q[np.searchsorted(asking[by_q], told.column("q").to_numpy())]
+    c = by_c[np.searchsorted(ids[by_c], told.column("c").to_numpy())]
+    pair, which, senders = np.unique(q * len(ids) + c, return_inverse=True, return_counts=True)
+    q, c = pair // len(ids), pair % len(ids)
+    most = _products(_matrix(queries), _matrix(candidates))[q, c]
+    np.add.at(most, which, told.column("local").to_numpy())
+    bound = queries.column("bound")
+    none, bound = bound.is_null().to_numpy()[q], bound.fill_null(0).to_numpy()[q]
+    # Nodes that sent nothing are at least one below the cutoff.
+    most += (nodes - 1 - senders) * (-(-bound // nodes) - 1)
+    kept = none | (most >= bound)
+    return pa.table([pa.array(asking[q[kept]]), pa.array(ids[c[kept]])], schema=PAIR_ARROW)
 
 
 def top_k(vectors: DataFrame, is_query, k: int = 5, nodes: int = NODES, scale: int = 256,
@@ -196,11 +207,18 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, nodes: int = NODES, scale: i
         "bounds")
     # Phases 2 and 3.
     sent = stored(cells(bounds).groupBy(*CELL).applyInArrow(lambda cell: reaching(cell, nodes), ENTRY), "reaching")
-    totals = _totals(sent, cells, nodes)
-    members = distinct.select(F.col("uid").alias("c"), F.col("ranked.vec_id").alias("ids"), F.col("ranked.uid").alias("rows"))
+    pairs = sent.select("q", "c")
+    if nodes > 1:
+        others = F.array_except(F.array(*[F.lit(n).cast("int") for n in range(nodes)]), F.array("node"))
+        told = sent.select("q", "c", "local", "q_block", "c_block", F.explode(others).alias("node"))
+        pairs = (
+            cells(bounds).groupBy(*CELL).cogroup(told.groupBy(*CELL))
+            .applyInArrow(lambda cell, told: possible(cell, told, nodes), PAIR).distinct()
+        )
     reached = (
-        totals.join(bounds.withColumnRenamed("uid", "q"), "q", "left").filter(F.col("bound").isNull() | (F.col("total") >= F.col("bound")))
-        .join(members, "c").select("q", "total", F.inline(F.arrays_zip("ids", "rows")))
+        _pair_totals(pairs, asking, distinct).join(bounds.withColumnRenamed("uid", "q"), "q", "left")
+        .filter(F.col("bound").isNull() | (F.col("total") >= F.col("bound")))
+        .select("q", "total", F.inline(F.arrays_zip(F.col("ranked.vec_id").alias("ids"), F.col("ranked.uid").alias("rows"))))
     )
     place = F.row_number().over(W.partitionBy("q").orderBy(F.desc("total"), F.asc_nulls_last("ids"), "rows"))
     # One more than k, as each query then leaves out its own row.
@@ -215,21 +233,10 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, nodes: int = NODES, scale: i
 
 
 def _pair_totals(pairs: DataFrame, asking: DataFrame, distinct: DataFrame) -> DataFrame:
-    """`q, c, members, total` of few pairs, from both vectors of each; sent to cells, all vectors would travel for them."""
+    """`q, c, members, ranked, total` of few pairs, from both vectors of each; sent to cells, all vectors would travel for them."""
     products = F.zip_with("asked", "vec", lambda a, b: a.cast("long") * b.cast("long"))
     return (
         pairs.join(asking.select(F.col("uid").alias("q"), F.col("vec").alias("asked")), "q")
-        .join(distinct.select(F.col("uid").alias("c"), "members", "vec"), "c")
-        .select("q", "c", "members", F.aggregate(products, F.lit(0).cast("long"), lambda a, b: a + b).alias("total"))
-    )
-
-
-def _totals(entries: DataFrame, cells, nodes: int) -> DataFrame:
-    """`q, c, total` of all pairs in stored `entries`; nodes that haven't sent a pair's local score are asked for it."""
-    pairs = entries.groupBy("q", "c", "q_block", "c_block").agg(F.sum("local").alias("known"), F.collect_set("node").alias("sent"))
-    every = F.array(*[F.lit(n).cast("int") for n in range(nodes)])
-    wanted = pairs.select("q", "c", "q_block", "c_block", F.explode(F.array_except(every, "sent")).alias("node"))
-    resolved = (
-        cells().groupBy(*CELL).cogroup(wanted.groupBy(*CELL)).applyInArrow(lambda cell, pairs: asked_for(cell, pairs), ENTRY)
+        .join(distinct.select(F.col("uid").alias("c"), "members", "ranked", "vec"), "c")
+        .select("q", "c", "members", "ranked", F.aggregate(products, F.lit(0).cast("long"), lambda a, b: a + b).alias("total"))
     )
-    return entries.unionByName(resolved).groupBy("q", "c").agg(F.sum("local").alias("total"))
