@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerweb.functions.lineage import cut
+from ledgerweb.functions.jobs import at_once
+from ledgerweb.functions.lineage import cut, stored
 from ledgerweb.operators import graph
 from ledgerweb.operators.components import component_labels
 from ledgerweb.operators.triangles import triangle_counts
@@ -26,8 +27,12 @@ def from_edges(e: DataFrame, mode: str = "true") -> DataFrame:
     if mode != "true":
         raise ValueError(f"unknown feature mode {mode!r}")
     index = graph.index_links(e)
-    clusters = component_labels(e, index).select("id", "cluster_size")
-    joined = base.join(clusters, "id", "left").join(triangle_counts(e, index), "id", "left")
+    # Both need the links alone. The many short jobs of one leave room for the other's few long tasks.
+    clusters, triangles = at_once(
+        e.sparkSession,
+        lambda: component_labels(e, index).select("id", "cluster_size"),
+        lambda: stored(triangle_counts(e, index), "triangles"))
+    joined = base.join(clusters, "id", "left").join(triangles, "id", "left")
     return joined.select(
         "id", *FEATURES[:5], "cluster_size", F.coalesce("triangle_count", F.lit(0)).cast("bigint").alias("triangle_count")
     )
