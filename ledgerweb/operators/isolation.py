@@ -1,23 +1,25 @@
 """Anomaly scores from an isolation forest (Liu, Ting and Zhou, ICDM 2008).
 
 An account that few random cuts set apart is unlike the others. Trees are grown on samples of a fixed size, drawn by a hash of the id, so
-the driver holds `trees * sample` rows at most whatever the number of accounts; all accounts are then scored by Column expressions.
+the driver holds `trees * sample` rows at most whatever the number of accounts; all accounts are then scored in Arrow batches, a few
+array operations for each level of a tree.
 """
 
 from __future__ import annotations
 
-import json
 import math
 import random
+from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TREES = 100
 SAMPLE = 256
 SCORE = "anomaly_score"
-TREE = "struct<feature:array<int>,cut:array<double>,low:array<int>,high:array<int>,steps:array<double>>"
 
 
 def usual_steps(rows: int) -> float:
@@ -87,23 +89,29 @@ def fit(df: DataFrame, columns: list[str], trees: int = TREES, sample: int = SAM
     return Forest(list(columns), made, max(each, 1))
 
 
+def _summed_steps(forest: Forest) -> Callable[..., pd.Series]:
+    """The steps that rows take through all trees, added up tree by tree; all rows of a batch go down a tree level by level."""
+    trees = [(np.maximum(feature, 0), np.array(cut), np.stack([low, high], axis=1).ravel(), np.array(steps)) for feature, cut, low, high, steps in forest.trees]
+    depth = forest.depth
+
+    def summed(*inputs: pd.Series) -> pd.Series:
+        rows = len(inputs[0])
+        x, row, total = np.concatenate([i.to_numpy() for i in inputs]), np.arange(rows), np.zeros(rows)
+        for feature, cut, below, steps in trees:
+            first, node = feature * rows, np.zeros(rows, dtype=np.int64)
+            for _ in range(depth):
+                # Below a leaf lies the leaf itself.
+                node = below.take(2 * node + (x.take(first.take(node) + row) >= cut.take(node)))
+            total += steps.take(node)
+        return pd.Series(total)
+
+    return summed
+
+
 def score(df: DataFrame, forest: Forest) -> DataFrame:
     """`df` with `anomaly_score`, from 0 to 1: near 1 for rows that are soon alone, 0.5 for usual ones. Null without trees."""
     if not forest.trees:
         return df.withColumn(SCORE, F.lit(None).cast("double"))
-    # The forest has a fixed size; Spark folds it to one constant of the plan.
-    names = ("feature", "cut", "low", "high", "steps")
-    model = F.from_json(F.lit(json.dumps([dict(zip(names, t, strict=True)) for t in forest.trees])), f"array<{TREE}>")
-    inputs = F.array(*_inputs(forest.columns))
     usual = usual_steps(forest.sample) or 1.0
-
-    def steps(tree: Column, x: Column) -> Column:
-        def down(node: Column, _: Column) -> Column:
-            below = x[F.greatest(tree["feature"][node], F.lit(0))] < tree["cut"][node]
-            return F.when(tree["feature"][node] < 0, node).when(below, tree["low"][node]).otherwise(tree["high"][node])
-
-        return tree["steps"][F.aggregate(F.sequence(F.lit(1), F.lit(forest.depth)), F.lit(0), down)]
-
-    ready = df.select("*", inputs.alias("_inputs"))
-    total = F.aggregate(F.transform(model, lambda t: steps(t, F.col("_inputs"))), F.lit(0.0), lambda s, n: s + n)
-    return ready.withColumn(SCORE, F.pow(F.lit(2.0), -total / (len(forest.trees) * usual))).drop("_inputs")
+    total = F.pandas_udf(_summed_steps(forest), "double")(*_inputs(forest.columns))
+    return df.withColumn(SCORE, F.pow(F.lit(2.0), -total / (len(forest.trees) * usual)))

@@ -59,6 +59,22 @@ def test_forest_is_drawn_alike_and_bounded(spark):
     assert len(alike) == 1
 
 
+def test_rows_go_down_the_trees_in_batches(spark):
+    """Extreme values go as in the walk, and no row is interpreted node by node."""
+    ends = [float("inf"), float("-inf"), -0.0, 0.0, 5e-324, -1.7e308]
+    rows = [(f"e{i}", x, y) for i, (x, y) in enumerate((x, y) for x in ends for y in ends)] + [(f"a{i}", float(i % 97), float(i % 89)) for i in range(25_000)]
+    df = spark.createDataFrame(rows, "id string, x double, y double").repartition(1)
+    forest = isolation.fit(df.filter("id LIKE 'a%'"), ["x", "y"], 20, 128)
+    scored = isolation.score(df, forest)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "lambda" not in plan
+    got = {r["id"]: r[isolation.SCORE] for r in scored.collect()}
+    usual = isolation.usual_steps(forest.sample)
+    assert len(got) == len(rows)
+    for name, *row in rows[:200]:
+        assert abs(got[name] - 2 ** (-sum(plain_steps(t, row) for t in forest.trees) / 20 / usual)) < 1e-12
+
+
 def plain_decayed(rows, half_life):
     epoch = half_life * temporal.EPOCH
     out = {}
