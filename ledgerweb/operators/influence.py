@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,30 +31,68 @@ def risk_walk(e: DataFrame, risky: DataFrame, weight: str = "transaction_count",
     always where nothing is paid on, goes back to a risky account, each as likely. All shares add up to 1. Power iteration
     on stored rounds ends when a round moves less than `tolerance` in all; each round shrinks that by `damping`. Without a risky
     account in the graph all risks are 0.
+
+    An account that nobody pays is only reached by going back: its risk is its seed times a number that all such accounts share. So what they pay on
+    is summed once, and rounds only run over payments of accounts that are paid themselves; what other accounts get follows from two numbers a round.
     """
-    accounts, arcs = _numbered(e, weight)
-    seeds = stored(risky.select("id").distinct().join(accounts, "id").select("vid"), "seeds")
-    seeded = seeds.count()
+    whole = F.col("src").isNotNull() & F.col("dst").isNotNull()
+    known = e.select("src", "dst", F.when(whole, F.col(weight).cast("double")).alias("weight"), whole.alias("whole"))
+    ends = known.select(F.inline(F.array(
+        F.struct(F.col("src").alias("id"), F.col("weight").alias("out"), F.lit(False).alias("is_paid")),
+        F.struct(F.col("dst").alias("id"), F.lit(None).cast("double").alias("out"), F.col("whole").alias("is_paid")))))
+    accounts = stored(
+        ends.groupBy("id").agg(F.coalesce(F.sum("out"), F.lit(0.0)).alias("paid"), F.max("is_paid").alias("is_paid"))
+        .join(risky.select("id", F.lit(True).alias("risky")).distinct(), "id", "left").withColumn("risky", F.coalesce("risky", F.lit(False))), "accounts")
+    seeded = accounts.filter("risky").count()
     if not seeded:
         return accounts.select("id", F.lit(0.0).alias("risk"))
-    paid = arcs.groupBy(F.col("s").alias("payer")).agg(F.sum("weight").alias("paid")).filter("paid > 0")
-    shares = stored(arcs.join(stored(paid, "paid"), F.col("s") == F.col("payer")).select("s", "t", (F.col("weight") / F.col("paid")).alias("share")), "shares")
-    start = accounts.select("vid").join(seeds.withColumn("seed", F.lit(1.0 / seeded)), "vid", "left")
-    passes_on = shares.select(F.col("s").alias("vid")).distinct().withColumn("passes_on", F.lit(True))
-    fixed = stored(start.join(passes_on, "vid", "left").select(
-        "vid", F.coalesce("seed", F.lit(0.0)).alias("seed"), F.coalesce("passes_on", F.lit(False)).alias("passes_on")), "fixed")
-    now = stored(fixed.select("*", F.col("seed").alias("risk"), F.lit(1.0).alias("step")), "risk")
+    seed = F.lit(1.0 / seeded)
+    speaking = accounts.filter("paid > 0 AND (is_paid OR risky)").select(F.col("id").alias("src"), "paid", "is_paid")
+    shares = stored(
+        known.filter("whole").join(speaking, "src").select("src", "dst", (F.col("weight") / F.col("paid")).alias("share"), "is_paid"), "shares")
+    inner = shares.filter("is_paid")
+    nothing, no = F.lit(0.0), F.lit(False)
+    parts = [
+        accounts.filter("risky").select("id", seed.alias("seed"), nothing.alias("got"), (F.col("paid") > 0).alias("passes_on"), no.alias("inner")),
+        shares.filter("NOT is_paid").groupBy(F.col("dst").alias("id")).agg(F.sum(seed * F.col("share")).alias("got"))
+        .select("id", nothing.alias("seed"), "got", no.alias("passes_on"), no.alias("inner")),
+        inner.select(F.col("src").alias("id"), nothing.alias("seed"), nothing.alias("got"), F.lit(True).alias("passes_on"), F.lit(True).alias("inner")),
+        inner.select(F.col("dst").alias("id"), nothing.alias("seed"), nothing.alias("got"), no.alias("passes_on"), F.lit(True).alias("inner")),
+    ]
+    reached = reduce(DataFrame.unionByName, parts).groupBy("id").agg(
+        F.sum("seed").alias("seed"), F.coalesce(F.sum("got"), nothing).alias("got"), F.max("passes_on").alias("passes_on"), F.max("inner").alias("inner"))
+    reached = stored(reached.withColumn("vid", F.monotonically_increasing_id()), "reached")
+    still, numbers = reached.filter("NOT inner").select("seed", "got", "passes_on"), reached.filter("inner").select("id", "vid")
+    arcs = stored(
+        inner.join(numbers.select(F.col("id").alias("src"), F.col("vid").alias("s")), "src")
+        .join(numbers.select(F.col("id").alias("dst"), F.col("vid").alias("t")), "dst").select("s", "t", "share"), "arcs")
+    seeds, got, passing = still.agg(*[F.coalesce(F.sum(c), nothing) for c in (F.col("seed"), F.col("got"), F.when(F.col("passes_on"), F.col("seed")))]).first()
+
+    def apart(of_seed: float, of_got: float) -> float:
+        """How much the accounts outside the rounds have moved."""
+        if of_seed * of_got >= 0:
+            return abs(of_seed) * seeds + abs(of_got) * got
+        return still.agg(F.coalesce(F.sum(F.abs(F.col("seed") * of_seed + F.col("got") * of_got)), nothing)).first()[0]
+
+    now = stored(reached.filter("inner").select("vid", "seed", "got", "passes_on", F.col("seed").alias("risk"), F.lit(1.0).alias("step")), "risk")
+    # A seed's risk outside the rounds is its seed times `back`; one of the round before has paid `got` times `before`.
+    back, before, moved_apart = 1.0, 0.0, float(reached.filter("NOT inner").count())
     for _ in range(max_rounds):
-        passed, moved = now.agg(F.coalesce(F.sum(F.when(F.col("passes_on"), F.col("risk"))), F.lit(0.0)), F.sum("step")).first()
-        if moved < tolerance:
-            return accounts.join(now.select("vid", "risk"), "vid").select("id", "risk")
+        passed, moved = now.agg(F.coalesce(F.sum(F.when(F.col("passes_on"), F.col("risk"))), nothing), F.coalesce(F.sum("step"), nothing)).first()
+        if moved + moved_apart < tolerance:
+            risks = reached.join(now.select("vid", "risk"), "vid", "left").select(
+                "id", F.coalesce("risk", F.col("seed") * back + F.col("got") * (damping * before)).alias("risk"))
+            return accounts.select("id").join(risks, "id", "left").select("id", F.coalesce("risk", nothing).alias("risk"))
         come = (
-            shares.join(now.select(F.col("vid").alias("s"), "risk").filter("risk > 0"), "s").groupBy(F.col("t").alias("vid"))
+            arcs.join(now.select(F.col("vid").alias("s"), "risk").filter("risk > 0"), "s").groupBy(F.col("t").alias("vid"))
             .agg(F.sum(F.col("risk") * F.col("share")).alias("come"))
         )
         # What does not move along a payment goes back to the seeds.
-        risk = F.col("seed") * (1 - damping * passed) + F.coalesce("come", F.lit(0.0)) * damping
-        now = stored(now.join(come, "vid", "left").select("vid", "seed", "passes_on", risk.alias("risk"), F.abs(risk - F.col("risk")).alias("step")), "risk")
+        again = 1 - damping * (passed + passing * back)
+        risk = F.col("seed") * again + (F.coalesce("come", nothing) + F.col("got") * back) * damping
+        now = stored(now.join(come, "vid", "left").select("vid", "seed", "got", "passes_on", risk.alias("risk"), F.abs(risk - F.col("risk")).alias("step")), "risk")
+        moved_apart = apart(again - back, damping * (back - before))
+        back, before = again, back
     raise NotConverged(f"risk did not settle within {max_rounds} rounds")
 
 

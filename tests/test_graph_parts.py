@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from ledgerweb.functions.lineage import stored
 from ledgerweb.operators import augment, cores, graph, influence, rings, strong
 from ledgerweb.operators.components import NotConverged
 from tests.helpers import brute_cycles, by_id, random_pairs, tx
@@ -260,6 +261,26 @@ def brute_communities(pairs, rounds):
     return label
 
 
+def test_risk_walk_repeats_only_payments_of_accounts_that_are_paid(spark, monkeypatch):
+    """Payers that nobody pays, and payees that pay nobody, are followed by two numbers a round; risks are as by the plain walk."""
+    pairs = [(f"o{i}", f"c{i % 40}") for i in range(400)] + [("a", "b"), ("b", "a"), ("b", "c1"), ("o1", "a"), ("a", "a")]
+    risky = ["o1", "o2", "c2", "c5", "b", "gone"]
+    rows = {}
+
+    def counted(df, name):
+        df = stored(df, name)
+        if name in ("risk", "arcs"):
+            rows.setdefault(name, []).append(df.count())
+        return df
+
+    monkeypatch.setattr(influence, "stored", counted)
+    found = influence.risk_walk(edges(spark, pairs), spark.createDataFrame([(r,) for r in risky], "id string"), tolerance=1e-6)
+    got = by_id(found, "risk")
+    wanted = brute_walk(pairs, set(risky), 0.85)
+    assert set(got) == set(wanted) and all(abs(got[i] - wanted[i]) < 1e-5 for i in wanted)
+    assert max(rows["risk"]) == 3 and rows["arcs"] == [4]
+
+
 @pytest.mark.parametrize("name,rounds", [("all", 10), ("dense", 1), ("loops alone", 2)])
 def test_communities(spark, name, rounds):
     pairs = ALL if name == "all" else GRAPHS[name]
