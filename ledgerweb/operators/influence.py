@@ -14,12 +14,12 @@ from ledgerweb.operators.graph import nodes
 
 
 def _numbered(e: DataFrame, weight: str) -> tuple[DataFrame, DataFrame]:
-    """Stored `accounts(vid, id)`, numbered in the order of their ids, and `arcs(s, t, weight)`."""
+    """Stored `accounts(vid, id)`, numbered in the order of their ids, and `arcs(s, t, weight)`, not stored."""
     accounts = stored(global_rank(nodes(e), [F.col("id")], "vid").select("vid", "id"), "accounts")
-    arcs = stored(
+    arcs = (
         e.select("src", "dst", F.col(weight).cast("double").alias("weight"))
         .join(accounts.select(F.col("id").alias("src"), F.col("vid").alias("s")), "src")
-        .join(accounts.select(F.col("id").alias("dst"), F.col("vid").alias("t")), "dst").select("s", "t", "weight"), "arcs")
+        .join(accounts.select(F.col("id").alias("dst"), F.col("vid").alias("t")), "dst").select("s", "t", "weight"))
     return accounts, arcs
 
 
@@ -102,30 +102,57 @@ def communities(e: DataFrame, weight: str = "transaction_count", rounds: int = 1
     All accounts at once take the label that weighs most among their neighbours, payments either way, and themselves, with the
     weight of their heaviest neighbour; of equally heavy ones the smallest. A community is named after the account whose label it bears.
     A hub's neighbours are summed by label before they meet.
+
+    An account with a single neighbour hears that one's label as loud as its own, so it bears the smallest of its own number and all labels
+    the neighbour has had. Rounds keep that smallest label with the neighbour, and labels of the other accounts alone.
     """
     accounts, arcs = _numbered(e, weight)
-    ties = stored(_ties(arcs), "ties")
-    labels = stored(accounts.select("vid", F.col("vid").alias("label")), "labels")
-    own = stored(ties.groupBy("v").agg(F.max("weight").alias("own")), "own")
+    pairs = stored(_pairs(arcs), "pairs")
+    ends = pairs.select("weight", F.explode(F.array("a", "b")).alias("vid"))
+    own = stored(ends.groupBy("vid").agg(F.max("weight").alias("own"), F.count(F.lit(1)).alias("n")), "own")
+    counts = own.select("vid", (F.col("n") == 1).alias("single"))
+    sided = stored(
+        pairs.join(counts.withColumnsRenamed({"vid": "a", "single": "single_a"}), "a").join(counts.withColumnsRenamed({"vid": "b", "single": "single_b"}), "b"), "sided")
+    # Of two accounts that only know one another, neither is followed through the other.
+    leaf_a, leaf_b = F.col("single_a") & ~F.col("single_b"), F.col("single_b") & ~F.col("single_a")
+    leaves = sided.filter(leaf_a | leaf_b).select(
+        F.when(leaf_a, F.col("b")).otherwise(F.col("a")).alias("v"), F.when(leaf_a, F.col("a")).otherwise(F.col("b")).alias("leaf"), "weight")
+    inner = sided.filter(~(leaf_a | leaf_b))
+    ties = stored(_both_ways(inner.select("a", "b", "weight")), "ties")
+    followed = own.filter("n > 1").select("vid", "own").unionByName(
+        inner.filter("single_a").select("weight", F.explode(F.array("a", "b")).alias("vid")).select("vid", F.col("weight").alias("own")))
+    # No leaf has heard anything yet: numbers are smaller than this.
+    labels = stored(followed.select("vid", "own", F.col("vid").alias("label"), F.lit((1 << 63) - 1).alias("least")), "labels")
+    leaf_label = F.least("leaf", "least").alias("label")
     for _ in range(rounds):
         heard = ties.join(labels.select(F.col("vid").alias("other"), "label"), "other").select("v", "label", "weight")
-        kept = labels.join(own, F.col("vid") == F.col("v")).select("v", "label", F.col("own").alias("weight"))
-        by_label = heard.unionByName(kept).groupBy("v", "label").agg(F.sum("weight").alias("weight"))
+        told = leaves.join(labels.select(F.col("vid").alias("v"), "least"), "v").select("v", leaf_label, "weight")
+        kept = labels.select(F.col("vid").alias("v"), "label", F.col("own").alias("weight"))
+        by_label = heard.unionByName(told).unionByName(kept).groupBy("v", "label").agg(F.sum("weight").alias("weight"))
         chosen = stored(by_label.groupBy("v").agg(F.max(F.struct("weight", (-F.col("label")).alias("low"))).alias("best"))
                         .select(F.col("v").alias("vid"), (-F.col("best.low")).alias("new")), "chosen")
+        least = F.least("least", "label")
         labels = stored(
-            labels.join(chosen, "vid", "left").select("vid", F.coalesce("new", "label").alias("label"), (F.coalesce("new", "label") != F.col("label")).alias("moved")), "labels")
+            labels.join(chosen, "vid").select(
+                "vid", "own", F.col("new").alias("label"), least.alias("least"), ((F.col("new") != F.col("label")) | (least != F.col("least"))).alias("moved")), "labels")
         if labels.filter("moved").isEmpty():
             break
         labels = labels.drop("moved")
     heads = accounts.select(F.col("vid").alias("label"), F.col("id").alias("community"))
-    return labels.select("vid", "label").join(accounts, "vid").join(heads, "label").select("id", "community")
+    final = labels.select("vid", "label").unionByName(
+        leaves.join(labels.select(F.col("vid").alias("v"), "least"), "v").select(F.col("leaf").alias("vid"), leaf_label))
+    named = accounts.join(final, "vid", "left").select("id", F.coalesce("label", "vid").alias("label"))
+    return named.join(heads, "label").select("id", "community")
 
 
-def _ties(arcs: DataFrame) -> DataFrame:
-    """`v, other, weight` both ways, payments in either direction added up, loops left out."""
+def _pairs(arcs: DataFrame) -> DataFrame:
+    """`a, b, weight` with a < b, payments in either direction added up, loops left out."""
     low, high = F.least("s", "t"), F.greatest("s", "t")
-    pairs = arcs.filter("s != t").groupBy(low.alias("a"), high.alias("b")).agg(F.sum("weight").alias("weight"))
+    return arcs.filter("s != t").groupBy(low.alias("a"), high.alias("b")).agg(F.sum("weight").alias("weight"))
+
+
+def _both_ways(pairs: DataFrame) -> DataFrame:
+    """`v, other, weight` for either end."""
     return pairs.select("weight", F.inline(F.array(
         F.struct(F.col("a").alias("v"), F.col("b").alias("other")), F.struct(F.col("b").alias("v"), F.col("a").alias("other"))))).select("v", "other", "weight")
 

@@ -261,6 +261,26 @@ def brute_communities(pairs, rounds):
     return label
 
 
+def test_communities_repeat_only_accounts_with_several_neighbours(spark, monkeypatch):
+    """Accounts with one neighbour are followed through it, numbers above and below it alike; pairs on their own stay in the rounds."""
+    rnd = random.Random(5)
+    pairs = [(f"{rnd.choice('akz')}{i}", f"m{rnd.randrange(12)}") for i in range(200) for _ in range(rnd.randint(1, 3))]
+    pairs += [(a, b) for a, b, *_ in random_pairs(8, 20, 30)] + [("m1", "m2"), ("m2", "m3"), ("m3", "m1"), ("p", "q"), ("q", "p"), ("s", "r"), ("alone", "alone")]
+    several = {n for n, o in neighbours(pairs).items() if len(o) > 1}
+    rows = []
+
+    def counted(df, name):
+        df = stored(df, name)
+        if name == "labels":
+            rows.append(df.count())
+        return df
+
+    monkeypatch.setattr(influence, "stored", counted)
+    for rounds in (1, 2, 5):
+        assert by_id(influence.communities(edges(spark, pairs), rounds=rounds), "community") == brute_communities(pairs, rounds)
+    assert set(rows) == {len(several) + 4}
+
+
 def test_risk_walk_repeats_only_payments_of_accounts_that_are_paid(spark, monkeypatch):
     """Payers that nobody pays, and payees that pay nobody, are followed by two numbers a round; risks are as by the plain walk."""
     pairs = [(f"o{i}", f"c{i % 40}") for i in range(400)] + [("a", "b"), ("b", "a"), ("b", "c1"), ("o1", "a"), ("a", "a")]
