@@ -6,7 +6,7 @@ aggregate is already partitioned by its key, so Spark joins it as it is, and the
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -16,3 +16,11 @@ def reshuffled(key: str) -> Column:
     The aggregate has one row for each key, so this is the smaller side.
     """
     return F.col(key).bitwiseOR(F.lit(0))
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """The same rows in as many partitions as a shuffle has, by a hash of the keys.
+
+    For few rows that each make many: adaptive execution goes by their bytes and would leave the work to one task.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerweb.functions.amounts import money_sum
 from ledgerweb.functions.lineage import stored
+from ledgerweb.functions.skew import spread
 from ledgerweb.operators import components, graph, scoring
 from ledgerweb.schema import DEFAULT_SCORE, FEATURES, ScoreConfig
 from ledgerweb.streaming import state
@@ -71,7 +72,7 @@ def _new_triangles(now: DataFrame, new_links: DataFrame) -> DataFrame:
     # The neighbours of the end that has fewer are looked up at the other end.
     small = F.when(F.col("n_a") <= F.col("n_b"), F.col("a")).otherwise(F.col("b"))
     large = F.when(F.col("n_a") <= F.col("n_b"), F.col("b")).otherwise(F.col("a"))
-    wedges = sized.select(small.alias("a"), large.alias("other")).join(near.withColumnRenamed("b", "third"), "a")
+    wedges = spread(sized.select(small.alias("a"), large.alias("other")), "a", "other").join(near.withColumnRenamed("b", "third"), "a")
     closed = wedges.join(near.select(F.col("a").alias("other"), F.col("b").alias("third")), ["other", "third"], "left_semi")
     corners = F.array_sort(F.array("a", "other", "third"))
     return (

@@ -1,4 +1,5 @@
 import datetime as dt
+import itertools
 
 import pytest
 
@@ -7,7 +8,7 @@ from ledgerweb.operators import graph, scoring
 from ledgerweb.plans.queries import STREAM
 from ledgerweb.streaming import live, replay, state
 from pyspark.sql import functions as F
-from tests.helpers import random_pairs, tx
+from tests.helpers import by_id, random_pairs, tx
 
 START = dt.datetime(2024, 1, 1)
 
@@ -169,3 +170,15 @@ def test_a_row_without_slice_is_an_error(spark):
         list(replay.slices(spark.range(10), F.col("id").cast("int"), range(9)))
     with pytest.raises(ValueError):
         list(replay.slices(spark.range(10), F.lit(None).cast("int"), range(9)))
+
+
+def test_paths_to_new_triangles_are_spread(spark):
+    """A few links make many paths: they are dealt to all tasks of a shuffle, whatever their bytes."""
+    pairs = [(f"n{a}", f"n{b}") for a in range(12) for b in range(a)]
+    now = live._both_ends(graph.edges(tx(spark, pairs)))
+    links = graph.undirected(graph.edges(tx(spark, pairs[:5])))
+    found = live._new_triangles(now, links)
+    assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString()
+    whole = [set(c) for c in itertools.combinations(range(12), 3)]
+    fresh = [c for c in whole if any({int(a[1:]), int(b[1:])} <= c for a, b in pairs[:5])]
+    assert by_id(found, "more") == {f"n{i}": n for i in range(12) if (n := sum(i in c for c in fresh))}
