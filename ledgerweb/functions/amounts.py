@@ -11,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(24,8)"
+MONEY_SUM = "decimal(34,8)"  # what Spark's sum makes of it
 
 
 def money(col: str | Column) -> Column:

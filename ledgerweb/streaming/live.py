@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerweb.functions.amounts import money_sum
+from ledgerweb.functions.amounts import MONEY_SUM, money, money_sum
 from ledgerweb.functions.lineage import stored
 from ledgerweb.functions.skew import spread
 from ledgerweb.operators import components, graph, scoring
@@ -254,26 +254,30 @@ def live_velocity(stream: DataFrame, width: str = "1 hour", slide: str | None =
 def live_transaction_velocity(stream: DataFrame, seconds: int = 3600, late: str = "1 hour", key: str = "seq") -> DataFrame:
     """Per transaction, as `temporal.velocity`: count and amount its sender paid within the last `seconds`, itself included.
 
-    The stream meets itself, bounded in time: a transaction waits for others of its own second at most, and is remembered for
-    `seconds`; state goes when the watermark has passed that. A transaction's row comes out once, when no other can
-    join it any more. Rows later than `late` are dropped, as transactions and from the counts of others; `late_rows` says how many. `key` identifies a
-    transaction.
+    Transactions leave a first aggregation, whose groups are single ones, when the watermark has passed them. A second one gathers those of a sender in
+    windows of two time buckets of `seconds`, each starting one bucket after the one before: no window reaches further back than a bucket, so those of the later
+    bucket find all they count there. A transaction's row comes out once, when no other can join its window any more. Rows later than `late` are
+    dropped, as transactions and from the counts of others; `late_rows` says how many. `key` identifies a transaction.
     """
-    def side(prefix: str, *columns: str) -> DataFrame:
-        timed = stream.withWatermark("ts", late)
-        return timed.select(*[F.col(c).alias(f"{prefix}_{c}") for c in ("sender", "ts", *columns)], F.unix_timestamp("ts").alias(f"{prefix}_sec"))
-
-    one, other = side("one", key), side("other", "amount")
-    near = (
-        (F.col("one_sender") == F.col("other_sender"))
-        & (F.col("other_ts") >= F.col("one_ts") - F.make_dt_interval(secs=F.lit(seconds + 1))) & (F.col("other_ts") < F.col("one_ts") + F.make_dt_interval(secs=F.lit(1)))
-        & F.col("other_sec").between(F.col("one_sec") - seconds, F.col("one_sec"))
-    )
-    return (
-        one.join(other, near).groupBy(F.col(f"one_{key}").alias(key), F.col("one_sender").alias("sender"), "one_ts")
-        .agg(F.count(F.lit(1)).alias("velocity_count"), money_sum("other_amount").alias("velocity_amount"))
-        .select(key, "sender", F.col("one_ts").alias("ts"), "velocity_count", F.round("velocity_amount", 4).alias("velocity_amount"))
+    one = (
+        stream.withWatermark("ts", late).filter("sender IS NOT NULL AND ts IS NOT NULL").groupBy("sender", "ts", F.col(key).alias("key"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(money("amount")).alias("amt"))
     )
+    near = one.groupBy("sender", F.window("ts", f"{2 * seconds} seconds", f"{seconds} seconds")).agg(
+        F.collect_list(F.struct(F.unix_timestamp("ts").alias("sec"), "n", "amt", "ts", "key")).alias("all"))
+    own = F.filter("all", lambda t: t["sec"] >= F.unix_timestamp("window.start") + seconds)
+    each = near.select("sender", "all", F.explode(own).alias("own")).select("sender", "own", F.filter(
+        "all", lambda t: t["sec"].between(F.col("own.sec") - seconds, F.col("own.sec"))).alias("within"))
+    known = F.filter("within", lambda t: t["amt"].isNotNull())
+    nothing = F.lit(0).cast(MONEY_SUM)
+    count = F.aggregate("within", F.lit(0).cast("bigint"), lambda s, t: s + t["n"])
+    amount = F.when(F.size(known) > 0, F.aggregate(known, nothing, lambda s, t: (s + t["amt"]).cast(MONEY_SUM)))
+    # A transaction that came n times is one row, with n times the count and amount.
+    times = F.col("own.n")
+    repeated = F.when(times == 1, F.col("amount")).otherwise((F.col("amount").cast("decimal(30,8)") * times.cast("decimal(7,0)")).cast(MONEY_SUM))
+    return each.select("sender", "own", count.alias("count"), amount.alias("amount")).select(
+        F.col("own.key").alias(key), "sender", F.col("own.ts").alias("ts"), (F.col("count") * times).alias("velocity_count"),
+        F.round(repeated.cast("double"), 4).alias("velocity_amount"))
 
 
 def late_rows(query: StreamingQuery) -> int:

@@ -147,3 +147,17 @@ def test_velocity_of_transactions_on_a_stream(spark):
     parts = [*replay.ranked_slices(rows, [F.col("seq") % 100], 2), late]
     got, dropped = play(spark, rows, closing_slices(iter(parts), last))
     assert got == batch and dropped >= 1
+
+
+def test_repeated_and_empty_values_on_a_stream(spark):
+    """A transaction that comes twice, without key, amount, sender or time; and no row of state for each pair of rows."""
+    data = [(1, "a", 0, 2.5), (1, "a", 0, 2.5), (2, "a", 3600, 1.0), (3, "a", 3601, 4.0), (None, "a", 7300, None), (5, "b", -1, None),
+            (6, None, 5, 1.0), (7, "a", None, 1.0), (8, "c", 7199, 1.0), (9, "c", 10799, 2.0)]
+    rows = spark.createDataFrame([(i, s, "r", a, None if t is None else START + timedelta(seconds=t), "P2P", 0) for i, s, t, a in data], STREAM)
+    got, dropped = play(spark, rows, closing_slices(iter([rows]), rows.agg(F.max("ts").alias("ts"))))
+    assert dropped == 0
+    assert got == {1: (4, 10.0), 2: (3, 6.0), 3: (2, 5.0), None: (1, None), 5: (1, None), 8: (1, 1.0), 9: (2, 3.0)}
+    landing = scratch_path(spark, "landing")
+    rows.write.parquet(landing)
+    plan = live.live_transaction_velocity(replay.open_stream(spark, landing, STREAM))._jdf.queryExecution().analyzed().toString()
+    assert "Join" not in plan
