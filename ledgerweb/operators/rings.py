@@ -146,16 +146,18 @@ def timed_rings(tx: DataFrame, lengths: tuple[int, ...] = (3, 4, 5), within_seco
     first one is paid; `payments` lists the `key` of each payment, which has to identify it. A ring is found once, as it begins
     with its earliest payment.
 
-    A step is a range join: payments lie in time slots of `within_seconds`, and one meets those of its payee in its own slot and
-    the next, so that a pair of rows is only formed within two slots. The steps are found once and stored; paths are then joined on payments.
+    Only payments between accounts that can lie on a cycle are walked. A step is a range join: payments lie in time slots of `within_seconds`, and one
+    meets those of its payee in its own slot and the next, so that a pair of rows is only formed within two slots. The steps are found once and
+    stored; paths are then joined on payments, the longest ones also on the account that closes the ring.
     """
     if not lengths or min(lengths) < 2:
         raise ValueError("rings of 2 accounts and more are found")
     micros = within_seconds * 1_000_000
     at = F.unix_micros("ts")
-    paid = stored(
-        tx.filter("sender != receiver AND ts IS NOT NULL").select(
-            F.col(key).alias("payment"), "sender", "receiver", at.alias("at"), money("amount").alias("amount")), "payments")
+    timed = tx.filter("sender != receiver AND ts IS NOT NULL").select(
+        F.col(key).alias("payment"), "sender", "receiver", at.alias("at"), money("amount").alias("amount"))
+    arcs = trim(cut(timed.select(F.col("sender").alias("src"), F.col("receiver").alias("dst")).distinct()))
+    paid = stored(timed.join(arcs.select(F.col("src").alias("sender"), F.col("dst").alias("receiver")), ["sender", "receiver"], "left_semi"), "payments")
     slot = F.floor(F.col("at") / micros).cast("bigint")
     before = paid.select(F.col("payment").alias("one"), F.col("receiver").alias("account"), F.col("at").alias("one_at"),
                          F.explode(F.array(slot, slot + 1)).alias("slot"))
@@ -169,13 +171,14 @@ def timed_rings(tx: DataFrame, lengths: tuple[int, ...] = (3, 4, 5), within_seco
         F.col("at").alias("first_at"), F.col("at").alias("last_at"), "amount")
     found = []
     for length in range(2, max(lengths) + 1):
-        walked = paths.join(steps, "one")
+        last = length == max(lengths)
+        walked = paths.join(steps, (paths["one"] == steps["one"]) & (paths["members"][0] == steps["to"]) if last else "one")
         closes = F.col("to") == F.col("members")[0]
         total = (F.col("amount") + F.col("more")).cast(MONEY).alias("amount")
         longer = [F.concat("payments", F.array("next")).alias("payments"), "first_at", F.col("next_at").alias("last_at"), total]
         if length in lengths:
             found.append(walked.filter(closes).select(F.lit(length).alias("length"), "members", *longer))
-        if length < max(lengths):
+        if not last:
             paths = stored(
                 walked.filter(~F.array_contains("members", F.col("to")))
                 .select(F.col("next").alias("one"), F.concat("members", F.array("to")).alias("members"), *longer), "paths")

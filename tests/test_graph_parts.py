@@ -162,6 +162,20 @@ def test_timed_ring_borders(spark):
     assert [r["payments"] for r in rings.timed_rings(timed(spark, rows)).collect()] == [[0, 1, 2]]
 
 
+def test_timed_rings_walk_only_what_can_close(spark, monkeypatch):
+    """Payers nobody pays and payees who pay nobody take no part in steps and paths."""
+    kept = {}
+
+    def spy(df, name):
+        kept.setdefault(name, []).append(out := stored(df, name))
+        return out
+
+    monkeypatch.setattr(rings, "stored", spy)
+    rows = [("a", "b", 1, 0), ("b", "c", 1, 10), ("c", "a", 1, 20), *((f"x{i}", "a", 1, i) for i in range(30)), *(("b", f"y{i}", 1, i) for i in range(30))]
+    assert [r["payments"] for r in rings.timed_rings(timed(spark, rows)).collect()] == [[0, 1, 2]]
+    assert kept["payments"][0].count() == 3 and kept["steps"][0].count() == 2
+
+
 def brute_cores(pairs):
     left, core, k = {a: set(b) for a, b in neighbours(pairs).items()}, {}, 0
     while left:
