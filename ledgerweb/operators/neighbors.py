@@ -57,8 +57,14 @@ def nearest(df: DataFrame, columns: list[str], k: int = 5, key: str = "id") -> D
 
     Distances are Euclidean over the scaled columns. With fewer than k other rows all are returned. Keys have to be different.
     """
+    # Read twice: for the extent and to scale.
+    return _nearest(stored(df.select(key, *dict.fromkeys(c for c in columns if c != key)), "rows"), columns, k, key)
+
+
+def _nearest(rows: DataFrame, columns: list[str], k: int, key: str = "id") -> DataFrame:
+    """`nearest` of stored rows."""
     count = len(columns)
-    points = stored(scaled(df, columns, key).withColumnRenamed(key, "row"), "points")
+    points = stored(scaled(rows, columns, key).withColumnRenamed(key, "row"), "points")
     first = F.row_number().over(W.partitionBy("x").orderBy("row"))
     members = points.select("x", "row", first.alias("place")).filter(F.col("place") <= k + 1)
     distinct = stored(
@@ -115,7 +121,7 @@ def smote(df: DataFrame, columns: list[str], label: str = "label", k: int = 5, p
     Draw j of a row takes a neighbour, and a place on the way to it, by a hash of its id and j. A positive alone gives no rows; null values count as 0.
     """
     positives = stored(df.filter(F.col(label) == 1).select("id", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in columns]), "positives")
-    near = nearest(positives, columns, k)
+    near = _nearest(positives, columns, k)
     known = stored(near.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("rank", "neighbor"))).alias("near")), "near")
     draws = known.select("id", "near", F.explode(F.sequence(F.lit(0), F.lit(per_row - 1))).alias("draw"))
     chosen = draws.withColumn("other", F.col("near")[F.floor(uniform(salt, F.lit("neighbor"), "id", "draw") * F.size("near")).cast("int")]["neighbor"])

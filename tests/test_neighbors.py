@@ -78,3 +78,12 @@ def test_synthetic_rows_lie_between_neighbours(spark):
     assert chosen == {0, 1, 2}
     alone = neighbors.smote(spark.createDataFrame(rows[:1], SCHEMA + ", label int"), ["a", "b"])
     assert alone.count() == 0
+
+
+def test_rows_are_worked_out_once(spark, monkeypatch):
+    """The extent and the scaled rows both come from stored rows, not from what leads to them."""
+    asked, plain_scaled = [], neighbors.scaled
+    monkeypatch.setattr(neighbors, "scaled", lambda df, *rest: asked.append(df) or plain_scaled(df, *rest))
+    found = neighbors.nearest(spark.createDataFrame([("p", 0.0, 1.0), ("q", 1.0, 1.0)], "id string, a double, b double"), ["a", "b", "a"], 1)
+    assert sorted((r["id"], r["neighbor"]) for r in found.collect()) == [("p", "q"), ("q", "p")]
+    assert all("/rows-" in f for f in asked[0].inputFiles()) and asked[0].inputFiles()
