@@ -52,10 +52,10 @@ def _are_stars(links: DataFrame) -> bool:
 
 def contract(links: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
     """`lo, hi`: one row per account that is not its component's root, with that root."""
-    for _ in range(max_rounds):
+    for _ in range(max_rounds):  # links that are stars from the start stay as they are in the first round
+        links = _small_star(_large_star(links))
         if _are_stars(links):
             return links
-        links = _small_star(_large_star(links))
     raise NotConverged(f"components did not settle within {max_rounds} rounds")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerweb.functions.jobs import at_once
-from ledgerweb.functions.lineage import cut, stored
+from ledgerweb.functions.lineage import stored
 from ledgerweb.operators import graph
 from ledgerweb.operators.components import component_labels
 from ledgerweb.operators.triangles import triangle_counts
@@ -41,7 +41,7 @@ def from_edges(e: DataFrame, mode: str = "true") -> DataFrame:
 def extract(tx: DataFrame, mode: str = "true") -> DataFrame:
     """Transactions → account features."""
     e = graph.edges(tx)
-    return from_edges(cut(e) if mode == "true" else e, mode)
+    return from_edges(stored(e, "edges") if mode == "true" else e, mode)
 
 
 def labels(tx: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerweb.functions.amounts import money_sum, money_sum_if
+from ledgerweb.functions.amounts import money, money_sum, money_sum_if
 from ledgerweb.functions.lineage import cut, stored
 from ledgerweb.functions.ordered import global_rank
 
@@ -49,7 +49,8 @@ def account_pool(tx: DataFrame, salt: str = "pool") -> DataFrame:
 
 def additive_features(e: DataFrame) -> DataFrame:
     """Degree, transaction counts and amounts of every account in one aggregation of the edge ends."""
-    return features_of_ends(endpoints(e, "transaction_count", "total_amount"))
+    # Amounts become decimals once for each edge, not for either end.
+    return features_of_ends(endpoints(e.withColumn("total_amount", money("total_amount")), "transaction_count", "total_amount"))
 
 
 def features_of_ends(ends: DataFrame) -> DataFrame:
@@ -193,7 +194,7 @@ class LinkIndex:
 
 
 def index_links(e: DataFrame) -> LinkIndex:
-    und = undirected(e)
+    und = stored(undirected(e), "undirected")
     counts = und.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
     size_class = F.floor(F.log2("n")).cast("bigint")
     accounts = stored(

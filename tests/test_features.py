@@ -1,5 +1,6 @@
 import pytest
 
+from ledgerweb.functions.lineage import stored
 from ledgerweb.operators import components, features, graph, triangles
 from ledgerweb.schema import FEATURES
 from ledgerweb.sources.readers import sample_rows
@@ -68,6 +69,18 @@ def test_empty_input_keeps_the_schema(spark):
     assert result.columns == ["id", *FEATURES] and result.count() == 0
 
 
+def test_edges_and_links_are_read_from_files(spark, monkeypatch):
+    """Columns that a step doesn't need aren't read, unordered pairs are found once, and the stars are only looked for after a round."""
+    names, looked, plain_stars = [], [], components._are_stars
+    for module in (graph, features, components):
+        monkeypatch.setattr(module, "stored", lambda df, name: names.append(name) or stored(df, name))
+    monkeypatch.setattr(components, "_are_stars", lambda links: looked.append(list(names)) or plain_stars(links))
+    found = features.extract(tx(spark, [("a", "b"), ("b", "a"), ("b", "c"), ("d", "d")]))
+    assert {r["id"]: (r["degree"], r["cluster_size"]) for r in found.collect()} == {"a": (2, 3), "b": (3, 3), "c": (1, 3), "d": (2, 1)}
+    assert {"edges", "undirected"} <= set(names) and all("small" in n for n in looked)
+    assert "ExistingRDD" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 @pytest.mark.parametrize("seed,hub", [(1, 0.0), (2, 0.35)])
 def test_against_brute_force(spark, seed, hub):
     pairs = random_pairs(40, 160, seed, hub)
