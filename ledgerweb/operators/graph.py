@@ -194,7 +194,13 @@ class LinkIndex:
 
 
 def index_links(e: DataFrame) -> LinkIndex:
-    und = stored(undirected(e), "undirected")
+    return index_of(undirected(e))
+
+
+def index_of(pairs: DataFrame) -> LinkIndex:
+    """The same from unordered pairs `a, b`, each of which is there once; columns besides stay with the links."""
+    carry = [c for c in pairs.columns if c not in ("a", "b")]
+    und = stored(pairs, "undirected")
     counts = und.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
     size_class = F.floor(F.log2("n")).cast("bigint")
     accounts = stored(
@@ -202,6 +208,5 @@ def index_links(e: DataFrame) -> LinkIndex:
     of_a = accounts.select(F.col("id").alias("a"), F.col("vid").alias("va"))
     of_b = accounts.select(F.col("id").alias("b"), F.col("vid").alias("vb"))
     links = stored(
-        und.join(of_a, "a").join(of_b, "b").select(F.least("va", "vb").alias("lo"), F.greatest("va", "vb").alias("hi")), "links")
+        und.join(of_a, "a").join(of_b, "b").select(F.least("va", "vb").alias("lo"), F.greatest("va", "vb").alias("hi"), *carry), "links")
     return LinkIndex(accounts, links)
-

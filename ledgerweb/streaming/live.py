@@ -11,8 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerweb.functions.amounts import MONEY_SUM, money, money_sum
 from ledgerweb.functions.lineage import stored
-from ledgerweb.functions.skew import spread
-from ledgerweb.operators import components, graph, scoring
+from ledgerweb.operators import components, graph, scoring, triangles
 from ledgerweb.schema import DEFAULT_SCORE, FEATURES, ScoreConfig
 from ledgerweb.streaming import state
 
@@ -62,23 +61,12 @@ def _new_triangles(now: DataFrame, new_links: DataFrame) -> DataFrame:
 
     Both other sides of such a triangle are links of the new one's ends, whose edges are all in `now`.
     """
-    both = now.filter("id != other").select(F.col("id").alias("a"), F.col("other").alias("b")).distinct()
-    near = stored(both.join(new_links.select(F.explode(F.array("a", "b")).alias("a")).distinct(), "a", "left_semi"), "near")
-    size = near.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
-    sized = (
-        new_links.join(size.withColumnRenamed("n", "n_a"), "a")
-        .join(size.select(F.col("a").alias("b"), F.col("n").alias("n_b")), "b")
-    )
-    # The neighbours of the end that has fewer are looked up at the other end.
-    small = F.when(F.col("n_a") <= F.col("n_b"), F.col("a")).otherwise(F.col("b"))
-    large = F.when(F.col("n_a") <= F.col("n_b"), F.col("b")).otherwise(F.col("a"))
-    wedges = spread(sized.select(small.alias("a"), large.alias("other")), "a", "other").join(near.withColumnRenamed("b", "third"), "a")
-    closed = wedges.join(near.select(F.col("a").alias("other"), F.col("b").alias("third")), ["other", "third"], "left_semi")
-    corners = F.array_sort(F.array("a", "other", "third"))
-    return (
-        closed.select(corners.alias("corners")).distinct().select(F.explode("corners").alias("id"))
-        .groupBy("id").agg(F.count(F.lit(1)).alias("more"))
-    )
+    ends = new_links.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    near = now.filter("id != other").select("id", "other").join(ends, "id", "left_semi").select(
+        F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"), F.lit(False).alias("fresh"))
+    # Both ends of a link may have told of it; a new one is among them, and is named once more with its mark.
+    marked = near.unionByName(new_links.select("a", "b", F.lit(True).alias("fresh"))).groupBy("a", "b").agg(F.max("fresh").alias("fresh"))
+    return triangles.fresh_triangle_counts(graph.index_of(marked)).withColumnRenamed("triangle_count", "more")
 
 
 def _merged_components(old: DataFrame, new_links: DataFrame) -> DataFrame:
