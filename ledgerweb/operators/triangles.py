@@ -60,7 +60,7 @@ def fresh_corners(links: DataFrame, chunk: int = CHUNK) -> DataFrame:
     lists = _by_tail(links, chunks).agg(
         F.collect_list("hi").alias("heads"), F.collect_list(F.when(F.col("fresh"), F.col("hi"))).alias("fresh_heads"))
     of_hi = lists.select(reshuffled("v").alias("hi"), "chunk", F.col("heads").alias("carried"), F.col("fresh_heads").alias("fresh_carried"))
-    of_lo = lists.select(F.col("v").alias("lo"), "chunk", "heads", "fresh_heads").filter((F.size("heads") >= 2) | F.lit(chunks > 1))
+    of_lo = lists.select(reshuffled("v").alias("lo"), "chunk", "heads", "fresh_heads").filter((F.size("heads") >= 2) | F.lit(chunks > 1))
     near_fresh = F.max("fresh").over(W.partitionBy("lo"))
     none = F.array().cast("array<bigint>")
     sent = (

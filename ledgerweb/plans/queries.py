@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerweb.functions import amounts, clock
-from ledgerweb.functions.lineage import cut, scratch_path
+from ledgerweb.functions.lineage import cut, scratch_path, stored
 from ledgerweb.operators import (
     augment, components, cores, features, graph, influence, ingest, isolation, model, neighbors, reports, rings, scoring, sketches, strong, temporal, triangles,
 )
@@ -836,8 +836,7 @@ def stream_sessions(spark, d):
 @query
 def stream_model_scores(spark, d):
     """The last state of a stream scored by a trained forest, with the batch features the model was trained on."""
-    training = cut(model.with_class_weight(cut(labelled_ledger(spark, d))))
-    fitted = model.train(training, trees=5)
+    fitted = model.train(model.with_class_weight(stored(labelled_ledger(spark, d), "training")), trees=5)
 
     def scorer(f):
         return model.predict(fitted, f).select(*f.columns, scoring.SCORE)

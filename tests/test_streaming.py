@@ -6,7 +6,9 @@ import pytest
 
 from ledgerweb.functions.lineage import scratch_path
 from ledgerweb.operators import graph, scoring, triangles
+from ledgerweb.plans import queries
 from ledgerweb.plans.queries import STREAM
+from ledgerweb.schema import FEATURES, MODEL_FEATURES
 from ledgerweb.streaming import live, replay, state
 from pyspark.sql import functions as F
 from tests.helpers import by_id, random_pairs, tx
@@ -224,3 +226,20 @@ def _rows_shuffled(df):
         children = node.children()
         plan += [children.apply(i) for i in range(children.size())]
     return counts
+
+
+def test_the_training_table_is_read_by_column(spark, sf_dir, monkeypatch):
+    """What the forest is trained on is Parquet, of which it reads its own columns: not rows that are stored whole, twice over."""
+    plans = []
+    train = queries.model.train
+
+    def looked_at(df, *args, **options):
+        plans.append(df.select(*MODEL_FEATURES)._jdf.queryExecution().executedPlan().toString())
+        return train(df, *args, **options)
+
+    monkeypatch.setattr(queries.model, "train", looked_at)
+    monkeypatch.setattr(queries, "replay_transfers", lambda *args, **options: None)
+    monkeypatch.setattr(queries.live, "latest", lambda spark, out, table: queries.scoring.band(
+        queries.features.extract(queries.views.transfers(spark, sf_dir)).withColumn("fraud_score", F.lit(0.5))))
+    assert set(queries.QUERIES["stream_model_scores"](spark, sf_dir).columns) == {"id", *FEATURES, "as_in_batch", "band_as_in_batch"}
+    assert len(plans) == 1 and "FileScan parquet [degree" in plans[0] and "amount_in" not in plans[0]
